@@ -1,0 +1,16 @@
+"""Size checks for join sides."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate is within Spark's own broadcast limit.
+
+    The same test decides an automatic broadcast join, so a plan chosen on it
+    gets one.  ``spark.sql.autoBroadcastJoinThreshold=-1`` turns both off.
+    """
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes())) <= limit
