@@ -1,0 +1,93 @@
+"""What Spark plans for the queries: pushed filters, read columns, heaps, no Python."""
+
+import re
+
+import pytest
+
+from tidelake.queries import REGISTRY
+
+SF_DIR = "/root/testdata/sf0.001"
+
+LAZY = [
+    "gold_total_orders",
+    "gold_top5_orders_value",
+    "gold_top5_products_sold",
+    "gold_low_stock_products",
+    "silver_latest_by_key",
+    "silver_latest_one",
+    "silver_latest_event_by_user",
+    "bronze_orders_by_date",
+    "bronze_select_orderitems",
+    "stabilize_types_wide",
+    "stabilize_types_narrow",
+    "load_date_stamp",
+    "mask_column",
+    "text_line_suffix",
+    "document_line_suffix",
+    "strip_tags",
+    "is_night",
+]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def read_columns(text):
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", text)
+    return sorted({column.split(":")[0] for schema in schemas for column in schema.split(",")})
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(REGISTRY[name](spark, SF_DIR))
+    for node in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text
+
+
+@pytest.mark.parametrize(
+    "name", ["gold_top5_orders_value", "gold_top5_products_sold", "gold_low_stock_products"]
+)
+def test_top_k_is_a_heap(spark, name):
+    text = plan(REGISTRY[name](spark, SF_DIR))
+    assert "TakeOrderedAndProject" in text
+    assert "rangepartitioning" not in text
+
+
+def test_row_operators_do_not_shuffle(spark):
+    for name in ("bronze_orders_by_date", "mask_column", "text_line_suffix", "strip_tags", "is_night"):
+        assert "Exchange" not in plan(REGISTRY[name](spark, SF_DIR))
+
+
+def test_only_needed_columns_are_read(spark):
+    assert read_columns(plan(REGISTRY["gold_top5_products_sold"](spark, SF_DIR))) == [
+        "l_partkey", "l_quantity", "p_name", "p_partkey",
+    ]
+    assert read_columns(plan(REGISTRY["gold_total_orders"](spark, SF_DIR))) == [
+        "o_orderdate", "o_orderkey",
+    ]
+    assert read_columns(plan(REGISTRY["load_date_stamp"](spark, SF_DIR))) == ["c_custkey"]
+
+
+def test_day_filter_reaches_parquet(spark):
+    text = plan(REGISTRY["bronze_orders_by_date"](spark, SF_DIR))
+    assert "GreaterThanOrEqual(o_orderdate,1995-06-19" in text
+    assert "LessThan(o_orderdate,1" in text
+
+
+def test_items_are_summed_before_a_large_join(spark, large_tables):
+    text = plan(REGISTRY["gold_top5_products_sold"](spark, SF_DIR))
+    per_name, per_product = [m.start() for m in re.finditer(r"partial_sum\(quantity", text)]
+    assert per_name < text.index("SortMergeJoin") < per_product
+
+
+def test_latest_reads_the_newest_version_from_two_columns_and_key(spark):
+    text = plan(REGISTRY["silver_latest_by_key"](spark, SF_DIR))
+    assert "partial_max(l_shipdate" in text and "LeftSemi" in text and "SortMergeJoin" in text
+    assert "Window" not in text
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_shipdate:timestamp_ntz>" in text
+
+
+def test_distinct_count_reduces_before_the_shuffle(spark):
+    text = plan(REGISTRY["gold_total_orders"](spark, SF_DIR))
+    assert text.count("HashAggregate") == 4

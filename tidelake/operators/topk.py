@@ -28,20 +28,20 @@ def top_k_joined(
 ) -> DataFrame:
     """Top ``k`` of ``rows JOIN names`` by ``by`` descending, NULLs last.
 
-    Ties are broken by ``then_by`` and then by all remaining columns, those of
-    ``rows`` first, so the result is the same whichever way it is computed.
+    Ties are broken by ``then_by``, the join column and the columns of
+    ``names``, in this order.
 
     With a small ``names`` table this is a broadcast join and a heap.  With a
     large one, joining everything only to keep ``k`` rows would shuffle both
     tables, so the ``PROBE_ROWS`` best rows are joined alone, broadcast to
-    ``names``: a row outside the probe sorts after every row in it, so ``k``
-    joined rows from the probe are the answer.  Only if it yields fewer, because
-    too many of its rows have no partner, is everything joined.
+    ``names``: a row outside the probe sorts after every row in it, or is tied
+    and has the same partners, so ``k`` joined rows from the probe are the
+    answer.  Only if it yields fewer, because too many of its rows have no
+    partner, is everything joined.
     """
-    rest = [c for c in rows.columns if c != by and c not in then_by]
     row_order = [
         F.col(by).desc_nulls_last(),
-        *[F.col(c).asc_nulls_first() for c in (*then_by, *rest)],
+        *[F.col(c).asc_nulls_first() for c in (*then_by, on)],
     ]
     order = row_order + [F.col(c).asc_nulls_first() for c in names.columns if c != on]
     if not fits_broadcast(names):

@@ -42,7 +42,13 @@ def load(
 ) -> Audit:
     """Load one table for one run date into ``<table>/date=<run date>``."""
     rows = transform(source, spec, run_date, lenient)
-    return write_days(rows, spec.name, f"{bronze_root}/{spec.name}", mode)
+    return write_days(
+        rows,
+        spec.name,
+        f"{bronze_root}/{spec.name}",
+        mode,
+        days="sparse" if spec.incremental else "whole",
+    )
 
 
 def backfill(
@@ -61,5 +67,5 @@ def backfill(
         stabilize_types(rows, spec, lenient),
         spec.name,
         f"{bronze_root}/{spec.name}",
-        many_days=True,
+        days="many",
     )

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from tidelake.operators.guards import Audit, require_contract
 from tidelake.operators.latest import latest_by_key
 from tidelake.operators.rows import stabilize_types
-from tidelake.sinks.lake import overwrite_table, write_days
+from tidelake.sinks.lake import overwrite_table, swap_table, write_days
 from tidelake.sources.lake import is_complete, partition_scan, snapshot_scan
 from tidelake.specs import LOAD_DATE, TableSpec
-from tidelake.workspace import use_checkpoints
 
 
 def _latest(rows: DataFrame, spec: TableSpec, ties: str) -> DataFrame:
@@ -64,9 +63,7 @@ def refresh(
     if day.isEmpty():
         return Audit(spec.name, path, 0)
     merged = _latest(current.unionByName(stabilize_types(day, spec)), spec, ties)
-    # A table cannot be replaced while it is being read: settle the rows first.
-    use_checkpoints(spark)
-    return overwrite_table(merged.checkpoint(), spec.name, path)
+    return swap_table(merged, spec.name, path)
 
 
 def incremental(
@@ -85,5 +82,5 @@ def incremental(
         spec.name,
         f"{silver_root}/{spec.name}",
         mode,
-        many_days=last is not None,
+        days="whole" if last is None else "many",
     )

@@ -52,6 +52,15 @@ def orderitems(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _order_columns() -> list[Column]:
+    return [
+        F.col("o_orderkey").alias("orderid"),
+        F.col("o_custkey").alias("customerid"),
+        day_text("o_orderdate").alias("orderdate"),
+        F.col("o_totalprice").alias("totalamount"),
+    ]
+
+
 def orders(
     spark: SparkSession, sf_dir: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
@@ -66,17 +75,14 @@ def orders(
         source = source.where(placed >= F.lit(first).cast("timestamp_ntz"))
     if last is not None:
         source = source.where(placed < F.lit(last + timedelta(days=1)).cast("timestamp_ntz"))
-    return source.select(
-        F.col("o_orderkey").alias("orderid"),
-        F.col("o_custkey").alias("customerid"),
-        day_text("o_orderdate").alias("orderdate"),
-        F.col("o_totalprice").alias("totalamount"),
-    )
+    return source.select(*_order_columns())
 
 
 def loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as silver holds them: every day loaded under its own date."""
-    return orders(spark, sf_dir).withColumn("date", F.col("orderdate").cast("date"))
+    return table(spark, sf_dir, "orders").select(
+        *_order_columns(), F.col("o_orderdate").cast("date").alias("date")
+    )
 
 
 def sales_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -313,7 +313,10 @@ def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     on_day = F.col("orderdate") == day.isoformat()
     orders, counts = counted(views.orders(spark, sf_dir), rows_kept=on_day)
     audit = write_days(
-        stamp_load_date(orders.where(on_day), day), "orders", new_folder(spark, "audit")
+        stamp_load_date(orders.where(on_day), day),
+        "orders",
+        new_folder(spark, "audit"),
+        days="sparse",
     )
     seen = counts.get
     return spark.createDataFrame(

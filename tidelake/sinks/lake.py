@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from tidelake.operators.guards import Audit, counted
@@ -15,7 +17,7 @@ def write_days(
     table: str,
     path: str,
     mode: str = "overwrite",
-    many_days: bool = False,
+    days: str = "whole",
     max_records_per_file: int = 0,
 ) -> Audit:
     """Write into ``<path>/date=<day>/`` folders.
@@ -24,14 +26,21 @@ def write_days(
     again gives the same table.  ``append`` adds to them, and running a day
     again adds its rows again.  No rows, no day folder.
 
-    For many days at once the rows are rebalanced by day, else every task would
-    write a file for every day.  Adaptive execution sizes those partitions and
-    splits a day that holds far more rows than the others.
+    ``days`` says how the rows lie in the input partitions.  ``whole``: every
+    partition is a good output file as it is.  ``sparse``: one day picked from a
+    large input, so rows are gathered from partitions that have few.  ``many``:
+    rows are gathered by day, else every task would write a file for every day.
+    Adaptive execution sizes gathered partitions, and splits a day that holds
+    far more rows than the others.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    if many_days:
+    if days == "sparse":
+        df = df.hint("rebalance")
+    elif days == "many":
         df = df.hint("rebalance", LOAD_DATE)
+    elif days != "whole":
+        raise ValueError(f"days must be 'whole', 'sparse' or 'many', not {days!r}")
     df, observation = counted(df)
     (
         df.write.mode(mode)
@@ -55,3 +64,22 @@ def overwrite_table(
         .parquet(path)
     )
     return Audit(table, path, observation.get["rows"])
+
+
+def swap_table(df: DataFrame, table: str, path: str) -> Audit:
+    """Replace a table by rows that may be read from it.
+
+    The rows go to a folder beside the table, which then takes its place.  A run
+    that dies before the swap leaves the old table; one that dies within it
+    leaves none, which ``is_complete`` tells.
+    """
+    spark = df.sparkSession
+    parent, _, name = path.rstrip("/").rpartition("/")
+    staged = f"{parent}/.staged-{name}-{uuid.uuid4().hex}"
+    audit = overwrite_table(df, table, staged)
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(to_path(path), True)
+    if not files.rename(to_path(staged), to_path(path)):
+        raise OSError(f"could not move {staged} to {path}")
+    return Audit(table, path, audit.rows_written)

@@ -67,7 +67,7 @@ def replace_touched_days(
         days = [row[LOAD_DATE] for row in batch.select(LOAD_DATE).distinct().collect()]
         if days:
             rows = snapshot_scan(session, spec, bronze).where(F.col(LOAD_DATE).isin(days))
-            write_days(stabilize_types(rows, spec), spec.name, silver, many_days=len(days) > 1)
+            write_days(stabilize_types(rows, spec), spec.name, silver, days="many")
 
     return (
         _new_files(spark, spec, bronze_root, max_files_per_batch)

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 8
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,20 +41,26 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Settings for lakes with many day folders.
+    """Settings the jobs count on; a number of shuffle partitions set by the user stays.
 
-    Adaptive execution sizes shuffle partitions.  Its floor is lowered so that a
-    small backfill of many days is still written in parallel.  Folder listing
-    uses a few tasks per core instead of one task per folder.
+    Adaptive execution merges small shuffle partitions but does not divide large
+    ones that are all alike, so on a cluster shuffles start with many.  Folders
+    are listed by a few tasks per core instead of one task per folder.  On a
+    local master the floor for merging is low, so that a small backfill of many
+    days, whose cost is its number of files, is written in parallel.
     """
     cores = spark.sparkContext.defaultParallelism
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
-        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * cores),
         "spark.sql.python.filterPushdown.enabled": "true",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * cores),
     }
+    if spark.sparkContext.master.startswith("local"):
+        settings["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "16KB"
+    elif spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        settings[INITIAL_PARTITIONS] = str(max(partitions, PARTITIONS_PER_CORE * cores))
     for key, value in settings.items():
         spark.conf.set(key, value)
     return spark
