@@ -10,6 +10,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 LAZY = [
     "gold_total_orders",
+    "gold_total_orders_as_of",
     "gold_top5_orders_value",
     "gold_top5_products_sold",
     "gold_low_stock_products",
@@ -19,7 +20,7 @@ LAZY = [
     "bronze_orders_by_date",
     "bronze_select_orderitems",
     "stabilize_types_wide",
-    "stabilize_types_narrow",
+    "stabilize_types",
     "load_date_stamp",
     "mask_column",
     "text_line_suffix",

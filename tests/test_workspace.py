@@ -1,0 +1,57 @@
+"""The shared folder and session settings."""
+
+import pytest
+
+from tidelake import workspace
+
+
+def test_new_folders_lie_in_the_configured_folder_and_differ(spark):
+    a, b = workspace.new_folder(spark, "x"), workspace.new_folder(spark, "x")
+    assert a != b
+    configured = spark.conf.get(workspace.CHECKPOINT_DIR, None)
+    assert a.startswith(configured or spark.sparkContext.getCheckpointDir())
+
+
+class Session:
+    """A session without a configured folder."""
+
+    def __init__(self, master):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_no_local_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(Session("spark://host:7077"))
+    session = Session("local[2]")
+    assert workspace.shared_folder(session) == session.folder is not None
+
+
+def test_sizes_grow_with_the_cluster():
+    sizes = workspace.size_settings(local=False, cores=8000)
+    assert sizes == {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32000",
+        "spark.sql.files.maxPartitionNum": "64000",
+    }
+
+
+def test_a_size_set_by_the_user_stays(spark):
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(key, "2MB")
+    try:
+        assert workspace.tune(spark).conf.get(key) == "2MB"
+    finally:
+        spark.conf.unset(key)
+        workspace.tune(spark)
+    assert spark.conf.get(key) == "16KB"

@@ -43,8 +43,9 @@ def require_contract(df: DataFrame, spec: TableSpec) -> DataFrame:
 def counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
     """Count rows in the same pass that consumes ``df``.
 
-    Without arguments the count is ``rows``; each keyword counts the rows that
-    satisfy its condition.
+    The count is ``rows``; each keyword counts the rows that satisfy its
+    condition.  No shuffle should lie between this and the action: rows of a
+    shuffle that runs again after a lost executor are counted again.
     """
     observation = Observation()
     measures = {"rows": F.count(F.lit(1))} | {

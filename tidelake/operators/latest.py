@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,12 +36,11 @@ def latest_by_key(
 
     newest = (
         df.groupBy(*key)
-        .agg(F.max(version).alias("newest_version"))
-        .select(F.struct(*key, F.col("newest_version").alias(version)).alias("newest"))
+        .agg(F.max(version).alias(version))
+        .withColumnsRenamed({name: f"newest_{name}" for name in (*key, version)})
     )
-    # Equality of structs takes two NULL fields as equal, so NULL keys survive.
-    own = F.struct(*[df[name] for name in (*key, version)])
-    return df.join(newest.hint("merge"), own == newest["newest"], "left_semi")
+    same = [df[name].eqNullSafe(newest[f"newest_{name}"]) for name in (*key, version)]
+    return df.join(newest.hint("merge"), reduce(and_, same), "left_semi")
 
 
 def _one_per_key(df: DataFrame, key: Sequence[str], version: str) -> DataFrame:

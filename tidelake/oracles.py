@@ -107,6 +107,11 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT CAST(c_custkey AS VARCHAR), c_mktsegment, '****' FROM customer
     """,
+    "json_payload_scan": """
+        SELECT strftime(ts, '%Y-%m-%d') || 'T06:00:00+00:00' AS sunrise,
+               strftime(ts, '%Y-%m-%d') || 'T18:00:00+00:00' AS sunset
+        FROM events
+    """,
     "is_night": """
         SELECT event_id,
                NOT (date_trunc('day', ts) + INTERVAL 6 HOUR < ts
@@ -124,7 +129,7 @@ ORACLES: dict[str, str] = {
         FROM lineitem
     """,
     "bronze_select_orders": f"SELECT {ORDER_COLUMNS} FROM orders",
-    "stabilize_types_narrow": f"""
+    "stabilize_types": f"""
         SELECT TRY_CAST(o_orderkey AS INTEGER) AS orderid,
                TRY_CAST(o_custkey AS INTEGER) AS customerid,
                {DAY} AS orderdate, o_totalprice AS totalamount
@@ -188,6 +193,11 @@ ORACLES: dict[str, str] = {
                CAST(max(o_orderdate) AS DATE) AS ref_date
         FROM orders
     """,
+    "gold_total_orders_as_of": """
+        SELECT count(DISTINCT o_orderkey) AS total_orders,
+               CAST(max(o_orderdate) AS DATE) AS ref_date
+        FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '1997-07-15'
+    """,
     "gold_top5_orders_value": TOP_ORDERS,
     "gold_top5_products_sold": TOP_PRODUCTS,
     "gold_low_stock_products": LOW_STOCK.format(stock="p_size"),
@@ -195,6 +205,7 @@ ORACLES: dict[str, str] = {
     "kpi_missing_default": _report("0", "p_size"),
     "report_headline": f"SELECT {COUNT_ORDERS} AS total_orders",
     "report_orders_table": TOP_ORDERS,
+    "report_products_series": TOP_PRODUCTS,
     "report_stock_series": LOW_STOCK.format(stock="p_size"),
     "kpi_report": _report(COUNT_ORDERS, "p_size"),
     "medallion_end_to_end": _report(COUNT_ORDERS, STOCK_AFTER_DAY_2),

@@ -17,15 +17,17 @@ from tidelake.operators.kpis import (
 from tidelake.specs import LOAD_DATE
 
 
+def loaded_by(df: DataFrame, day: date) -> DataFrame:
+    return df.where(F.col(LOAD_DATE) <= F.lit(day))
+
+
 def kpis(tables: Mapping[str, DataFrame], as_of: date | None = None) -> dict[str, DataFrame]:
     """KPI name to frame.
 
     The KPIs cover all of silver.  ``as_of`` leaves out rows loaded later.
     """
     if as_of is not None:
-        tables = {
-            name: df.where(F.col(LOAD_DATE) <= F.lit(as_of)) for name, df in tables.items()
-        }
+        tables = {name: loaded_by(df, as_of) for name, df in tables.items()}
     return {
         "total_orders": total_orders(tables["orders"]),
         "top_5_orders_value": top_orders_by_value(tables["orders"], tables["customers"]),

@@ -15,14 +15,9 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import columns as C
 from tidelake.operators import kpis as K
+from tidelake.operators import rows as R
 from tidelake.operators.guards import Audit, counted
 from tidelake.operators.latest import latest_by_key
-from tidelake.operators.rows import (
-    mask_columns,
-    select_columns,
-    stabilize_types,
-    stamp_load_date,
-)
 from tidelake.plans import bronze, gold, medallion, report, silver, views
 from tidelake.sinks.files import write_lines, write_positional_csv
 from tidelake.sinks.lake import overwrite_table, write_days
@@ -147,14 +142,13 @@ def csv_headerless_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = spark.createDataFrame([tuple(names)], rows.schema)
     header.unionByName(rows).write.csv(raw, header=False, **files.CSV_QUOTING)
     write_positional_csv(
-        mask_columns(files.read_headerless_csv(spark, raw, columns=3), "_c2"), masked
+        R.mask_columns(files.read_headerless_csv(spark, raw, columns=3), "_c2"), masked
     )
     return spark.read.csv(masked, header=True, **files.CSV_QUOTING).toDF("c0", "c1", "c2")
 
 
-@query
-def is_night(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event's time against a JSON payload of its day."""
+def _sun_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON payload for each event's day."""
     day = views.day_text("ts")
     body = F.concat(
         F.lit('{"results":{"sunrise":"'),
@@ -163,8 +157,21 @@ def is_night(spark: SparkSession, sf_dir: str) -> DataFrame:
         day,
         F.lit('T18:00:00+00:00"}}'),
     )
-    return views.table(spark, sf_dir, "events").select(
-        "event_id", C.payload_is_night(body, F.col("ts")).alias("is_night")
+    return views.table(spark, sf_dir, "events").select("event_id", "ts", body.alias("body"))
+
+
+@query
+def json_payload_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "payloads")
+    write_lines(_sun_payloads(spark, sf_dir).select("body"), path)
+    return files.read_payloads(spark, path).select("results.sunrise", "results.sunset")
+
+
+@query
+def is_night(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's time against the payload of its day."""
+    return _sun_payloads(spark, sf_dir).select(
+        "event_id", C.payload_is_night(F.col("body"), F.col("ts")).alias("is_night")
     )
 
 
@@ -173,22 +180,22 @@ def is_night(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bronze_select_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_columns(views.customers(spark, sf_dir), WIDE["customers"])
+    return R.select_columns(views.customers(spark, sf_dir), WIDE["customers"])
 
 
 @query
 def bronze_select_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_columns(views.products(spark, sf_dir), WIDE["products"])
+    return R.select_columns(views.products(spark, sf_dir), WIDE["products"])
 
 
 @query
 def bronze_select_orderitems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_columns(views.orderitems(spark, sf_dir), WIDE["orderitems"])
+    return R.select_columns(views.orderitems(spark, sf_dir), WIDE["orderitems"])
 
 
 @query
 def bronze_select_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_columns(views.orders(spark, sf_dir), WIDE["orders"])
+    return R.select_columns(views.orders(spark, sf_dir), WIDE["orders"])
 
 
 def _text_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,25 +204,25 @@ def _text_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stabilize_types_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stabilize_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """INT ids, lenient: an id past the INT range is NULL rather than an error."""
-    return stabilize_types(_text_orders(spark, sf_dir), SALES["orders"], lenient=True)
+    return R.stabilize_types(_text_orders(spark, sf_dir), SALES["orders"], lenient=True)
 
 
 @query
 def stabilize_types_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stabilize_types(_text_orders(spark, sf_dir), WIDE["orders"])
+    return R.stabilize_types(_text_orders(spark, sf_dir), WIDE["orders"])
 
 
 @query
 def load_date_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stamp_load_date(views.customers(spark, sf_dir).select("customerid"), RUN_DATE)
+    return R.stamp_load_date(views.customers(spark, sf_dir).select("customerid"), RUN_DATE)
 
 
 @query
 def mask_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = views.table(spark, sf_dir, "customer")
-    return mask_columns(customer.select("c_custkey", "c_name", "c_mktsegment"), "c_name")
+    return R.mask_columns(customer.select("c_custkey", "c_name", "c_mktsegment"), "c_name")
 
 
 @query
@@ -313,10 +320,7 @@ def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     on_day = F.col("orderdate") == day.isoformat()
     orders, counts = counted(views.orders(spark, sf_dir), rows_kept=on_day)
     audit = write_days(
-        stamp_load_date(orders.where(on_day), day),
-        "orders",
-        new_folder(spark, "audit"),
-        days="sparse",
+        R.stamp_load_date(orders.where(on_day), day), "orders", new_folder(spark, "audit")
     )
     seen = counts.get
     return spark.createDataFrame(
@@ -431,6 +435,12 @@ def gold_total_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.total_orders(views.loaded_orders(spark, sf_dir))
 
 
+@query
+def gold_total_orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same KPI without what was loaded after a given day."""
+    return K.total_orders(gold.loaded_by(views.loaded_orders(spark, sf_dir), ORDER_DAYS[-1]))
+
+
 @query
 def gold_top5_orders_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.top_orders_by_value(views.orders(spark, sf_dir), views.customers(spark, sf_dir))
@@ -479,6 +489,11 @@ def report_orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.orders_table(spark, _build_gold(spark, sf_dir), RUN_DATE)
 
 
+@query
+def report_products_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.products_series(spark, _build_gold(spark, sf_dir), RUN_DATE)
+
+
 @query
 def report_stock_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.stock_series(spark, _build_gold(spark, sf_dir), RUN_DATE)

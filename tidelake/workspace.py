@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-PARTITIONS_PER_CORE = 8
+SHUFFLES_PER_CORE = 4
+SPLITS_PER_CORE = 8
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,14 +40,30 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Settings the jobs count on; a number of shuffle partitions set by the user stays.
+def size_settings(local: bool, cores: int) -> dict[str, str]:
+    """How finely to cut scans and shuffles.
 
     Adaptive execution merges small shuffle partitions but does not divide large
-    ones that are all alike, so on a cluster shuffles start with many.  Folders
-    are listed by a few tasks per core instead of one task per folder.  On a
-    local master the floor for merging is low, so that a small backfill of many
-    days, whose cost is its number of files, is written in parallel.
+    ones that are all alike, so on a cluster a shuffle starts with a few per
+    core.  A scan of a huge table is cut into some per core, rather than one per
+    128 MB, so that the number of shuffle blocks (scan tasks times shuffle
+    partitions) stays bounded.
+
+    On a local master the floor for merging is low, so that a small backfill of
+    many days, whose cost is its number of files, is written in parallel.
+    """
+    if local:
+        return {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(SHUFFLES_PER_CORE * cores),
+        "spark.sql.files.maxPartitionNum": str(SPLITS_PER_CORE * cores),
+    }
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings the jobs count on.  Sizes set by the user stay.
+
+    Folders are listed by a few tasks per core instead of one task per folder.
     """
     cores = spark.sparkContext.defaultParallelism
     settings = {
@@ -56,11 +72,8 @@ def tune(spark: SparkSession) -> SparkSession:
         "spark.sql.python.filterPushdown.enabled": "true",
         "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * cores),
     }
-    if spark.sparkContext.master.startswith("local"):
-        settings["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "16KB"
-    elif spark.conf.get(INITIAL_PARTITIONS, None) is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        settings[INITIAL_PARTITIONS] = str(max(partitions, PARTITIONS_PER_CORE * cores))
+    sizes = size_settings(spark.sparkContext.master.startswith("local"), cores)
+    settings |= {k: v for k, v in sizes.items() if spark.conf.get(k, None) is None}
     for key, value in settings.items():
         spark.conf.set(key, value)
     return spark
