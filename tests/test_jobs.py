@@ -14,7 +14,8 @@ def database(tmp_path):
     with closing(sqlite3.connect(path)) as connection, connection:
         connection.executescript(
             """
-            CREATE TABLE customers (customerid INTEGER, firstname TEXT, lastname TEXT, email TEXT, phone TEXT);
+            CREATE TABLE customers (customerid INTEGER, firstname TEXT, lastname TEXT, email TEXT,
+                                    phone TEXT);
             CREATE TABLE products (productid INTEGER, productname TEXT, price REAL, stockquantity INTEGER);
             CREATE TABLE orderitems (orderitemid INTEGER, orderid INTEGER, productid INTEGER,
                                      quantity INTEGER, itemprice REAL);
@@ -23,7 +24,8 @@ def database(tmp_path):
             INSERT INTO customers VALUES (1, 'Ana', 'Lima', 'a@example.com', '1');
             INSERT INTO products VALUES (1, 'pen', 1.5, 7), (2, 'cup', 4.0, 3);
             INSERT INTO orderitems VALUES (1, 1, 1, 4, 1.5), (2, 1, 2, 6, 4.0);
-            INSERT INTO orders VALUES ('1', '1', '2025-01-01', '30.5'), ('2', '1', '2025-01-02', '9');
+            INSERT INTO orders VALUES ('1', '1', '2025-01-01', '30.5'), ('2', '1', '2025-01-02', '9'),
+                                      ('3', '1', '2025-01-03', 'n/a');
             INSERT INTO shops VALUES (1, 'Recife'), (2, 'Natal');
             """
         )
@@ -62,3 +64,13 @@ def test_a_table_outside_the_catalogue(spark, database, folder):
     ]
     with pytest.raises(ValueError, match="primary key"):
         main(["silver", "--table", "shops", "--lake", folder])
+
+
+def test_malformed_values(spark, database, folder):
+    load = ["bronze", "--database", database, "--table", "orders", "--lake", folder,
+            "--ds_date", "2025-01-03"]
+    with pytest.raises(Exception, match="n/a"):
+        main(load)
+    main([*load, "--lenient"])
+    row = spark.read.parquet(f"{folder}/bronze/orders").first()
+    assert (row.orderid, row.totalamount) == (3, None)

@@ -304,7 +304,9 @@ def sources(spark, stock_of_pen=5):
     return {
         "customers": spark.createDataFrame([(1, "A", "B", "e", "p")], SALES["customers"].schema),
         "products": products(spark, (1, "pen", stock_of_pen), (2, "cup", 3)),
-        "orderitems": spark.createDataFrame([(1, 1, 1, 4, 1.0), (2, 1, 2, 6, 1.0)], SALES["orderitems"].schema),
+        "orderitems": spark.createDataFrame(
+            [(1, 1, 1, 4, 1.0), (2, 1, 2, 6, 1.0)], SALES["orderitems"].schema
+        ),
         "orders": orders(spark, (1, "2025-01-01", 10.0), (2, "2025-01-02", 20.0)),
     }
 
@@ -341,8 +343,10 @@ def test_report_parts_and_preview(spark, folder):
     assert report.orders_table(spark, f"{folder}/gold", D1).columns == [
         "orderid", "firstname", "lastname", "totalamount", "orderdate",
     ]
-    assert [r.productname for r in report.products_series(spark, f"{folder}/gold", D1).collect()] == ["cup", "pen"]
-    assert [r.stockquantity for r in report.stock_series(spark, f"{folder}/gold", D1).collect()] == [3, 5]
+    sold = report.products_series(spark, f"{folder}/gold", D1).collect()
+    assert [r.productname for r in sold] == ["cup", "pen"]
+    left = report.stock_series(spark, f"{folder}/gold", D1).collect()
+    assert [r.stockquantity for r in left] == [3, 5]
 
     many = products(spark, *[(i, "p", i) for i in range(9, 0, -1)])
     bronze.load(many, PRODUCTS, f"{folder}/bronze", D1)

@@ -60,8 +60,14 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def _source(spark: SparkSession, args: argparse.Namespace, table: str, query: str) -> DataFrame:
-    """The table as the source has it; the jobs cast it."""
+def _source(
+    spark: SparkSession,
+    args: argparse.Namespace,
+    table: str,
+    query: str,
+    schema: T.StructType | None,
+) -> DataFrame:
+    """The table as the source has it; SQLite values are parsed to ``schema`` if given."""
     options = {
         "query": query or None,
         "partition_column": args.partition_column,
@@ -69,7 +75,7 @@ def _source(spark: SparkSession, args: argparse.Namespace, table: str, query: st
     }
     if args.reader == "jdbc":
         return jdbc_scan(spark, sqlite_options(args.database), table, **options)
-    return sqlite_scan(spark, args.database, table, **options)
+    return sqlite_scan(spark, args.database, table, schema=schema, **options)
 
 
 def _stored_spec(spark: SparkSession, args: argparse.Namespace, bronze_root: str) -> TableSpec:
@@ -94,8 +100,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     day = date.fromisoformat(args.ds_date) if args.ds_date else None
 
     if args.command == "bronze":
-        source = _source(spark, args, args.table, args.query)
-        spec = specs.get(args.table) or TableSpec(args.table, source.schema)
+        spec = specs.get(args.table)
+        # Lenient casts need the values as text; so do tables of unknown types.
+        schema = spec.schema if spec and not args.lenient else None
+        source = _source(spark, args, args.table, args.query, schema)
+        spec = spec or TableSpec(args.table, source.schema)
         mode = args.write_mode or "overwrite"
         print(bronze.load(source, spec, bronze_root, day, mode, args.lenient))
     elif args.command == "silver":
@@ -120,7 +129,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         describe_columns(head).show(truncate=False)
         head.show(truncate=False)
     elif args.command == "run":
-        sources = {name: _source(spark, args, name, spec.query) for name, spec in specs.items()}
+        sources = {
+            name: _source(spark, args, name, spec.query, spec.schema)
+            for name, spec in specs.items()
+        }
         for audit in medallion.run(spark, sources, args.lake, day, specs):
             print(audit)
 

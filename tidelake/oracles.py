@@ -14,10 +14,15 @@ CUSTOMER_COLUMNS = (
     "c_nationkey || '-' || c_custkey AS phone"
 )
 PRODUCT_COLUMNS = "p_partkey AS productid, p_name AS productname, p_retailprice AS price"
-ORDER_DAYS = "('1995-06-19', '1996-09-17', '1997-07-15')"
 
 LOADED_ORDERS = f"SELECT {ORDER_COLUMNS}, CAST(o_orderdate AS DATE) AS date FROM orders"
-THREE_DAYS = f"{LOADED_ORDERS} WHERE {DAY} IN {ORDER_DAYS}"
+MONTHLY_ORDERS = """
+    SELECT o_orderkey AS orderid, o_custkey AS customerid,
+           strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS orderdate,
+           o_totalprice AS totalamount,
+           CAST(date_trunc('month', o_orderdate) AS DATE) AS date
+    FROM orders
+"""
 ONE_DAY = f"{LOADED_ORDERS} WHERE {DAY} = '1995-06-19'"
 CUSTOMER_SNAPSHOT = f"SELECT {CUSTOMER_COLUMNS}, DATE '2025-01-01' AS date FROM customer"
 LATEST_PRODUCTS = f"""
@@ -154,11 +159,11 @@ ORACLES: dict[str, str] = {
     "bronze_load_orders": ONE_DAY,
     "bronze_backfill": LOADED_ORDERS,
     "empty_guard": f"""
-        SELECT CAST(day AS DATE) AS run_date, count(o_orderkey) > 0 AS written,
-               count(o_orderkey) AS rows_written
-        FROM (VALUES ('1995-06-19'), ('1996-09-17'), ('1997-07-15'), ('1990-01-01')) d(day)
-        LEFT JOIN orders ON {DAY} = day
-        GROUP BY day
+        SELECT 'customers' AS table_name, count(*) > 0 AS written, count(*) AS rows_written
+        FROM customer
+        UNION ALL SELECT 'products', count(*) > 0, count(*) FROM part
+        UNION ALL SELECT 'orderitems', count(*) > 0, count(*) FROM lineitem
+        UNION ALL SELECT 'orders', count(*) > 0, count(*) FROM orders WHERE {DAY} = '1990-01-01'
     """,
     "audit_counts": f"""
         SELECT count(*) AS rows_read,
@@ -185,9 +190,9 @@ ORACLES: dict[str, str] = {
     "silver_full_load": LATEST_PRODUCTS,
     "silver_refresh": LATEST_PRODUCTS,
     "silver_overwrite": LATEST_LINES,
-    "silver_incremental_append": THREE_DAYS,
-    "silver_stream_append": THREE_DAYS,
-    "silver_stream_replace": THREE_DAYS,
+    "silver_incremental_append": MONTHLY_ORDERS,
+    "silver_stream_append": MONTHLY_ORDERS,
+    "silver_stream_replace": MONTHLY_ORDERS,
     "gold_total_orders": """
         SELECT count(DISTINCT o_orderkey) AS total_orders,
                CAST(max(o_orderdate) AS DATE) AS ref_date

@@ -85,6 +85,13 @@ def loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a shop that books once a month: the day is the month's first."""
+    return orders(spark, sf_dir).withColumn(
+        "orderdate", F.concat(F.left("orderdate", F.lit(7)), F.lit("-01"))
+    )
+
+
 def sales_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "customers": customers(spark, sf_dir),

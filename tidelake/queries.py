@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidelake.functions import columns as C
 from tidelake.operators import kpis as K
 from tidelake.operators import rows as R
-from tidelake.operators.guards import Audit, counted
+from tidelake.operators.guards import counted
 from tidelake.operators.latest import latest_by_key
 from tidelake.plans import bronze, gold, medallion, report, silver, views
 from tidelake.sinks.files import write_lines, write_positional_csv
@@ -33,7 +33,8 @@ WIDE = wide_sales()
 
 # Run dates: parameters of the daily loads, as a scheduler would pass them.
 SNAPSHOT_DAYS = (date(2025, 1, 1), date(2025, 1, 2), date(2025, 1, 3))
-ORDER_DAYS = (date(1995, 6, 19), date(1996, 9, 17), date(1997, 7, 15))
+ORDER_DAY = date(1995, 6, 19)
+AS_OF_DAY = date(1997, 7, 15)
 DAY_WITHOUT_ORDERS = date(1990, 1, 1)
 RUN_DATE = date(2025, 1, 1)
 
@@ -53,13 +54,6 @@ def query(run: Query) -> Query:
     return tuned
 
 
-def _audit_rows(spark: SparkSession, audits: list[tuple[date, Audit]]) -> DataFrame:
-    return spark.createDataFrame(
-        [(day, audit.written, audit.rows_written) for day, audit in audits],
-        "run_date DATE, written BOOLEAN, rows_written BIGINT",
-    )
-
-
 # --- sources ---------------------------------------------------------------
 
 
@@ -250,7 +244,7 @@ def strip_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bronze_orders_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = ORDER_DAYS[0]
+    day = ORDER_DAY
     return bronze.transform(views.orders(spark, sf_dir, day, day), WIDE["orders"], day)
 
 
@@ -277,7 +271,7 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bronze_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, day = new_folder(spark, "bronze"), ORDER_DAYS[0]
+    root, day = new_folder(spark, "bronze"), ORDER_DAY
     bronze.load(views.orders(spark, sf_dir, day, day), WIDE["orders"], root, day)
     return lake.partition_scan(spark, WIDE["orders"], f"{root}/orders", day)
 
@@ -302,21 +296,22 @@ def bronze_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A day without orders writes nothing."""
-    root = new_folder(spark, "bronze")
-    return _audit_rows(
-        spark,
-        [
-            (day, bronze.load(views.orders(spark, sf_dir, day, day), WIDE["orders"], root, day))
-            for day in (*ORDER_DAYS, DAY_WITHOUT_ORDERS)
-        ],
+    """Snapshots of whole tables are written; a day without orders writes nothing."""
+    root, day = new_folder(spark, "bronze"), DAY_WITHOUT_ORDERS
+    audits = [
+        bronze.load(source, WIDE[name], root, day)
+        for name, source in views.sales_tables(spark, sf_dir).items()
+    ]
+    return spark.createDataFrame(
+        [(audit.table, audit.written, audit.rows_written) for audit in audits],
+        "table_name STRING, written BOOLEAN, rows_written BIGINT",
     )
 
 
 @query
 def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows read and rows kept by the day filter, counted while writing them."""
-    day = ORDER_DAYS[0]
+    day = ORDER_DAY
     on_day = F.col("orderdate") == day.isoformat()
     orders, counts = counted(views.orders(spark, sf_dir), rows_kept=on_day)
     audit = write_days(
@@ -386,18 +381,27 @@ def silver_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(latest.schema).parquet(path)
 
 
-def _load_order_day(spark: SparkSession, sf_dir: str, root: str, day: date, mode="overwrite"):
-    bronze.load(views.orders(spark, sf_dir, day, day), WIDE["orders"], root, day, mode)
+def _months(spark: SparkSession, sf_dir: str) -> tuple[date, date, date, date]:
+    """The first month with orders, one in the middle, the one after it, and the last."""
+    first, last = (day.replace(day=1) for day in _order_days(spark, sf_dir))
+    middle = (first + (last - first) / 2).replace(day=1)
+    return first, middle, (middle + timedelta(days=31)).replace(day=1), last
+
+
+def _book(spark: SparkSession, sf_dir: str, root: str, first: date, last: date) -> None:
+    orders = views.monthly_orders(spark, sf_dir)
+    bronze.backfill(orders, WIDE["orders"], f"{root}/bronze", first, last)
 
 
 @query
 def silver_incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three run dates, each run twice, leave each day's orders once."""
+    """All orders in monthly loads, every load run twice, are in silver once."""
     root, spec = new_folder(spark, "lake"), WIDE["orders"]
-    for day in ORDER_DAYS:
+    first, middle, next_month, last = _months(spark, sf_dir)
+    for start, end in ((first, middle), (next_month, last)):
         for _ in range(2):
-            _load_order_day(spark, sf_dir, f"{root}/bronze", day)
-            silver.incremental(spark, spec, f"{root}/bronze", f"{root}/silver", day)
+            _book(spark, sf_dir, root, start, end)
+            silver.incremental(spark, spec, f"{root}/bronze", f"{root}/silver", start, end)
     return lake.snapshot_scan(spark, spec, f"{root}/silver/orders")
 
 
@@ -405,9 +409,10 @@ def silver_incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each bronze file is picked up once; the last run finds nothing new."""
     root, spec = new_folder(spark, "lake"), WIDE["orders"]
-    for days in (ORDER_DAYS[:2], ORDER_DAYS[2:], ()):
-        for day in days:
-            _load_order_day(spark, sf_dir, f"{root}/bronze", day, mode="append")
+    first, middle, next_month, last = _months(spark, sf_dir)
+    for months in ((first, middle), (next_month, last), None):
+        if months is not None:
+            _book(spark, sf_dir, root, *months)
         order_stream.append_new_files(
             spark, spec, f"{root}/bronze", f"{root}/silver", f"{root}/progress"
         ).awaitTermination()
@@ -416,11 +421,11 @@ def silver_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_stream_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A day that bronze rewrites between two runs is replaced, not added."""
+    """Months that bronze rewrites between two runs are replaced, not added."""
     root, spec = new_folder(spark, "lake"), WIDE["orders"]
-    for days in (ORDER_DAYS[:2], ORDER_DAYS[1:]):
-        for day in days:
-            _load_order_day(spark, sf_dir, f"{root}/bronze", day)
+    first, middle, _, last = _months(spark, sf_dir)
+    for months in ((first, middle), (middle, last)):
+        _book(spark, sf_dir, root, *months)
         order_stream.replace_touched_days(
             spark, spec, f"{root}/bronze", f"{root}/silver", f"{root}/progress"
         ).awaitTermination()
@@ -438,7 +443,7 @@ def gold_total_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gold_total_orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same KPI without what was loaded after a given day."""
-    return K.total_orders(gold.loaded_by(views.loaded_orders(spark, sf_dir), ORDER_DAYS[-1]))
+    return K.total_orders(gold.loaded_by(views.loaded_orders(spark, sf_dir), AS_OF_DAY))
 
 
 @query
