@@ -352,6 +352,9 @@ def test_report_parts_and_preview(spark, folder):
     bronze.load(many, PRODUCTS, f"{folder}/bronze", D1)
     head = lake.preview(spark, PRODUCTS, f"{folder}/bronze/products", D1)
     assert [r.productid for r in head.collect()] == [1, 2, 3, 4, 5]
+    assert lake.preview(
+        spark, PRODUCTS, f"{folder}/bronze/products", D1, n=7, ordered=False
+    ).count() == 7
     assert [tuple(r)[:3] for r in lake.describe_columns(head).collect()][-1] == (5, "date", "date")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         lake.preview(spark, PRODUCTS, f"{folder}/nothing", D1)

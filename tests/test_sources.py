@@ -202,6 +202,7 @@ def test_headerless_csv_and_mask(spark, tmp_path):
     rows = df.collect()
     assert (len(rows), len(df.columns)) == (9, 4)
     assert rows[2]._c1 == "Calça, azul" and rows[3]._c1 == 'Meias "finas"'
+    assert rows[8]._c2 is None
     masked = mask_columns(df, "_c2")
     assert {r._c2 for r in masked.collect()} == {"****"}
     write_positional_csv(masked, target)
@@ -210,6 +211,25 @@ def test_headerless_csv_and_mask(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, masked.collect()))
 
 
+def test_missing_cells_are_null_and_written_empty(spark, tmp_path):
+    source, target = tmp_path / "in.csv", str(tmp_path / "out")
+    source.write_text('a,NA,null\n"",x,n/a\n\nNone,Nonesuch,0\n')
+    df = files.read_headerless_csv(spark, str(source), columns=3)
+    assert sorted(map(str, map(tuple, df.collect()))) == [
+        "('a', None, None)", "(None, 'Nonesuch', '0')", "(None, 'x', None)",
+    ]
+    write_positional_csv(df, target)
+    lines = spark.read.text(target).collect()
+    assert {r.value for r in lines} == {"0,1,2", "a,,", ",x,", ",Nonesuch,0"}
+
+
+def test_multi_line_cells(spark, tmp_path):
+    source = tmp_path / "in.csv"
+    source.write_text('1,"two\nlines"\n2,one\n')
+    df = files.read_headerless_csv(spark, str(source), columns=2, multi_line=True)
+    assert [tuple(r) for r in df.collect()] == [("1", "two\nlines"), ("2", "one")]
+
+
 def test_line_roundtrip(spark, folder):
     write_lines(files.generate_lines(spark, 10), f"{folder}/in")
     done = files.read_lines(spark, f"{folder}/in").select(C.with_done_suffix(F.col("value")).alias("value"))

@@ -125,7 +125,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         spec = specs.get(args.table) or TableSpec(
             args.table, spark.read.parquet(f"{bronze_root}/{args.table}").drop(LOAD_DATE).schema
         )
-        head = preview(spark, spec, f"{bronze_root}/{args.table}", day)
+        head = preview(spark, spec, f"{bronze_root}/{args.table}", day, ordered=False)
         describe_columns(head).show(truncate=False)
         head.show(truncate=False)
     elif args.command == "run":

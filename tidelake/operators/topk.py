@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidelake.operators.sizes import fits_broadcast
 from tidelake.workspace import use_checkpoints
 
-PROBE_ROWS = 1000
+PROBE_ROWS = 100
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

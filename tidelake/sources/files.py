@@ -8,6 +8,12 @@ from pyspark.sql import types as T
 
 from tidelake.functions.columns import PAYLOAD_SCHEMA, numbered_line
 
+# Cell texts that stand for a missing value.
+MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
 # RFC 4180: a quote inside a quoted field is doubled.
 CSV_QUOTING = {"quote": '"', "escape": '"'}
 
@@ -27,13 +33,16 @@ def read_headerless_csv(
 ) -> DataFrame:
     """All-string columns ``_c0 .. _cN``; a header line counts as a row.
 
-    ``multi_line`` allows line ends inside quoted fields, at the price that one
-    file is then read by one task.
+    Missing values are NULL.  ``multi_line`` allows line ends inside quoted
+    fields, at the price that one file is then read by one task.
     """
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(columns)])
-    return spark.read.schema(schema).csv(
+    cells = spark.read.schema(schema).csv(
         path, header=False, multiLine=multi_line, **CSV_QUOTING
     )
+    return cells.select(
+        *[F.when(~F.col(c).isin(MISSING), F.col(c)).alias(c) for c in cells.columns]
+    )
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:

@@ -72,11 +72,18 @@ def kpi_scan(spark: SparkSession, gold_root: str, run_date: date, name: str) ->
 
 
 def preview(
-    spark: SparkSession, spec: TableSpec, root: str, run_date: date, n: int = PREVIEW_ROWS
+    spark: SparkSession,
+    spec: TableSpec,
+    root: str,
+    run_date: date,
+    n: int = PREVIEW_ROWS,
+    ordered: bool = True,
 ) -> DataFrame:
-    """First ``n`` rows of one day in column order."""
+    """``n`` rows of one day: the first in column order, or any, which reads less."""
     day = partition_scan(spark, spec, root, run_date)
-    return day.orderBy(*[F.col(c).asc_nulls_first() for c in day.columns]).limit(n)
+    if ordered:
+        day = day.orderBy(*[F.col(c).asc_nulls_first() for c in day.columns])
+    return day.limit(n)
 
 
 def describe_columns(df: DataFrame) -> DataFrame:
