@@ -63,10 +63,12 @@ def size_settings(local: bool, cores: int) -> dict[str, str]:
 def tune(spark: SparkSession) -> SparkSession:
     """Settings the jobs count on.  Sizes set by the user stay.
 
+    ANSI mode makes a malformed value raise where it would silently be NULL.
     Folders are listed by a few tasks per core instead of one task per folder.
     """
     cores = spark.sparkContext.defaultParallelism
     settings = {
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.python.filterPushdown.enabled": "true",
