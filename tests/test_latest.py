@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tidelake.operators.latest import latest_by_key
+from tidelake.operators.latest import latest_by_key, update_by_key
 
 SCHEMA = "k1 INT, k2 STRING, date DATE, v INT"
 DAYS = [date(2025, 1, d) for d in (1, 2, 3)]
@@ -67,31 +67,67 @@ def test_idempotent(spark):
     assert collected(latest_by_key(once, ["k1", "k2"], "date")) == collected(once)
 
 
+@pytest.mark.parametrize("sides", ["small", "large"])
+@pytest.mark.parametrize("ties", ["all", "one"])
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(old=rows_strategy, new=rows_strategy)
+def test_update_is_the_latest_of_both(spark, request, sides, ties, old, new):
+    if sides == "large":
+        request.getfixturevalue("large_tables")
+    key, day = ["k1", "k2"], date(2025, 2, 1)
+    current = latest_by_key(spark.createDataFrame(old, SCHEMA), key, "date", ties)
+    newer = spark.createDataFrame([(k1, k2, day, v) for k1, k2, _, v in new], SCHEMA)
+    assert collected(update_by_key(current, newer, key, "date", ties)) == collected(
+        latest_by_key(current.unionByName(newer), key, "date", ties)
+    )
+
+
+def skewed(spark, first_day):
+    return spark.range(0, 90_000, 1, 16).selectExpr(
+        "IF(id % 3 = 0, -1, id) AS k", f"date'{first_day}' AS date", "id AS v"
+    )
+
+
 def test_unknown_tie_rule(spark):
     with pytest.raises(ValueError):
         latest_by_key(spark.createDataFrame([], SCHEMA), ["k1"], "date", ties="some")
 
 
-def test_a_hot_key_is_split_over_tasks(spark):
-    """A third of all rows share one key and its newest date."""
-    settings_ = {
+@pytest.fixture
+def small_skew(spark):
+    sizes = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
     }
-    before = {key: spark.conf.get(key) for key in settings_}
-    n = 90_000
-    df = (
-        spark.range(0, n, 1, 16)
-        .selectExpr("IF(id % 3 = 0, -1, id) AS k", "date'2025-01-01' AS date", "id AS v")
-    )
-    try:
-        for key, value in settings_.items():
-            spark.conf.set(key, value)
-        latest = latest_by_key(df, ["k"], "date")
-        assert len(latest.collect()) == n
-        plan = latest._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in plan
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    before = {key: spark.conf.get(key) for key in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_key_is_split_over_tasks(spark, small_skew):
+    """A third of all rows share one key and its newest date."""
+    latest = latest_by_key(skewed(spark, "2025-01-01"), ["k"], "date")
+    assert len(latest.collect()) == 90_000
+    assert "SortMergeJoin(skew=true)" in executed(latest)
+
+
+def test_an_update_splits_a_hot_key_and_does_not_shuffle_the_new_rows(
+    spark, folder, small_skew, large_tables
+):
+    skewed(spark, "2025-01-01").write.parquet(f"{folder}/old")
+    skewed(spark, "2025-01-02").where("v < 45000").write.parquet(f"{folder}/new")
+    old, new = (spark.read.parquet(f"{folder}/{name}") for name in ("old", "new"))
+    updated = update_by_key(old, new, ["k"], "date")
+    assert len(updated.collect()) == 45_000 + 30_000
+    plan = executed(updated)
+    assert "SortMergeJoin(skew=true)" in plan
+    final = plan[: plan.index("Initial Plan")]
+    assert final.count("Exchange hashpartitioning") == 3, "old rows, and the new keys twice"

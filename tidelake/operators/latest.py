@@ -34,13 +34,39 @@ def latest_by_key(
     if ties != "all":
         raise ValueError(f"ties must be 'all' or 'one', not {ties!r}")
 
-    newest = (
-        df.groupBy(*key)
-        .agg(F.max(version).alias(version))
-        .withColumnsRenamed({name: f"newest_{name}" for name in (*key, version)})
-    )
-    same = [df[name].eqNullSafe(newest[f"newest_{name}"]) for name in (*key, version)]
-    return df.join(newest.hint("merge"), reduce(and_, same), "left_semi")
+    newest = df.groupBy(*key).agg(F.max(version).alias(version))
+    return _join_on(df, newest, [*key, version], "left_semi", hint="merge")
+
+
+def update_by_key(
+    latest: DataFrame, newer: DataFrame, key: Sequence[str], version: str, ties: str = "all"
+) -> DataFrame:
+    """``latest_by_key`` of both, where every row of ``newer`` is newer than all of ``latest``.
+
+    Needs ``latest`` to be the latest rows already, and ``newer`` to be of one
+    version.  The new rows then all stay, so they are not shuffled; only their
+    distinct keys are, to find the old rows that none of them replaces.
+    """
+    if ties == "one":
+        newer = _one_per_key(newer, key, version)
+    untouched = _join_on(latest, newer.select(*key).distinct(), key, "left_anti")
+    return untouched.unionByName(newer)
+
+
+def _join_on(
+    rows: DataFrame, keys: DataFrame, names: Sequence[str], how: str, hint: str | None = None
+) -> DataFrame:
+    """Semi or anti join where NULL equals NULL.
+
+    ``keys`` comes from an aggregation by some of ``names``.  Null-safe equality
+    makes Spark shuffle it anew for the join, and both inputs of the join being
+    shuffles is what lets adaptive execution split a skewed one.
+    """
+    keys = keys.withColumnsRenamed({name: f"other_{name}" for name in names})
+    if hint:
+        keys = keys.hint(hint)
+    same = [rows[name].eqNullSafe(keys[f"other_{name}"]) for name in names]
+    return rows.join(keys, reduce(and_, same), how)
 
 
 def _one_per_key(df: DataFrame, key: Sequence[str], version: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.operators.guards import Audit, require_contract
-from tidelake.operators.latest import latest_by_key
+from tidelake.operators.latest import latest_by_key, update_by_key
 from tidelake.operators.rows import stabilize_types
 from tidelake.sinks.lake import overwrite_table, swap_table, write_days
 from tidelake.sources.lake import is_complete, partition_scan, snapshot_scan
@@ -62,7 +62,13 @@ def refresh(
     day = partition_scan(spark, spec, f"{bronze_root}/{spec.name}", run_date)
     if day.isEmpty():
         return Audit(spec.name, path, 0)
-    merged = _latest(current.unionByName(stabilize_types(day, spec)), spec, ties)
+    merged = update_by_key(
+        current,
+        require_contract(stabilize_types(day, spec), spec),
+        spec.key,
+        LOAD_DATE,
+        ties,
+    )
     return swap_table(merged, spec.name, path)
 
 
