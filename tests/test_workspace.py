@@ -43,6 +43,7 @@ def test_sizes_grow_with_the_cluster():
     assert sizes == {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32000",
         "spark.sql.files.maxPartitionNum": "64000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     }
 
 

@@ -47,7 +47,8 @@ def size_settings(local: bool, cores: int) -> dict[str, str]:
     ones that are all alike, so on a cluster a shuffle starts with a few per
     core.  A scan of a huge table is cut into some per core, rather than one per
     128 MB, so that the number of shuffle blocks (scan tasks times shuffle
-    partitions) stays bounded.
+    partitions) stays bounded.  Rebalanced and split partitions, and so the
+    files written from them, are of a size that suits large tables.
 
     On a local master the floor for merging is low, so that a small backfill of
     many days, whose cost is its number of files, is written in parallel.
@@ -57,6 +58,7 @@ def size_settings(local: bool, cores: int) -> dict[str, str]:
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(SHUFFLES_PER_CORE * cores),
         "spark.sql.files.maxPartitionNum": str(SPLITS_PER_CORE * cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     }
 
 
