@@ -41,3 +41,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     folder = new_folder(spark, name)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def public_tokenizer(name: str) -> str:
+    """Where the vocabulary file ``name`` is; it is read there and never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -7,8 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality_rules
-from .common import table
+from tidelake.workspace import new_folder
+
+from . import direct_codes, line_dedup, packing, quality_rules, transducer
+from .common import public_tokenizer, table
+
+TOKEN_LIMIT = 4096
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizer("word_bpe_49k.json"))
+
+
+def op3_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = new_folder(spark, "direct-codes")
+    direct_codes.write(docs, folder, public_tokenizer("word_bpe_49k.json"))
+    return direct_codes.read_documents(spark, folder)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +51,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = transducer.count_tokens(docs, public_tokenizer("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op3_direct_codes": op3_direct_codes,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op8_token_counts": op8_token_counts,
 }
