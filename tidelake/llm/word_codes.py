@@ -19,9 +19,10 @@ import pyarrow.compute as pc
 
 #: Bytes of text handled at once (at least one text), and words remembered.
 SLICE_BYTES = 8 << 20
-REMEMBERED = 400_000
-#: Words that keep their ids when written beside others in one text; special tokens have a "<".
-PLAIN = re.compile(r"[!-;=-~À-ɏ]+")
+REMEMBERED = 800_000
+#: Such words, and all of ASCII, keep their ids when written beside others in one text, if they
+#: don't have the "<" of the special tokens.
+PLAIN = re.compile(r"[!-~À-ɏ]+")
 ENCODED_AT_ONCE = 4096
 
 
@@ -58,6 +59,36 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+class Ragged:
+    """Growing runs of ids, each with a place."""
+
+    def __init__(self) -> None:
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
+        self.starts, self.lengths, self.n = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64), 0
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        """The place of the first of the new runs."""
+        self.flat = self._room(self.flat, self.used + len(ids))
+        self.starts, self.lengths = (self._room(x, self.n + len(lengths)) for x in (self.starts, self.lengths))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[self.n : self.n + len(lengths)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[self.n : self.n + len(lengths)] = lengths
+        self.used += len(ids)
+        self.n += len(lengths)
+        return self.n - len(lengths)
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        if size <= len(array):
+            return array
+        return np.concatenate([array, np.empty(max(size - len(array), len(array)), array.dtype)])
+
+    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the runs one after another, their lengths)."""
+        lengths = self.lengths[places]
+        return self.flat[ragged(self.starts[places], lengths)], lengths
+
+
 class WordCodes:
     """Ids by word for one tokenizer file."""
 
@@ -70,53 +101,50 @@ class WordCodes:
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.used = 0
-        self.starts: list[int] = []
-        self.lengths: list[int] = []
-
-    def _keep(self, word: str, ids: list[int] | np.ndarray) -> None:
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.place[word] = len(self.starts)
-        self.starts.append(self.used)
-        self.lengths.append(len(ids))
-        self.used += len(ids)
+        self.runs = Ragged()
 
-    def _ids(self, word: str) -> np.ndarray:
-        at = self.place[word]
-        return self.flat[self.starts[at] : self.starts[at] + self.lengths[at]]
-
-    def _learn(self, words: Iterable[str]) -> None:
-        """A plain word's ids are those of its lower case, and of a last stop by itself."""
-        plain, core_of = {}, {}
+    def _alone(self, words: list[str]) -> None:
         for word in words:
-            if not PLAIN.fullmatch(word):
-                self._keep(word, self.tokenizer.encode(word, add_special_tokens=False).ids)
-                continue
-            core, stop = word, ""
-            if len(word) > 1 and word[-1] in ".," and word[-2].isascii() and word[-2].isalpha():
-                core, stop = word[:-1], word[-1]
-            if core.isascii():
-                core = core.lower()
-            core_of[word] = core, stop
-            for part in (core, stop):
-                if part and part not in self.place:
-                    plain[part] = None
-        todo = list(plain)
-        for at in range(0, len(todo), ENCODED_AT_ONCE):
-            some = todo[at : at + ENCODED_AT_ONCE]
+            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint32)
+            self.place[word] = self.runs.add(ids, np.array([len(ids)]))
+
+    def _together(self, words: list[str]) -> None:
+        """Plain words are encoded in one text; a token belongs to the word its first character is in."""
+        for at in range(0, len(words), ENCODED_AT_ONCE):
+            some = words[at : at + ENCODED_AT_ONCE]
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             begins = np.cumsum([0, *(len(w) + 1 for w in some)])
-            ids = np.array(found.ids, np.uint32)
-            owner = np.searchsorted(begins, np.array([a for a, _ in found.offsets]), "right") - 1
-            cuts = np.searchsorted(owner, np.arange(len(some) + 1))
-            for k, word in enumerate(some):
-                self._keep(word, ids[cuts[k] : cuts[k + 1]])
-        for word, (core, stop) in core_of.items():
-            if word not in self.place:
-                self._keep(word, np.concatenate([self._ids(core), self._ids(stop)]) if stop else self._ids(core))
+            owner = np.searchsorted(begins, np.array([a for a, _ in found.offsets], np.int64), "right") - 1
+            first = self.runs.add(np.array(found.ids, np.uint32), np.bincount(owner, minlength=len(some)))
+            self.place.update(zip(some, range(first, first + len(some)), strict=True))
+
+    def _learn(self, words: list[str]) -> None:
+        """A plain word's ids are those of its lower case, then of a last stop."""
+        odd, whole, stopped = [], [], []
+        todo: dict[str, None] = {}
+        place = self.place
+        for word in words:
+            if "<" in word or not (word.isascii() or PLAIN.fullmatch(word)):
+                odd.append(word)
+            elif word[-1] in ".," and word[-2:-1].isalpha() and word[-2:-1].isascii():
+                core = word[:-1].lower() if word.isascii() else word[:-1]
+                stopped.append((word, core))
+                if core not in place:
+                    todo[core] = None
+            else:
+                core = word.lower() if word.isascii() else word
+                whole.append((word, core))
+                if core not in place:
+                    todo[core] = None
+        self._alone(odd + [s for s in ".," if s not in place])
+        self._together(list(todo))
+        place.update([(word, place[core]) for word, core in whole])
+        if stopped:
+            cores = np.array([place[core] for _, core in stopped])
+            stops = np.array([place[word[-1]] for word, _ in stopped])
+            ids, lengths = self.runs.take(np.stack([cores, stops], axis=1).ravel())
+            first = self.runs.add(ids, lengths.reshape(-1, 2).sum(axis=1))
+            place.update(zip([word for word, _ in stopped], range(first, first + len(stopped)), strict=True))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, number of ids of each text) of a slice."""
@@ -127,9 +155,8 @@ class WordCodes:
             self.forget()
         words = distinct.to_pylist()
         self._learn([w for w in words if w not in self.place])
-        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))[coded]
-        lengths = np.array(self.lengths, np.int64)[places]
-        ids = self.flat[ragged(np.array(self.starts, np.int64)[places], lengths)]
+        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        ids, lengths = self.runs.take(places[coded])
         sums = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(n_words)
         return ids, sums[ends] - sums[ends - n_words]
