@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelake.workspace import new_folder
 
-from . import direct_codes, line_dedup, packing, quality_rules, transducer
+from . import ball_tree, direct_codes, line_dedup, mixing, packing, quality_rules, toxicity, transducer
 from .common import public_tokenizer, table
 
 TOKEN_LIMIT = 4096
@@ -20,6 +20,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizer("word_bpe_49k.json"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.where(~toxicity.in_fold("doc_id")))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.in_fold("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op3_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     folder = new_folder(spark, "direct-codes")
@@ -51,16 +63,29 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.taken(mixing.mix(docs))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = transducer.count_tokens(docs, public_tokenizer("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ball_tree.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
     "op3_direct_codes": op3_direct_codes,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
+    "op10_ball_tree": op10_ball_tree,
 }
