@@ -142,8 +142,8 @@ def mix(
     counts = np.array([by_source.get(i, (0, 0))[0] for i in range(len(found))], np.int64)
     shards = max(1, -(-int(counts.sum()) // BLOCKS_PER_SHARD))
     quota = spark.range(shards).mapInPandas(_walk(counts, shards, seed), "_src int, shard long, _quota long")
-    upto = F.sum("_quota").over(Window.partitionBy("_src").orderBy("shard"))
-    numbered = quota.withColumn("_end", upto).select(
+    quota_upto = F.sum("_quota").over(Window.partitionBy("_src").orderBy("shard"))
+    numbered = quota.withColumn("_end", quota_upto).select(
         "_src", "shard", F.explode(F.sequence(F.col("_end") - F.col("_quota"), F.col("_end") - 1)).alias("_number")
     )
     in_pass = spark.createDataFrame([(i, n) for i, (_, n) in by_source.items()], "_src int, _in_pass long")
@@ -161,9 +161,8 @@ def mix(
     )
     cuts = blocks.select("_src", "_block", (F.col("_left") - F.col("_from")).alias("_cut"))
     inside = Window.partitionBy("_src", "_block").orderBy("_key", "size", F.col("doc_id").asc_nulls_first())
-    before = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    # A document past the cut of its source's last block has no draw in the last pass.
-    in_cut = before + F.col("size") / 2 <= F.col("_cut")
+    whole = Window.partitionBy("_src", "_block")
+    upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     none = F.array().cast("array<struct<_pass:int,shard:bigint>>")
     real = F.filter(F.coalesce("_draws", none), lambda d: (d["_pass"] < F.col("_passes")) | F.col("_inside"))
     draws = F.transform(
@@ -177,7 +176,15 @@ def mix(
     return (
         rows.join(cuts, ["_src", "_block"])
         .join(placed, ["_src", "_block"], "left")
-        .withColumn("_inside", in_cut)
+        # Past the cut of its source's last block, only the document that fits the rest best has a draw.
+        .withColumn("_upto", upto)
+        .withColumn("_nth", F.row_number().over(inside))
+        .withColumn("_gone", F.max(F.when(F.col("_upto") <= F.col("_cut"), F.col("_upto"))).over(whole))
+        .withColumn("_open", F.col("_cut") - F.coalesce("_gone", F.lit(0)))
+        .withColumn("_gap", F.when(F.col("_upto") > F.col("_cut"), F.abs(F.col("size") - F.col("_open"))))
+        .withColumn("_best", F.min(F.when(F.col("_gap") < F.col("_open"), F.struct("_gap", "_nth"))).over(whole))
+        .withColumn("_inside", (F.col("_upto") <= F.col("_cut")) | (F.col("_nth") == F.col("_best")["_nth"]))
+        .withColumn("_inside", F.coalesce("_inside", F.lit(False)))
         .select("doc_id", "source", "size", "source_size", "target", draws.alias("draws"))
     )
 
