@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelake.workspace import new_folder
 
-from . import ball_tree, direct_codes, line_dedup, mixing, packing, quality_rules, toxicity, transducer
+from . import ball_tree, direct_codes, hyper_minhash, line_dedup, mixing, packing, quality_rules, toxicity, transducer
 from .common import public_tokenizer, table
 
 TOKEN_LIMIT = 4096
@@ -49,6 +49,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_hyper_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hyper_minhash.near_duplicates(docs)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.clean_lines(docs).select(
@@ -84,6 +89,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_direct_codes": op3_direct_codes,
     "op4_line_dedup": op4_line_dedup,
+    "op5_hyper_minhash": op5_hyper_minhash,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
