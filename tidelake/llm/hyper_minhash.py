@@ -201,25 +201,62 @@ def _confirm(percent: int):
 
 
 def _across(percent: int):
-    """Pairs of one block pair that are in different components and may reach the threshold."""
+    """Pairs of one block pair that are in different components and may reach the threshold.
+
+    Rows come sorted by block pair; a block pair is whole before it is looked at.
+    """
     least = lowest_estimate(percent)
+    group = ["key", "low", "high"]
 
-    def across(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep")
+    def pairs_of(pdf: pd.DataFrame) -> pd.DataFrame:
         sketch = np.frombuffer(b"".join(pdf["sketch"]), "<u2").reshape(len(pdf), REGISTERS)
-        rep, component = pdf["rep"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
-        block, low, high = pdf["part"].to_numpy(), pdf["low"].iloc[0], pdf["high"].iloc[0]
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        rep, component, part = (pdf[c].to_numpy(np.int64) for c in ("rep", "component", "part"))
+        low, high = pdf["low"].to_numpy(np.int64), pdf["high"].to_numpy(np.int64)
         out = []
-        for i in left.tolist():
-            other = right[(component[right] != component[i]) & ((low != high) | (right > i))]
-            near = other[estimate(sketch[other], sketch[i]) >= least]
-            out += [(min(rep[i], r), max(rep[i], r)) for r in rep[near].tolist()]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+        def near(i: int, others: np.ndarray) -> None:
+            others = others[component[others] != component[i]]
+            if len(others):
+                close = others[estimate(sketch[others], sketch[i]) >= least]
+                out.extend((min(rep[i], r), max(rep[i], r)) for r in rep[close].tolist())
+
+        cuts = _cuts(pdf[group])
+        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            here = np.arange(start, stop)
+            names, sizes = np.unique(component[here], return_counts=True)
+            # A pair across components has a row outside the largest one.
+            few = component[here] != names[sizes.argmax()]
+            if low[start] == high[start]:
+                for i in here[few].tolist():
+                    near(i, here[~few | (here > i)])
+                continue
+            left, right = part[here] == low[start], part[here] == high[start]
+            for i in here[left & few].tolist():
+                near(i, here[right])
+            for i in here[right & few].tolist():
+                near(i, here[left & ~few])
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64").drop_duplicates()
+
+    def across(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in pdfs:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            last = int(_cuts(pdf[group])[-2]) if len(pdf) else 0
+            yield pairs_of(pdf.iloc[:last])
+            held = pdf.iloc[last:]
+        if held is not None and len(held):
+            yield pairs_of(held)
 
     return across
 
 
+def _cuts(keys: pd.DataFrame) -> np.ndarray:
+    """Where runs of equal keys begin, and the end."""
+    values = keys.to_numpy(np.int64)
+    changed = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+    return np.concatenate([[0], changed, [len(values)]]) if len(values) else np.zeros(1, np.int64)
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 85, shingle: int = 3, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -289,7 +326,8 @@ def near_duplicates(
             F.greatest("part", "_other").alias("high"),
         )
     )
-    rest = open_rows.groupBy("key", "low", "high").applyInPandas(_across(percent), "a long, b long").distinct()
+    block_pairs = open_rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    rest = written(block_pairs.mapInPandas(_across(percent), "a long, b long").distinct(), "minhash-rest")
     more = confirmed(rest, "minhash-more-links")
     components = connected(links.union(more))
     of_print = classes.join(components, F.col("rep") == F.col("node"), "left").select(
