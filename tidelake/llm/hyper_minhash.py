@@ -8,8 +8,8 @@ registers make candidates: a pair at 0.85 is missed with a chance of 4e-7.
 
 Documents with equal sets are one class from the start, so any number of copies
 is one row.  In each bucket the class that meets most others is paired with the
-rest; pairs whose collision-corrected estimate can reach the threshold are
-confirmed on whole sets.  Where a bucket then still spans several components, all
+rest; pairs whose collision-corrected estimate, by a longer sketch, can reach the
+threshold are confirmed on whole sets.  Where a bucket then still spans several components, all
 its pairs across components are estimated, in blocks of bounded size, and
 confirmed likewise.  So no pair of candidates is passed over but those that are
 linked already.  Nothing is collected; labels spread over tables in the shared
@@ -45,9 +45,10 @@ MANTISSA = 10
 ELEMENT_BITS = 52
 ROWS_AT_ONCE = 1 << (64 - ELEMENT_BITS)
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-#: The chance that two different registers agree, from the sizes of lead and mantissa.
-COLLISION = 1 / (3 * 2**MANTISSA)
-SIGMAS = 6
+#: Registers of one byte in a wide sketch, and the chance that two different ones agree.
+WIDE = 1024
+COLLISION = 1 / 256 + 1 / (3 * 2**MANTISSA)
+SIGMAS = 5
 BLOCK = 512
 
 
@@ -81,12 +82,12 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return element & np.uint64((1 << ELEMENT_BITS) - 1), sizes.astype(np.int64)
 
 
-def registers(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A row of registers for each set; zeros for an empty one."""
-    n = len(sizes)
-    full = np.uint64(0xFFFFFFFFFFFFFFFF)
-    least = np.full(n * REGISTERS, full)
-    round_of = np.zeros(n * REGISTERS, np.uint16)
+def registers(elements: np.ndarray, sizes: np.ndarray, buckets: int = REGISTERS) -> np.ndarray:
+    """A row of 16-bit registers for each set; zeros for an empty one.  ``buckets`` is a power of two."""
+    n, bits = len(sizes), 64 - (buckets.bit_length() - 1)
+    low = np.uint64((1 << bits) - 1)
+    least = np.full(n * buckets, np.uint64(0xFFFFFFFFFFFFFFFF))
+    round_of = np.zeros(n * buckets, np.uint16)
     owner = np.repeat(np.arange(n), sizes)
     rest = np.ones(len(elements), bool)
     turn = 0
@@ -94,22 +95,26 @@ def registers(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         owner, elements = owner[rest], elements[rest]
         turn += 1
         value = mixed(elements + np.uint64(turn * int(MIX[0]) & (1 << 64) - 1))
-        bucket = owner * REGISTERS + (value >> np.uint64(57)).astype(np.int64)
+        bucket = owner * buckets + (value >> np.uint64(bits)).astype(np.int64)
         empty = round_of[bucket] == 0
-        np.minimum.at(least, bucket[empty], value[empty] & np.uint64((1 << 57) - 1))
+        np.minimum.at(least, bucket[empty], value[empty] & low)
         round_of[bucket[empty]] = turn
-        open_rows = (round_of.reshape(n, REGISTERS) == 0).any(axis=1)
+        open_rows = (round_of.reshape(n, buckets) == 0).any(axis=1)
         rest = open_rows[owner]
-    # Leading zeros of the 57 bits, and the mantissa bits after the first one.
-    lead = 57 - np.ceil(np.log2(least.astype(np.float64) + 1)).astype(np.int64)
-    lead = np.clip(lead, 0, 57)
-    shifted = (least << np.minimum(lead + 1, 57).astype(np.uint64)) & np.uint64((1 << 57) - 1)
-    mantissa = (shifted >> np.uint64(57 - MANTISSA)).astype(np.int64)
+    # Leading zeros of the hash, and the mantissa bits after its first one.
+    lead = np.clip(bits - np.ceil(np.log2(least.astype(np.float64) + 1)).astype(np.int64), 0, bits)
+    shifted = (least << np.minimum(lead + 1, bits).astype(np.uint64)) & low
+    mantissa = (shifted >> np.uint64(bits - MANTISSA)).astype(np.int64)
     packed = (lead << MANTISSA | mantissa).astype(np.uint64)
     # A bucket filled in a later round agrees only with one of the same round.
     packed = (packed + round_of.astype(np.uint64) * np.uint64(0x9E37)) & np.uint64(0xFFFF)
     packed[round_of == 0] = 0
-    return packed.astype("<u2").reshape(n, REGISTERS)
+    return packed.astype("<u2").reshape(n, buckets)
+
+
+def wide_sketches(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A longer sketch, of registers hashed to one byte, for estimates before a whole set is read."""
+    return (mixed(registers(elements, sizes, WIDE).astype(np.uint64)) & np.uint64(0xFF)).astype(np.uint8)
 
 
 def band_keys(sketches: np.ndarray) -> np.ndarray:
@@ -124,15 +129,21 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Jaccard similarity of sketches, less the agreements that are due to chance."""
-    agreed = (a == b).mean(axis=-1)
+    """Jaccard similarity of wide sketches, less the agreements that are due to chance."""
+    agreed = np.count_nonzero(a == b, axis=-1) / a.shape[-1]
     return np.maximum(0, (agreed - COLLISION) / (1 - COLLISION))
 
 
-def lowest_estimate(percent: int) -> float:
-    """Below it no pair at the threshold is estimated, but for one in a billion."""
+def lowest_estimate(percent: int, n: int) -> float:
+    """By ``n`` registers, one pair at the threshold in millions is estimated lower."""
     at = percent / 100
-    return at - SIGMAS * float(np.sqrt(at * (1 - at) / REGISTERS))
+    return at - SIGMAS * float(np.sqrt(at * (1 - at) / n))
+
+
+def may_reach(others: np.ndarray, one: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the wide sketches may be that similar: a first part is looked at, then all of it."""
+    some = np.flatnonzero(estimate(others[:, :REGISTERS], one[:REGISTERS]) >= lowest_estimate(percent, REGISTERS))
+    return some[estimate(others[some], one) >= lowest_estimate(percent, WIDE)]
 
 
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
@@ -169,7 +180,7 @@ def _whole_sets(size: int):
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _rows(batches):
             elements, sizes = shingle_sets(texts, size)
-            sketch = registers(elements, sizes)
+            sketch = wide_sketches(elements, sizes)
             ends = np.cumsum(sizes)
             raw = elements.astype("<u8").tobytes()
             whole = [raw[8 * a : 8 * b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
@@ -182,13 +193,13 @@ def _whole_sets(size: int):
 
 
 def _confirm(percent: int):
-    least = lowest_estimate(percent)
+    least = lowest_estimate(percent, WIDE)
 
     def confirmed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y, p, q in zip(*(batch.column(c) for c in ("whole_a", "whole_b", "sketch_a", "sketch_b")), strict=True):
-                pair = [np.frombuffer(s.as_py(), "<u2") for s in (p, q)]
+                pair = [np.frombuffer(s.as_py(), np.uint8) for s in (p, q)]
                 if estimate(*pair) < least:
                     keep.append(False)
                     continue
@@ -205,11 +216,10 @@ def _across(percent: int):
 
     Rows come sorted by block pair; a block pair is whole before it is looked at.
     """
-    least = lowest_estimate(percent)
     group = ["key", "low", "high"]
 
     def pairs_of(pdf: pd.DataFrame) -> pd.DataFrame:
-        sketch = np.frombuffer(b"".join(pdf["sketch"]), "<u2").reshape(len(pdf), REGISTERS)
+        sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), WIDE)
         rep, component, part = (pdf[c].to_numpy(np.int64) for c in ("rep", "component", "part"))
         low, high = pdf["low"].to_numpy(np.int64), pdf["high"].to_numpy(np.int64)
         out = []
@@ -217,7 +227,7 @@ def _across(percent: int):
         def near(i: int, others: np.ndarray) -> None:
             others = others[component[others] != component[i]]
             if len(others):
-                close = others[estimate(sketch[others], sketch[i]) >= least]
+                close = others[may_reach(sketch[others], sketch[i], percent)]
                 out.extend((min(rep[i], r), max(rep[i], r)) for r in rep[close].tolist())
 
         cuts = _cuts(pdf[group])
