@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelake.workspace import new_folder
 
-from . import ball_tree, direct_codes, hyper_minhash, line_dedup, mixing, packing, quality_rules, toxicity, transducer
+from . import ball_tree, direct_codes, hyper_minhash, line_dedup, mixing, packing, quality_rules, suffix_dedup, toxicity, transducer
 from .common import public_tokenizer, table
 
 TOKEN_LIMIT = 4096
@@ -79,6 +79,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ball_tree.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
@@ -93,5 +104,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ball_tree": op10_ball_tree,
 }
