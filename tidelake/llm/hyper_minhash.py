@@ -3,8 +3,9 @@
 A document is the set of its distinct word shingles.  A sketch has 128 buckets;
 each keeps its smallest hash as a leading-zero count and ten bits of mantissa.
 Small sets fill empty buckets by further rounds of hashing, which keeps the
-chance that two buckets agree at the Jaccard similarity.  25 bands of five
-registers make candidates: a pair at 0.85 is missed with a chance of 4e-7.
+chance that two buckets agree at the Jaccard similarity.  32 bands of four
+registers make candidates: a pair at 0.85 is missed with a chance of 6e-11, one at
+0.8 with 5e-8.
 
 Documents with equal sets are one class from the start, so any number of copies
 is one row.  In each bucket the class that meets most others is paired with the
@@ -39,7 +40,7 @@ from .components import connected
 from .word_codes import slices, split_words
 
 REGISTERS = 128
-BANDS, ROWS = 25, 5
+BANDS, ROWS = 32, 4
 MANTISSA = 10
 #: A set element is the upper 52 bits of a shingle's hash, so that a slice sorts as (document, element).
 ELEMENT_BITS = 52

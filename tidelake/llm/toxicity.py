@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import written
 from .word_codes import slices, split_words
@@ -223,9 +224,10 @@ def _scorer(model: tuple[float, dict[str, float]] | None):
 
 
 def score(docs: DataFrame, model: tuple[float, dict[str, float]] | None) -> DataFrame:
-    """doc_id, text and score of each row of ``docs``."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(_scorer(model), "doc_id long, text string, score double")
+    """All columns of ``docs`` and the score of each row's text; it replaces a column of that name."""
+    source = docs.drop("score")
+    schema = T.StructType([*source.schema.fields, T.StructField("score", T.DoubleType())])
+    return source.mapInArrow(_scorer(model), schema)
 
 
 def in_fold(doc_id: str, folds: int = 5):
