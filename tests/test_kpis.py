@@ -3,9 +3,7 @@
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
-from tidelake.operators import topk
 from tidelake.operators.kpis import (
     low_stock_products,
     top_orders_by_value,
@@ -75,29 +73,28 @@ def test_top_orders_shows_copies(spark, join_sides):
     ]
 
 
-def test_probe_without_partners_falls_back_to_the_whole_join(spark, large_tables, monkeypatch):
-    """The most valuable orders are all orphans, more of them than the probe holds."""
-    monkeypatch.setattr(topk, "PROBE_ROWS", 20)
-    orders = spark.range(500).select(
-        F.col("id").cast("int").alias("orderid"),
-        F.when(F.col("id") < 100, 1).otherwise(99).alias("customerid"),
-        F.lit("d").alias("orderdate"),
-        F.col("id").cast("double").alias("totalamount"),
-    )
-    customers = spark.createDataFrame([(1, "A", "B", D1)], CUSTOMERS)
-    assert [r[0] for r in rows(top_orders_by_value(orders, customers))] == [99, 98, 97, 96, 95]
-
-
-def test_probe_is_enough_when_its_rows_join(spark, large_tables, monkeypatch):
-    monkeypatch.setattr(topk, "PROBE_ROWS", 20)
-    orders = spark.range(500).selectExpr(
-        "CAST(id AS INT) AS orderid", "1 AS customerid", "'d' AS orderdate",
-        "CAST(id AS DOUBLE) AS totalamount",
-    )
-    customers = spark.createDataFrame([(1, "A", "B", D1)], CUSTOMERS)
-    top = top_orders_by_value(orders, customers)
-    assert [r[0] for r in rows(top)] == [499, 498, 497, 496, 495]
-    assert "Join" not in top._jdf.queryExecution().optimizedPlan().toString()
+def test_one_answer_for_small_and_large_sides(spark, folder):
+    """Orders without a customer, repeated orders and repeated customers, from Parquet files."""
+    spark.createDataFrame(
+        [(i, None, "d", 500.0 + i, D1) for i in range(98)]
+        + [(200, 1, "d", 400.0, D1)] * 4
+        + [(300 + i, 2 + i % 3, "d", 300.0, D1) for i in range(30)],
+        ORDERS,
+    ).write.parquet(f"{folder}/orders")
+    spark.createDataFrame(
+        [(1, "A", "1", D1), (1, "B", "2", D1), (1, "C", "3", D1), (2, "D", "4", D1), (9, "E", "5", D1)], CUSTOMERS
+    ).write.parquet(f"{folder}/customers")
+    key, found = "spark.sql.autoBroadcastJoinThreshold", []
+    before = spark.conf.get(key)
+    try:
+        for limit in ("10MB", "-1"):
+            spark.conf.set(key, limit)
+            orders, customers = (spark.read.parquet(f"{folder}/{t}") for t in ("orders", "customers"))
+            found.append(rows(top_orders_by_value(orders, customers)))
+    finally:
+        spark.conf.set(key, before)
+    assert found[0] == found[1]
+    assert [r[1] for r in found[0]] == ["A", "A", "A", "A", "B"]
 
 
 def test_top_products(spark, join_sides):

@@ -1,14 +1,17 @@
 """Bronze, silver, gold, report and streaming over several run dates."""
 
 import os
-from datetime import date
+import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidelake import folders
 from tidelake.operators.guards import ContractError, counted, require_contract
 from tidelake.plans import bronze, gold, medallion, report, silver
-from tidelake.sinks.lake import overwrite_table, swap_table, write_days
+from tidelake.sinks.lake import overwrite_table, replace_table, write_days
 from tidelake.sources import lake
 from tidelake.specs import KPIS, SALES, TableSpec
 from tidelake.streaming import orders as order_stream
@@ -200,18 +203,50 @@ def test_refresh_of_an_old_or_repeated_day_recomputes(spark, folder):
 def test_refresh_after_a_run_that_died_recomputes(spark, folder):
     for day in (D1, D2):
         bronze.load(products(spark, *SNAPSHOTS[day]), PRODUCTS, f"{folder}/bronze", day)
+    # A version without a pointer: the run died before the switch.
     overwrite_table(
         lake.snapshot_scan(spark, PRODUCTS, f"{folder}/bronze/products").limit(0),
         "products",
-        f"{folder}/silver/products",
+        f"{folder}/silver/products/v-dead",
     )
-    os.remove(f"{local(folder)}/silver/products/_SUCCESS")
+    with pytest.raises(FileNotFoundError):
+        lake.silver_tables(spark, f"{folder}/silver", {"products": PRODUCTS})
     silver.refresh(spark, PRODUCTS, f"{folder}/bronze", f"{folder}/silver", D2)
     assert stock(spark, folder) == [(1, 11, D2), (2, 20, D1)]
+    assert "v-dead" not in os.listdir(f"{local(folder)}/silver/products")
+
+
+def test_refresh_merges_every_day_it_has_not_seen(spark, folder):
+    """Random days, skipped silver steps, days written again and late ones."""
+    chance = random.Random(5)
+    for round_ in range(4):
+        root = f"{folder}/{round_}"
+        for step in range(6):
+            day = D1 + timedelta(days=chance.choice([step, step, chance.randrange(6)]))
+            rows = [(i, "p", 100 * step + i) for i in chance.sample(range(5), 3)]
+            bronze.load(products(spark, *rows), PRODUCTS, f"{root}/bronze", day)
+            if step == 0 or chance.random() < 0.5:
+                silver.refresh(spark, PRODUCTS, f"{root}/bronze", f"{root}/silver", D1 + timedelta(days=9))
+        silver.refresh(spark, PRODUCTS, f"{root}/bronze", f"{root}/silver", D1 + timedelta(days=9))
+        refreshed = stock(spark, root)
+        silver.full_load(spark, PRODUCTS, f"{root}/bronze", f"{root}/silver")
+        assert refreshed == stock(spark, root), round_
+
+
+def test_days_of_other_stored_types_are_cast(spark, folder):
+    source = orders(spark, (1, "2025-01-01", 1.5), (2, "2025-01-02", 2.5))
+    for day in (D1, D2):
+        bronze.load(source, ORDERS, f"{folder}/bronze", day)
+    text = source.where("orderid = 2").select(*[F.col(c).cast("string").alias(c) for c in source.columns])
+    text.write.mode("overwrite").parquet(f"{folder}/bronze/orders/date={D2}")
+    silver.incremental(spark, ORDERS, f"{folder}/bronze", f"{folder}/silver", D1, D2)
+    table = lake.snapshot_scan(spark, ORDERS, f"{folder}/silver/orders")
+    assert sorted(r.totalamount for r in table.collect()) == [1.5, 2.5]
+    assert stream(order_stream.replace_touched_days, spark, folder) == [(1, 1.5, D1), (2, 2.5, D2)]
 
 
 def test_nothing_in_bronze_leaves_silver(spark, folder):
-    overwrite_table(
+    replace_table(
         products(spark, (1, "a", 1)).withColumn("date", F.lit(D1)), "products", f"{folder}/silver/products"
     )
     os.makedirs(f"{local(folder)}/bronze/products")
@@ -229,14 +264,32 @@ def test_one_row_per_key(spark, folder):
     assert [r[:2] for r in stock(spark, folder)] == [(1, 12), (3, 31)]
 
 
-def test_swap_replaces_a_table_by_rows_read_from_it(spark, folder):
+def test_a_table_is_replaced_by_rows_read_from_it(spark, folder, monkeypatch):
+    spec = TableSpec("t", T.StructType([T.StructField("id", T.LongType())]))
     path = f"{folder}/t"
-    overwrite_table(spark.range(10), "t", path)
-    table = spark.read.schema("id BIGINT").parquet(path)
-    assert swap_table(table.where("id < 3"), "t", path).rows_written == 3
-    assert spark.read.parquet(path).count() == 3
-    assert lake.is_complete(spark, path)
-    assert not lake.is_complete(spark, f"{folder}/nothing")
+
+    def ids():
+        return sorted(r.id for r in lake.snapshot_scan(spark, spec, path).collect())
+
+    def dated(df):
+        return df.select("id", F.lit(D1).alias("date"))
+
+    replace_table(dated(spark.range(10)), "t", path)
+    small = lake.snapshot_scan(spark, spec, path).where("id < 3")
+    assert replace_table(small, "t", path).rows_written == 3
+    assert ids() == [0, 1, 2]
+    replace_table(dated(spark.range(5)), "t", path)
+    kept = sorted(n for n in os.listdir(local(path)) if not n.startswith("."))
+    assert len(kept) == 4, "two versions and two pointers"
+
+    def died(*_):
+        raise OSError("died")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(folders, "write_new", died)
+        with pytest.raises(OSError):
+            replace_table(dated(spark.range(1)), "t", path)
+    assert ids() == [0, 1, 2, 3, 4], "before the switch readers see the old table"
 
 
 def test_silver_incremental_rerun_and_append(spark, folder):
@@ -262,14 +315,15 @@ def stream(step, spark, folder, **kwargs):
     return sorted((r.orderid, r.totalamount, r.date) for r in rows)
 
 
-def test_stream_appends_each_file_once(spark, folder):
+def test_stream_and_batch_share_a_table(spark, folder):
+    step = order_stream.replace_touched_days
     source = orders(spark, (1, "2025-01-01", 1.0), (2, "2025-01-02", 2.0), (3, "2025-01-03", 3.0))
     for day in (D1, D2):
         bronze.load(source, ORDERS, f"{folder}/bronze", day, "append")
-    step = order_stream.append_new_files
     assert len(stream(step, spark, folder, max_files_per_batch=1)) == 2
     assert len(stream(step, spark, folder)) == 2
     bronze.load(source, ORDERS, f"{folder}/bronze", D3, "append")
+    silver.incremental(spark, ORDERS, f"{folder}/bronze", f"{folder}/silver", D3)
     assert stream(step, spark, folder) == [(1, 1.0, D1), (2, 2.0, D2), (3, 3.0, D3)]
 
 

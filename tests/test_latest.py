@@ -112,7 +112,7 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_hot_key_is_split_over_tasks(spark, small_skew):
+def test_a_hot_key_is_split_over_tasks(spark, small_skew, large_tables):
     """A third of all rows share one key and its newest date."""
     latest = latest_by_key(skewed(spark, "2025-01-01"), ["k"], "date")
     assert len(latest.collect()) == 90_000

@@ -1,10 +1,12 @@
 """What Spark plans for the queries: pushed filters, read columns, heaps, no Python."""
 
 import re
+from datetime import date
 
 import pytest
 
-from tidelake.queries import REGISTRY
+from tidelake.plans import bronze, views
+from tidelake.queries import REGISTRY, WIDE
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -71,7 +73,8 @@ def test_only_needed_columns_are_read(spark):
 
 
 def test_day_filter_reaches_parquet(spark):
-    text = plan(REGISTRY["bronze_orders_by_date"](spark, SF_DIR))
+    day = date(1995, 6, 19)
+    text = plan(bronze.transform(views.orders(spark, SF_DIR, day, day), WIDE["orders"], day))
     assert "GreaterThanOrEqual(o_orderdate,1995-06-19" in text
     assert "LessThan(o_orderdate,1" in text
 
@@ -82,7 +85,7 @@ def test_items_are_summed_before_a_large_join(spark, large_tables):
     assert per_name < text.index("SortMergeJoin") < per_product
 
 
-def test_latest_reads_the_newest_version_from_two_columns_and_key(spark):
+def test_latest_reads_the_newest_version_from_two_columns_and_key(spark, large_tables):
     text = plan(REGISTRY["silver_latest_by_key"](spark, SF_DIR))
     assert "partial_max(l_shipdate" in text and "LeftSemi" in text and "SortMergeJoin" in text
     assert "Window" not in text

@@ -38,13 +38,24 @@ def test_no_local_folder_on_a_cluster():
     assert workspace.shared_folder(session) == session.folder is not None
 
 
-def test_sizes_grow_with_the_cluster():
-    sizes = workspace.size_settings(local=False, cores=8000)
-    assert sizes == {
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32000",
-        "spark.sql.files.maxPartitionNum": "64000",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
-    }
+class Cluster(Session):
+    """A session of a cluster that keeps what is set."""
+
+    def __init__(self):
+        super().__init__("spark://host:7077")
+        self.kept = {"spark.sql.shuffle.partitions": "50"}
+
+    def get(self, key, default):
+        return self.kept.get(key, default)
+
+    def set(self, key, value):
+        self.kept[key] = value
+
+
+def test_no_size_is_set_on_a_cluster():
+    session = workspace.tune(Cluster())
+    assert session.kept["spark.sql.shuffle.partitions"] == "50"
+    assert not [k for k in session.kept if "Num" in k or "Size" in k]
 
 
 def test_a_size_set_by_the_user_stays(spark):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.operators.sizes import fits_broadcast
 from tidelake.operators.topk import top_k, top_k_joined
 from tidelake.specs import LOAD_DATE
 
@@ -39,15 +38,12 @@ def top_orders_by_value(orders: DataFrame, customers: DataFrame, k: int = TOP) -
 def top_products_sold(order_items: DataFrame, products: DataFrame, k: int = TOP) -> DataFrame:
     """Best-selling product names by summed quantity; products sharing a name merge.
 
-    A product table too large to broadcast is joined to per-product sums, so a
-    product with a third of all items is a few rows by the time it is shuffled.
+    Items are summed per product before the join, so a product with a third of
+    all items is a few rows by the time it is shuffled.
     """
-    named = products.select("productid", "productname")
-    sold = order_items.select("productid", "quantity")
-    if not fits_broadcast(named):
-        sold = sold.groupBy("productid").agg(F.sum("quantity").alias("quantity"))
+    sold = order_items.groupBy("productid").agg(F.sum("quantity").alias("quantity"))
     per_name = (
-        sold.join(named, "productid")
+        sold.join(products.select("productid", "productname"), "productid")
         .groupBy("productname")
         .agg(F.sum("quantity").alias("total_sold"))
     )

@@ -25,9 +25,10 @@ def latest_by_key(
 
     A window would bring every row of a key to one task.  Here the newest
     version per key is aggregated map-side first, and the rows meet it in a
-    sort-merge semi join on (key, version): a hot key spreads over its versions,
-    and a hot (key, version) is a skewed join partition, which adaptive
-    execution splits, since the other side has one row for it.
+    semi join on (key, version), whose kind is Spark's choice: few keys are
+    broadcast, and the rows are not shuffled.  In a shuffle a hot key spreads
+    over its versions, and a hot (key, version) is a skewed join partition,
+    which adaptive execution splits, since the other side has one row for it.
     """
     if ties == "one":
         return _one_per_key(df, key, version)
@@ -35,7 +36,7 @@ def latest_by_key(
         raise ValueError(f"ties must be 'all' or 'one', not {ties!r}")
 
     newest = df.groupBy(*key).agg(F.max(version).alias(version))
-    return _join_on(df, newest, [*key, version], "left_semi", hint="merge")
+    return _join_on(df, newest, [*key, version], "left_semi")
 
 
 def update_by_key(
@@ -43,9 +44,10 @@ def update_by_key(
 ) -> DataFrame:
     """``latest_by_key`` of both, where every row of ``newer`` is newer than all of ``latest``.
 
-    Needs ``latest`` to be the latest rows already, and ``newer`` to be of one
-    version.  The new rows then all stay, so they are not shuffled; only their
-    distinct keys are, to find the old rows that none of them replaces.
+    Needs ``latest`` to be the latest rows already, and ``newer`` to be the
+    latest of the newer rows.  These then all stay, so they are not shuffled;
+    only their distinct keys are, to find the old rows that none of them
+    replaces.
     """
     if ties == "one":
         newer = _one_per_key(newer, key, version)
@@ -53,9 +55,7 @@ def update_by_key(
     return untouched.unionByName(newer)
 
 
-def _join_on(
-    rows: DataFrame, keys: DataFrame, names: Sequence[str], how: str, hint: str | None = None
-) -> DataFrame:
+def _join_on(rows: DataFrame, keys: DataFrame, names: Sequence[str], how: str) -> DataFrame:
     """Semi or anti join where NULL equals NULL.
 
     ``keys`` comes from an aggregation by some of ``names``.  Null-safe equality
@@ -63,8 +63,6 @@ def _join_on(
     shuffles is what lets adaptive execution split a skewed one.
     """
     keys = keys.withColumnsRenamed({name: f"other_{name}" for name in names})
-    if hint:
-        keys = keys.hint(hint)
     same = [rows[name].eqNullSafe(keys[f"other_{name}"]) for name in names]
     return rows.join(keys, reduce(and_, same), how)
 

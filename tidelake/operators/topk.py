@@ -7,11 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.operators.sizes import fits_broadcast
-from tidelake.workspace import use_checkpoints
-
-PROBE_ROWS = 100
-
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """First ``k`` rows; planned as a per-partition heap, not a full sort."""
@@ -29,25 +24,9 @@ def top_k_joined(
     """Top ``k`` of ``rows JOIN names`` by ``by`` descending, NULLs last.
 
     Ties are broken by ``then_by``, the join column and the columns of
-    ``names``, in this order.
-
-    With a small ``names`` table this is a broadcast join and a heap.  With a
-    large one, joining everything only to keep ``k`` rows would shuffle both
-    tables, so the ``PROBE_ROWS`` best rows are joined alone, broadcast to
-    ``names``: a row outside the probe sorts after every row in it, or is tied
-    and has the same partners, so ``k`` joined rows from the probe are the
-    answer.  Only if it yields fewer, because too many of its rows have no
-    partner, is everything joined.
+    ``names``, in this order.  One plan for every size: Spark chooses the join,
+    and each task keeps a heap of ``k`` joined rows.
     """
-    row_order = [
-        F.col(by).desc_nulls_last(),
-        *[F.col(c).asc_nulls_first() for c in (*then_by, on)],
-    ]
-    order = row_order + [F.col(c).asc_nulls_first() for c in names.columns if c != on]
-    if not fits_broadcast(names):
-        head = top_k(rows, row_order, max(PROBE_ROWS, k))
-        use_checkpoints(rows.sparkSession)
-        probe = top_k(F.broadcast(head).join(names, on), order, k).checkpoint()
-        if probe.count() == k:
-            return probe
+    order = [F.col(by).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in (*then_by, on)]]
+    order += [F.col(c).asc_nulls_first() for c in names.columns if c != on]
     return top_k(rows.join(names, on), order, k)

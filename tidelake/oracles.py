@@ -106,7 +106,10 @@ ORACLES: dict[str, str] = {
     """,
     "partition_preview": f"{CUSTOMER_SNAPSHOT} ORDER BY customerid LIMIT 5",
     "generate_lines": LINES,
-    "text_line_roundtrip": f"SELECT value || ' - Processado com sucesso!' AS value FROM ({LINES})",
+    "text_line_roundtrip": """
+        SELECT value || ' - Processado com sucesso!' AS value
+        FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)
+    """,
     "csv_headerless_mask": """
         SELECT 'c_custkey' AS c0, 'c_mktsegment' AS c1, '****' AS c2
         UNION ALL
@@ -189,10 +192,14 @@ ORACLES: dict[str, str] = {
     """,
     "silver_full_load": LATEST_PRODUCTS,
     "silver_refresh": LATEST_PRODUCTS,
+    "silver_refresh_after_gap": LATEST_PRODUCTS,
+    "silver_refresh_drifted": LATEST_PRODUCTS,
     "silver_overwrite": LATEST_LINES,
     "silver_incremental_append": MONTHLY_ORDERS,
     "silver_stream_append": MONTHLY_ORDERS,
     "silver_stream_replace": MONTHLY_ORDERS,
+    "silver_stream_then_batch": MONTHLY_ORDERS,
+    "silver_append_mode": f"{MONTHLY_ORDERS} UNION ALL {MONTHLY_ORDERS}",
     "gold_total_orders": """
         SELECT count(DISTINCT o_orderkey) AS total_orders,
                CAST(max(o_orderdate) AS DATE) AS ref_date

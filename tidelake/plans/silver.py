@@ -5,13 +5,11 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidelake.operators.guards import Audit, require_contract
 from tidelake.operators.latest import latest_by_key, update_by_key
-from tidelake.operators.rows import stabilize_types
-from tidelake.sinks.lake import overwrite_table, swap_table, write_days
-from tidelake.sources.lake import is_complete, partition_scan, snapshot_scan
+from tidelake.sinks.lake import replace_table, write_days
+from tidelake.sources.lake import bronze_days, current_version, snapshot_scan, stored_scan
 from tidelake.specs import LOAD_DATE, TableSpec
 
 
@@ -29,14 +27,15 @@ def full_load(
     """Recompute a table from all its snapshots and replace it.
 
     A row gone from the source stays, with its last known values.  Nothing in
-    bronze leaves silver as it is.
+    bronze leaves silver as it is, or empty if it was never written.
     """
-    path = f"{silver_root}/{spec.name}"
-    rows = stabilize_types(snapshot_scan(spark, spec, f"{bronze_root}/{spec.name}"), spec)
+    source, path = f"{bronze_root}/{spec.name}", f"{silver_root}/{spec.name}"
+    days = bronze_days(spark, spec, source)
+    rows = stored_scan(spark, spec, source, days)
     latest = _latest(rows, spec, ties)
-    if rows.isEmpty():
+    if not days and current_version(spark, path) is not None:
         return Audit(spec.name, path, 0)
-    return overwrite_table(latest, spec.name, path)
+    return replace_table(latest, spec.name, path, days)
 
 
 def refresh(
@@ -47,29 +46,27 @@ def refresh(
     run_date: date,
     ties: str = "all",
 ) -> Audit:
-    """``full_load`` that reads silver plus one new snapshot instead of them all.
+    """``full_load`` up to the run date that reads silver plus the snapshots not in it yet.
 
-    Right only if silver is whole and the run date is newer than everything in
-    it.  Otherwise (first run, a run that died, a day run again or late) the
-    full load runs.
+    Silver knows the bronze days it was made from, and the print of each.  Days
+    that follow them all are merged, however many they are.  If there is no silver
+    yet, or a day within was added, written again or taken away, the full load runs.
     """
-    path = f"{silver_root}/{spec.name}"
-    if not is_complete(spark, path):
+    source, path = f"{bronze_root}/{spec.name}", f"{silver_root}/{spec.name}"
+    current = current_version(spark, path)
+    if current is None:
         return full_load(spark, spec, bronze_root, silver_root, ties)
-    current = snapshot_scan(spark, spec, path)
-    if not current.where(F.col(LOAD_DATE) >= F.lit(run_date)).isEmpty():
+    days = bronze_days(spark, spec, source)
+    changed = [d for d in {*days, *current.days} if days.get(d) != current.days.get(d)]
+    newest = max(current.days, default="")
+    if any(d <= newest for d in changed):
         return full_load(spark, spec, bronze_root, silver_root, ties)
-    day = partition_scan(spark, spec, f"{bronze_root}/{spec.name}", run_date)
-    if day.isEmpty():
+    new = [d for d in changed if d <= run_date.isoformat()]
+    if not new:
         return Audit(spec.name, path, 0)
-    merged = update_by_key(
-        current,
-        require_contract(stabilize_types(day, spec), spec),
-        spec.key,
-        LOAD_DATE,
-        ties,
-    )
-    return swap_table(merged, spec.name, path)
+    newer = _latest(stored_scan(spark, spec, source, new), spec, ties)
+    merged = update_by_key(snapshot_scan(spark, spec, path), newer, spec.key, LOAD_DATE, ties)
+    return replace_table(merged, spec.name, path, current.days | {d: days[d] for d in new})
 
 
 def incremental(
@@ -82,9 +79,11 @@ def incremental(
     mode: str = "overwrite",
 ) -> Audit:
     """Move a run date's rows, or those of ``run_date..last``, to silver."""
-    rows = partition_scan(spark, spec, f"{bronze_root}/{spec.name}", run_date, last)
+    source = f"{bronze_root}/{spec.name}"
+    upto = (last or run_date).isoformat()
+    days = [d for d in bronze_days(spark, spec, source) if run_date.isoformat() <= d <= upto]
     return write_days(
-        stabilize_types(require_contract(rows, spec), spec),
+        require_contract(stored_scan(spark, spec, source, days), spec),
         spec.name,
         f"{silver_root}/{spec.name}",
         mode,

@@ -23,7 +23,7 @@ from tidelake.sinks.files import write_lines, write_positional_csv
 from tidelake.sinks.lake import overwrite_table, write_days
 from tidelake.sources import files, lake
 from tidelake.sources.sqlite import sqlite_scan, write_sqlite_shards
-from tidelake.specs import SALES, wide_sales
+from tidelake.specs import KPIS, SALES, wide_sales
 from tidelake.streaming import orders as order_stream
 from tidelake.workspace import new_folder, tune
 
@@ -116,8 +116,10 @@ def generate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def text_line_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document through text files."""
     raw, done = new_folder(spark, "lines"), new_folder(spark, "lines-done")
-    write_lines(files.generate_lines(spark, views.table(spark, sf_dir, "orders").count()), raw)
+    lines = views.table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("value"))
+    write_lines(lines, raw)
     write_lines(
         files.read_lines(spark, raw).select(C.with_done_suffix(F.col("value")).alias("value")),
         done,
@@ -245,7 +247,7 @@ def strip_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bronze_orders_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = ORDER_DAY
-    return bronze.transform(views.orders(spark, sf_dir, day, day), WIDE["orders"], day)
+    return bronze.transform(views.orders(spark, sf_dir), WIDE["orders"], day)
 
 
 # --- bronze ----------------------------------------------------------------
@@ -272,7 +274,7 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bronze_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, day = new_folder(spark, "bronze"), ORDER_DAY
-    bronze.load(views.orders(spark, sf_dir, day, day), WIDE["orders"], root, day)
+    bronze.load(views.orders(spark, sf_dir), WIDE["orders"], root, day)
     return lake.partition_scan(spark, WIDE["orders"], f"{root}/orders", day)
 
 
@@ -372,6 +374,32 @@ def silver_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.snapshot_scan(spark, spec, f"{root}/silver/products")
 
 
+@query
+def silver_refresh_after_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table, though the silver step of the second day was lost."""
+    root, spec = new_folder(spark, "lake"), WIDE["products"]
+    for version, day in enumerate(SNAPSHOT_DAYS):
+        bronze.load(_product_snapshot(spark, sf_dir, version), spec, f"{root}/bronze", day)
+        if version != 1:
+            silver.refresh(spark, spec, f"{root}/bronze", f"{root}/silver", day)
+    return lake.snapshot_scan(spark, spec, f"{root}/silver/products")
+
+
+@query
+def silver_refresh_drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table from a bronze whose second day is stored as text, the third with INT ids."""
+    root, spec = new_folder(spark, "lake"), WIDE["products"]
+    for version, day in enumerate(SNAPSHOT_DAYS):
+        rows = R.stamp_load_date(R.select_columns(_product_snapshot(spark, sf_dir, version), spec), day)
+        if version == 1:
+            rows = rows.withColumns({c: F.col(c).cast("string") for c in spec.columns})
+        if version == 2:
+            rows = rows.withColumn("productid", F.col("productid").cast("int"))
+        write_days(rows, spec.name, f"{root}/bronze/{spec.name}")
+        silver.refresh(spark, spec, f"{root}/bronze", f"{root}/silver", day)
+    return lake.snapshot_scan(spark, spec, f"{root}/silver/products")
+
+
 @query
 def silver_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "silver")
@@ -407,18 +435,48 @@ def silver_incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each bronze file is picked up once; the last run finds nothing new."""
+    """New bronze days are picked up once; the last run finds nothing new."""
     root, spec = new_folder(spark, "lake"), WIDE["orders"]
     first, middle, next_month, last = _months(spark, sf_dir)
     for months in ((first, middle), (next_month, last), None):
         if months is not None:
             _book(spark, sf_dir, root, *months)
-        order_stream.append_new_files(
+        order_stream.replace_touched_days(
             spark, spec, f"{root}/bronze", f"{root}/silver", f"{root}/progress"
         ).awaitTermination()
     return lake.snapshot_scan(spark, spec, f"{root}/silver/orders")
 
 
+@query
+def silver_append_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appended twice, all orders are in silver twice."""
+    root, spec = new_folder(spark, "lake"), WIDE["orders"]
+    first, _, _, last = _months(spark, sf_dir)
+    _book(spark, sf_dir, root, first, last)
+    for _ in range(2):
+        silver.incremental(spark, spec, f"{root}/bronze", f"{root}/silver", first, last, "append")
+    return lake.snapshot_scan(spark, spec, f"{root}/silver/orders")
+
+
+@query
+def silver_stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream, a batch load and the stream again on one table: all orders, once."""
+    root, spec = new_folder(spark, "lake"), WIDE["orders"]
+    first, middle, next_month, last = _months(spark, sf_dir)
+
+    def stream() -> None:
+        order_stream.replace_touched_days(
+            spark, spec, f"{root}/bronze", f"{root}/silver", f"{root}/progress"
+        ).awaitTermination()
+
+    _book(spark, sf_dir, root, first, middle)
+    stream()
+    _book(spark, sf_dir, root, next_month, last)
+    silver.incremental(spark, spec, f"{root}/bronze", f"{root}/silver", next_month, last)
+    stream()
+    return lake.snapshot_scan(spark, spec, f"{root}/silver/orders")
+
+
 @query
 def silver_stream_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months that bronze rewrites between two runs are replaced, not added."""
@@ -461,47 +519,47 @@ def gold_low_stock_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.low_stock_products(views.products(spark, sf_dir))
 
 
-def _build_gold(spark: SparkSession, sf_dir: str, without: str | None = None) -> str:
+def _build_gold(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """Gold with the named KPIs, or all of them."""
     tables = views.sales_tables(spark, sf_dir)
     tables["orders"] = views.loaded_orders(spark, sf_dir)
     root = new_folder(spark, "gold")
     frames = gold.kpis(tables)
-    gold.write_kpis({k: v for k, v in frames.items() if k != without}, root, RUN_DATE)
+    gold.write_kpis({name: frames[name] for name in names or frames}, root, RUN_DATE)
     return root
 
 
 @query
 def gold_kpi_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _build_gold(spark, sf_dir)
+    root = _build_gold(spark, sf_dir, "top_5_products_sold")
     return lake.kpi_scan(spark, root, RUN_DATE, "top_5_products_sold")
 
 
 @query
 def kpi_missing_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of a run whose order total was never written."""
-    return report.long_report(
-        spark, _build_gold(spark, sf_dir, without="total_orders"), RUN_DATE
-    )
+    written = [name for name in KPIS if name != "total_orders"]
+    return report.long_report(spark, _build_gold(spark, sf_dir, *written), RUN_DATE)
 
 
 @query
 def report_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.headline(spark, _build_gold(spark, sf_dir), RUN_DATE)
+    return report.headline(spark, _build_gold(spark, sf_dir, "total_orders"), RUN_DATE)
 
 
 @query
 def report_orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.orders_table(spark, _build_gold(spark, sf_dir), RUN_DATE)
+    return report.orders_table(spark, _build_gold(spark, sf_dir, "top_5_orders_value"), RUN_DATE)
 
 
 @query
 def report_products_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.products_series(spark, _build_gold(spark, sf_dir), RUN_DATE)
+    return report.products_series(spark, _build_gold(spark, sf_dir, "top_5_products_sold"), RUN_DATE)
 
 
 @query
 def report_stock_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.stock_series(spark, _build_gold(spark, sf_dir), RUN_DATE)
+    return report.stock_series(spark, _build_gold(spark, sf_dir, "low_stock_products"), RUN_DATE)
 
 
 @query
@@ -517,9 +575,6 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = views.sales_tables(spark, sf_dir)
     medallion.run(spark, sources, root, last, WIDE, backfill_from=first)
     next_day = last + timedelta(days=1)
-    sources |= {
-        "products": _product_snapshot(spark, sf_dir, 1),
-        "orders": views.orders(spark, sf_dir, next_day, next_day),
-    }
+    sources |= {"products": _product_snapshot(spark, sf_dir, 1)}
     medallion.run(spark, sources, root, next_day, WIDE)
     return report.long_report(spark, f"{root}/gold", next_day)

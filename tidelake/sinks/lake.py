@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from tidelake import folders
 from tidelake.operators.guards import Audit, counted
+from tidelake.sources.lake import POINTER, VERSION, current_version
 from tidelake.specs import LOAD_DATE
 
 MODES = ("overwrite", "append")
@@ -18,7 +22,6 @@ def write_days(
     path: str,
     mode: str = "overwrite",
     days: str = "whole",
-    max_records_per_file: int = 0,
 ) -> Audit:
     """Write into ``<path>/date=<day>/`` folders.
 
@@ -45,41 +48,38 @@ def write_days(
     (
         df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(LOAD_DATE)
         .parquet(path)
     )
     return Audit(table, path, observation.get["rows"])
 
 
-def overwrite_table(
-    df: DataFrame, table: str, path: str, max_records_per_file: int = 0
-) -> Audit:
-    """Replace a whole unpartitioned table; ``date`` stays a data column."""
+def overwrite_table(df: DataFrame, table: str, path: str) -> Audit:
+    """Replace a whole unpartitioned table in place; ``date`` stays a data column."""
     df, observation = counted(df)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .parquet(path)
-    )
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return Audit(table, path, observation.get["rows"])
 
 
-def swap_table(df: DataFrame, table: str, path: str) -> Audit:
-    """Replace a table by rows that may be read from it.
+def replace_table(df: DataFrame, table: str, path: str, days: Mapping[str, str] | None = None) -> Audit:
+    """Replace a table by a new version, which may be computed from the current one.
 
-    The rows go to a folder beside the table, which then takes its place.  A run
-    that dies before the swap leaves the old table; one that dies within it
-    leaves none, which ``is_complete`` tells.
+    The rows go to a folder of their own; a small numbered pointer, written last,
+    makes them the table.  Until then, and if the run dies, readers see the old
+    version.  The version before the current one stays for readers that have
+    begun; older ones and those of runs that died go.  ``days`` is kept with the
+    version.  One writer at a time: a second one fails at the pointer.
     """
     spark = df.sparkSession
-    parent, _, name = path.rstrip("/").rpartition("/")
-    staged = f"{parent}/.staged-{name}-{uuid.uuid4().hex}"
-    audit = overwrite_table(df, table, staged)
-    to_path = spark._jvm.org.apache.hadoop.fs.Path
-    files = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(to_path(path), True)
-    if not files.rename(to_path(staged), to_path(path)):
-        raise OSError(f"could not move {staged} to {path}")
+    now = current_version(spark, path)
+    folder = f"{VERSION}{uuid.uuid4().hex}"
+    audit = overwrite_table(df, table, f"{path}/{folder}")
+    number = now.number + 1 if now else 1
+    told = {"folder": folder, "days": dict(days or {})}
+    folders.write_new(spark, f"{path}/{POINTER}{number:012d}", json.dumps(told))
+    keep = {folder, now.folder if now else folder}
+    for name in folders.names(spark, path):
+        old_pointer = name.startswith(POINTER) and int(name.removeprefix(POINTER)) < number - 1
+        if old_pointer or name.startswith(VERSION) and name not in keep:
+            folders.remove(spark, f"{path}/{name}")
     return Audit(table, path, audit.rows_written)

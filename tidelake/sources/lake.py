@@ -2,25 +2,113 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterable
 from datetime import date
+from functools import reduce
+from hashlib import md5
+from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelake import folders
+from tidelake.operators.rows import stabilize_types
 from tidelake.specs import KPIS, LOAD_DATE, KpiSpec, TableSpec
 
 PREVIEW_ROWS = 5
+POINTER = "_current-"
+VERSION = "v-"
+FOOTER_READERS = 16
+
+
+class Version(NamedTuple):
+    """A table's current version: its pointer's number, its folder, and the bronze days in it."""
+
+    number: int
+    folder: str
+    days: dict[str, str]
+
+
+def current_version(spark: SparkSession, path: str) -> Version | None:
+    """What the newest pointer of a replaced table names; None for other folders."""
+    pointers = [n for n in folders.names(spark, path) if n.startswith(POINTER)]
+    if not pointers:
+        return None
+    told = json.loads(folders.read_text(spark, f"{path}/{pointers[-1]}"))
+    return Version(int(pointers[-1].removeprefix(POINTER)), told["folder"], told["days"])
 
 
 def snapshot_scan(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
-    """All days of a table.  The folder supplies ``date``.
+    """All days of a table, or the current version of a replaced one.
 
-    The declared schema is applied on read, so days written with drifting types
-    or a table without any day yet do not break the scan.
+    The folder supplies ``date`` where there are days.  The declared schema is
+    applied on read, so a table without any day yet does not break the scan;
+    ``stored_scan`` is for days of other stored types.
     """
-    return spark.read.schema(spec.lake_schema).parquet(root)
+    version = current_version(spark, root)
+    path = f"{root}/{version.folder}" if version else root
+    return spark.read.schema(spec.lake_schema).parquet(path)
+
+
+def bronze_days(spark: SparkSession, spec: TableSpec, root: str) -> dict[str, str]:
+    """Each day of a table with a print of its files' names: a day written again has another."""
+    try:
+        files = spark.read.schema(spec.lake_schema).parquet(root).inputFiles()
+    except AnalysisException as error:
+        if _is_missing(error):
+            return {}
+        raise
+    by_day: dict[str, list[str]] = {}
+    for file in files:
+        found = re.search(rf"/{LOAD_DATE}=([^/]+)/(.+)$", file)
+        if found:
+            by_day.setdefault(found[1], []).append(found[2])
+    return {day: md5("\n".join(sorted(own)).encode()).hexdigest() for day, own in by_day.items()}
+
+
+def stored_scan(
+    spark: SparkSession, spec: TableSpec, root: str, days: Iterable[str] | None = None
+) -> DataFrame:
+    """Days of a table by their stored types, cast to the declared ones.
+
+    Spark merges the files' schemas in one job.  Only if they disagree are the day
+    folders grouped by the schema that each has, and each group is cast by itself.
+    A malformed value raises.
+    """
+    there = [n for n in folders.names(spark, root) if n.startswith(f"{LOAD_DATE}=")]
+    wanted = None if days is None else {f"{LOAD_DATE}={day}" for day in days}
+    paths = [f"{root}/{n}" for n in there if wanted is None or n in wanted]
+    if not paths:
+        return spark.createDataFrame([], spec.lake_schema)
+
+    def read(some: list[str], schema: T.StructType | None = None) -> DataFrame:
+        reader = spark.read.option("basePath", root)
+        reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
+        rows = reader.parquet(*some)
+        rows = rows.withColumns(
+            {f.name: F.lit(None).cast(f.dataType) for f in spec.schema.fields if f.name not in rows.columns}
+        )
+        return stabilize_types(rows, spec).select(*spec.columns, F.col(LOAD_DATE).cast("date"))
+
+    def stored(path: str) -> tuple[str, T.StructType]:
+        return path, spark.read.option("basePath", root).option("mergeSchema", "true").parquet(path).schema
+
+    try:
+        return read(paths)
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    with ThreadPool(FOOTER_READERS) as pool:
+        for path, schema in pool.map(stored, paths):
+            groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return reduce(DataFrame.unionByName, [read(some, schema) for schema, some in groups.values()])
 
 
 def partition_scan(
@@ -35,6 +123,13 @@ def partition_scan(
 def silver_tables(
     spark: SparkSession, root: str, specs: dict[str, TableSpec]
 ) -> dict[str, DataFrame]:
+    """All silver tables; one that was never written to its end is an error.
+
+    A table that is loaded by day has the days it has, or none yet.
+    """
+    for name, spec in specs.items():
+        if not spec.incremental and current_version(spark, f"{root}/{name}") is None:
+            raise FileNotFoundError(f"silver has no complete table {name} in {root}")
     return {name: snapshot_scan(spark, spec, f"{root}/{name}") for name, spec in specs.items()}
 
 
@@ -42,20 +137,6 @@ def _is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a table was written there to the end.
-
-    A job that died while replacing the table leaves no success marker.
-    """
-    try:
-        spark.read.text(f"{path}/_SUCCESS")
-    except AnalysisException as error:
-        if _is_missing(error):
-            return False
-        raise
-    return True
-
-
 def kpi_scan(spark: SparkSession, gold_root: str, run_date: date, name: str) -> DataFrame:
     """One KPI of a run date; its default rows if no Parquet file is there.
 

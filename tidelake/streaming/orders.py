@@ -3,49 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelake.operators.rows import stabilize_types
 from tidelake.sinks.lake import write_days
-from tidelake.sources.lake import snapshot_scan
+from tidelake.sources.lake import stored_scan
 from tidelake.specs import LOAD_DATE, TableSpec
 
 
-def _new_files(
-    spark: SparkSession, spec: TableSpec, bronze_root: str, max_files_per_batch: int | None
-) -> DataFrame:
-    reader = spark.readStream.schema(spec.lake_schema)
-    if max_files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return reader.parquet(f"{bronze_root}/{spec.name}")
-
-
-def append_new_files(
-    spark: SparkSession,
-    spec: TableSpec,
-    bronze_root: str,
-    silver_root: str,
-    checkpoint: str,
-    max_files_per_batch: int | None = None,
-) -> StreamingQuery:
-    """Append the rows of every bronze file not seen before, each file once.
-
-    For a bronze table that is only appended to: a rewritten day is new files,
-    whose rows would come again.
-    """
-    rows = _new_files(spark, spec, bronze_root, max_files_per_batch)
-    return (
-        stabilize_types(rows, spec)
-        .writeStream.format("parquet")
-        .partitionBy(LOAD_DATE)
-        .option("path", f"{silver_root}/{spec.name}")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
 def replace_touched_days(
     spark: SparkSession,
     spec: TableSpec,
@@ -56,21 +21,25 @@ def replace_touched_days(
 ) -> StreamingQuery:
     """Bring silver's days in line with bronze for every day with new files.
 
-    Each batch reads the touched days from bronze again and overwrites them in
-    silver, so rewritten days and repeated batches leave no duplicates.
+    The stream tells which days have new files; each batch reads these days from
+    bronze, whatever types they are stored in, and overwrites them in silver.  So
+    rewritten days and repeated batches leave no duplicates, and silver is a plain
+    table that batch loads may write too.
     """
     bronze, silver = f"{bronze_root}/{spec.name}", f"{silver_root}/{spec.name}"
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
         # One value per calendar day, whatever the batch holds.
-        days = [row[LOAD_DATE] for row in batch.select(LOAD_DATE).distinct().collect()]
+        days = [row[LOAD_DATE].isoformat() for row in batch.select(LOAD_DATE).distinct().collect()]
         if days:
-            rows = snapshot_scan(session, spec, bronze).where(F.col(LOAD_DATE).isin(days))
-            write_days(stabilize_types(rows, spec), spec.name, silver, days="many")
+            write_days(stored_scan(session, spec, bronze, days), spec.name, silver, days="many")
 
+    reader = spark.readStream.schema(T.StructType([T.StructField(LOAD_DATE, T.DateType())]))
+    if max_files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     return (
-        _new_files(spark, spec, bronze_root, max_files_per_batch)
+        reader.parquet(bronze)
         .writeStream.foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -8,8 +8,6 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-SHUFFLES_PER_CORE = 4
-SPLITS_PER_CORE = 8
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,55 +27,34 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Let ``DataFrame.checkpoint`` write to the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def size_settings(local: bool, cores: int) -> dict[str, str]:
-    """How finely to cut scans and shuffles.
+def local_settings() -> dict[str, str]:
+    """For a local master only, as long as the user set nothing else.
 
-    Adaptive execution merges small shuffle partitions but does not divide large
-    ones that are all alike, so on a cluster a shuffle starts with a few per
-    core.  A scan of a huge table is cut into some per core, rather than one per
-    128 MB, so that the number of shuffle blocks (scan tasks times shuffle
-    partitions) stays bounded.  Rebalanced and split partitions, and so the
-    files written from them, are of a size that suits large tables.
-
-    On a local master the floor for merging is low, so that a small backfill of
+    The floor for merging shuffle partitions is low, so that a small backfill of
     many days, whose cost is its number of files, is written in parallel.
     """
-    if local:
-        return {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
-    return {
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(SHUFFLES_PER_CORE * cores),
-        "spark.sql.files.maxPartitionNum": str(SPLITS_PER_CORE * cores),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
-    }
+    return {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Settings the jobs count on.  Sizes set by the user stay.
+    """Settings the jobs count on; none is a size, and none depends on the cluster.
 
     ANSI mode makes a malformed value raise where it would silently be NULL.
-    Folders are listed by a few tasks per core instead of one task per folder.
+    The user's shuffle partitions, scan splits and broadcast limit hold.
     """
-    cores = spark.sparkContext.defaultParallelism
     settings = {
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.python.filterPushdown.enabled": "true",
-        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * cores),
     }
-    sizes = size_settings(spark.sparkContext.master.startswith("local"), cores)
-    settings |= {k: v for k, v in sizes.items() if spark.conf.get(k, None) is None}
+    if spark.sparkContext.master.startswith("local"):
+        settings |= {k: v for k, v in local_settings().items() if spark.conf.get(k, None) is None}
     for key, value in settings.items():
         spark.conf.set(key, value)
     return spark
