@@ -7,8 +7,8 @@ two, written together, are encoded as the two).  So the last tokens at the last
 16 places are a state, a character is a transition, and the transition carries
 the number of tokens it adds.  States are made when first met and kept.
 
-White space and line ends reset the state, as no piece reaches over them: a unit
-between resets maps every state to the same one, with its count.  Maps of units
+White space, line ends and every other pair of neighbours that no piece holds
+reset the state, as no piece reaches over them: a unit between resets maps every state to the same one, with its count.  Maps of units
 compose by adding counts, so a slice of texts is counted with one prefix sum.  A
 long unit without a reset is walked state by state.
 
@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from .word_codes import slices
 
 SPACE = "▁"
-#: Units and states remembered; beyond it they are made anew.
-REMEMBERED = 400_000
+#: Units, and states with their transitions, remembered; beyond it they are made anew.
+REMEMBERED = 800_000
+REMEMBERED_STATES = 400_000
 
 
 class Transducer:
@@ -56,6 +57,7 @@ class Transducer:
         self.reach: dict[str, int] = {}
         for piece in self.rank:
             self.reach[piece[-2:]] = max(len(piece), self.reach.get(piece[-2:], 1))
+        self.neighbours = {piece[i : i + 2] for piece in self.rank for i in range(len(piece) - 1)}
         across = [p for p in self.rank if SPACE in p.lstrip(SPACE) or "\n" in p]
         if across:
             raise ValueError(f"pieces reach over white space: {across[:3]}")
@@ -120,7 +122,7 @@ class Transducer:
         known = self.follows.get(key)
         if known is not None:
             return known
-        if len(self.follows) > REMEMBERED:
+        if len(self.follows) > REMEMBERED_STATES:
             self.follows.clear()
         limit = len(self.rank)
         while True:
@@ -170,7 +172,7 @@ class Transducer:
         for char in text:
             found = self.next.get((state, char))
             if found is None:
-                if len(self.states) > REMEMBERED:
+                if len(self.states) > REMEMBERED_STATES:
                     now = self.states[state]
                     self.forget_states()
                     state = self.number(now)
@@ -180,11 +182,15 @@ class Transducer:
         return total
 
     def unit(self, unit: str) -> int:
-        """Tokens of a unit; line ends in it reset the state too."""
+        """Tokens of a unit.  The state is reset too between two characters that are neighbours in no piece."""
         known = self.units.get(unit)
         if known is None:
-            lines = unit.split("\n")
-            known = self.units[unit] = sum(map(self.count, lines)) + (len(lines) - 1) * self.count("\n")
+            cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in self.neighbours]
+            if cuts:
+                known = sum(map(self.unit, map(unit.__getitem__, map(slice, [0, *cuts], [*cuts, len(unit)]))))
+            else:
+                known = self.count(unit)
+            self.units[unit] = known
         return known
 
     def text(self, text: str) -> int:
