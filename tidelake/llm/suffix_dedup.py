@@ -13,7 +13,7 @@ neighbours give, for each offset, which blocks agree on a whole window.  All
 extensions of neighbours are checked byte by byte; a mismatch sorts again with
 another base.
 
-Skew.  Anchors are counted with partial aggregation.  Those of at most 1,024
+Skew.  Anchors are counted with partial aggregation.  Those of at most 16,384
 places go to a task by their hash.  For others the different blocks are counted,
 then their windows by hash, also with partial aggregation, and the windows found
 twice are joined back to the places of their block; a passage of a third of all
@@ -41,7 +41,7 @@ from .word_codes import ragged, slices
 WINDOW = 200
 ANCHOR = 48
 #: Anchors at more places are not sorted in one task.
-MOST_PLACES = 1024
+MOST_PLACES = 16_384
 SLICE = 1 << 20
 INDEX_BITS = 21
 U = np.uint64
@@ -139,6 +139,9 @@ def _pieces(begin: int, end: int) -> list[tuple[int, int]]:
 
 
 def _find_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks of each text.  A run holds its first window, and in a byte each, how far the anchor
+    and the last window are behind it.
+    """
     for batch in batches:
         for at, n, data, begins, ends in _texts(batch):
             parts = [(data, begins, ends, 0)]
@@ -160,11 +163,9 @@ def _find_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                         pa.array(key),
                         batch.column("doc_id").take(rows),
                         batch.column("body").take(rows),
-                        pa.array((place - own).astype(np.int32)),
-                        pa.array((low - own).astype(np.int32)),
-                        pa.array((high - own).astype(np.int32)),
+                        pa.array((low - own) << 16 | (place - low) << 8 | (high - low)),
                     ],
-                    names=["key", "doc_id", "body", "place", "low", "high"],
+                    names=["key", "doc_id", "body", "run"],
                 )
 
 
@@ -175,10 +176,8 @@ def _cut_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted = batch.column("hits").slice(at, n)
             row = pc.list_parent_indices(wanted).to_numpy(zero_copy_only=False).astype(np.int64)
             hit = pc.list_flatten(wanted)
-            place, low, high = (
-                pc.struct_field(hit, c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("place", "low", "high")
-            )
-            size = high - low + WINDOW
+            run = pc.struct_field(hit, "run").to_numpy(zero_copy_only=False)
+            low, lead, size = run >> 16, run >> 8 & 0xFF, (run & 0xFF) + WINDOW
             rows = pa.array(row + at)
             step = 20_000
             for x in range(0, len(row), step):
@@ -195,7 +194,7 @@ def _cut_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         batch.column("doc_id").take(rows.slice(x, step)),
                         batch.column("body").take(rows.slice(x, step)),
                         pa.array(low[s].astype(np.int32)),
-                        pa.array((place - low)[s].astype(np.int32)),
+                        pa.array(lead[s].astype(np.int32)),
                         block,
                     ],
                     names=["key", "places", "doc_id", "body", "low", "lead", "block"],
@@ -437,22 +436,23 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """doc_id, kept (bytes), n_bytes and n_spans of each row."""
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     # Rows are named by id and text; equal rows lose the same bytes.
-    source = source.withColumn("body", F.xxhash64("text"))
+    source = source.withColumn("body", F.hash("text"))
     found = source.mapInArrow(
-        _find_anchors, "key long, doc_id long, body long, place int, low int, high int"
+        _find_anchors, "key long, doc_id long, body int, run long"
     )
-    often = found.groupBy("key").agg(F.count(F.lit(1)).alias("places")).where("places > 1")
+    # Null-safe equality shuffles the counts anew, so that the join can be split at a hot anchor.
+    often = found.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("places")).where("places > 1")
     hits = (
-        found.join(often, "key")
+        found.join(often, F.col("key").eqNullSafe(F.col("_key")))
         .groupBy(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"))
-        .agg(F.collect_set(F.struct("key", "places", "place", "low", "high")).alias("hits"))
+        .agg(F.collect_set(F.struct("key", "places", "run")).alias("hits"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("body") == F.col("_body"))
     blocks = (
         source.join(hits, same)
         .select("doc_id", "body", "text", "hits")
         .mapInArrow(
-            _cut_blocks, "key long, places long, doc_id long, body long, low int, lead int, block binary"
+            _cut_blocks, "key long, places long, doc_id long, body int, low int, lead int, block binary"
         )
     )
     few = (
@@ -460,7 +460,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .drop("places")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInPandas(_judge, "doc_id long, body long, start int, stop int")
+        .mapInPandas(_judge, "doc_id long, body int, start int, stop int")
     )
     many = blocks.where(F.col("places") > MOST_PLACES).withColumn(
         "name", F.unhex(F.md5(F.concat(F.col("key").cast("string").cast("binary"), F.col("block"))))
