@@ -182,12 +182,18 @@ def _whole_sets(size: int):
         for batch, texts in _rows(batches):
             elements, sizes = shingle_sets(texts, size)
             sketch = wide_sketches(elements, sizes)
+            keys = band_keys(registers(elements, sizes))
             ends = np.cumsum(sizes)
             raw = elements.astype("<u8").tobytes()
             whole = [raw[8 * a : 8 * b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(whole, pa.binary()), pa.array([s.tobytes() for s in sketch])],
-                names=["doc_id", "whole", "sketch"],
+                [
+                    batch.column("doc_id"),
+                    pa.array(whole, pa.binary()),
+                    pa.array([s.tobytes() for s in sketch], pa.binary()),
+                    pa.array([k.tobytes() for k in keys], pa.binary()),
+                ],
+                names=["doc_id", "whole", "sketch", "bands"],
             )
 
     return sets
@@ -221,12 +227,17 @@ def _across(percent: int):
 
     def pairs_of(pdf: pd.DataFrame) -> pd.DataFrame:
         sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), WIDE)
+        bands = np.frombuffer(b"".join(pdf["bands"]), np.int64).reshape(len(pdf), BANDS)
+        key = pdf["key"].to_numpy(np.int64)
         rep, component, part = (pdf[c].to_numpy(np.int64) for c in ("rep", "component", "part"))
         low, high = pdf["low"].to_numpy(np.int64), pdf["high"].to_numpy(np.int64)
         out = []
 
         def near(i: int, others: np.ndarray) -> None:
             others = others[component[others] != component[i]]
+            # A pair is looked at in the first of the bands that it shares.
+            first = (bands[others] == bands[i]).argmax(axis=1)
+            others = others[bands[i][first] == key[i]]
             if len(others):
                 close = others[may_reach(sketch[others], sketch[i], percent)]
                 out.extend((min(rep[i], r), max(rep[i], r)) for r in rep[close].tolist())
@@ -246,7 +257,7 @@ def _across(percent: int):
                 near(i, here[right])
             for i in here[right & few].tolist():
                 near(i, here[left & ~few])
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64").drop_duplicates()
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     def across(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -300,7 +311,7 @@ def near_duplicates(
     needed = reach.select("rep")
     sets = written(
         source.join(needed, F.col("doc_id") == F.col("rep"), "left_semi")
-        .mapInArrow(_whole_sets(shingle), "doc_id long, whole binary, sketch binary")
+        .mapInArrow(_whole_sets(shingle), "doc_id long, whole binary, sketch binary, bands binary")
         .dropDuplicates(["doc_id"]),
         "minhash-sets",
     )
@@ -324,7 +335,7 @@ def near_duplicates(
     parts = F.ceil(F.col("members") / BLOCK)
     open_rows = (
         known.join(mixed_keys, "key")
-        .join(sets.select(F.col("doc_id").alias("_doc"), "sketch"), F.col("rep") == F.col("_doc"))
+        .join(sets.select(F.col("doc_id").alias("_doc"), "sketch", F.col("bands").alias("own_bands")), F.col("rep") == F.col("_doc"))
         .withColumn("part", F.pmod(F.xxhash64("rep"), parts))
         .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
         .select(
@@ -332,6 +343,7 @@ def near_duplicates(
             "rep",
             "component",
             "sketch",
+            F.col("own_bands").alias("bands"),
             "part",
             F.least("part", "_other").alias("low"),
             F.greatest("part", "_other").alias("high"),
