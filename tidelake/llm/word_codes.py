@@ -148,6 +148,9 @@ class WordCodes:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, number of ids of each text) of a slice."""
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            # The vocabulary has lower case only; a special token is not made by this.
+            texts = pc.ascii_lower(texts)
         coded, distinct, n_words = split_words(texts)
         if not len(coded):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
