@@ -40,27 +40,27 @@ def _lines(text: Column) -> Column:
 
 
 def repeated_lines(docs: DataFrame, min_documents: int, min_chars: int, doc_id: str, text: str) -> DataFrame:
-    """(_doc, _drop): the hashes of the lines each document loses."""
+    """Id (__tl_doc) and hashes (__tl_drop): the hashes of the lines each document loses."""
     long_lines = F.filter(_lines(F.col(text)), lambda x: F.length(strip_spaces(x)) >= min_chars)
     held = (
         docs.select(
-            F.col(doc_id).alias("_doc"),
-            F.explode(F.array_distinct(F.transform(long_lines, line_hash))).alias("_line"),
+            F.col(doc_id).alias("__tl_doc"),
+            F.explode(F.array_distinct(F.transform(long_lines, line_hash))).alias("__tl_line"),
         )
-        .groupBy("_line", "_doc")
-        .agg(F.lit(1).alias("_one"))
+        .groupBy("__tl_line", "__tl_doc")
+        .agg(F.lit(1).alias("__tl_one"))
     )
     spread = (
-        held.groupBy("_line")
-        .agg(F.count("_one").alias("_documents"), F.max("_doc").alias("_keeper"))
-        .where(F.col("_documents") >= min_documents)
-        .select("_line", "_keeper")
+        held.groupBy("__tl_line")
+        .agg(F.count("__tl_one").alias("__tl_documents"), F.max("__tl_doc").alias("__tl_keeper"))
+        .where(F.col("__tl_documents") >= min_documents)
+        .select("__tl_line", "__tl_keeper")
     )
     return (
-        held.join(spread, "_line")
-        .where(~F.col("_doc").eqNullSafe(F.col("_keeper")))
-        .groupBy("_doc")
-        .agg(F.collect_list("_line").alias("_drop"))
+        held.join(spread, "__tl_line")
+        .where(~F.col("__tl_doc").eqNullSafe(F.col("__tl_keeper")))
+        .groupBy("__tl_doc")
+        .agg(F.collect_list("__tl_line").alias("__tl_drop"))
     )
 
 
@@ -77,18 +77,18 @@ def drop_repeated_lines(
     largest id that holds a repeated line keeps it.
     """
     drops = repeated_lines(docs, min_documents, min_chars, doc_id, text)
-    joined = docs.join(drops, F.col(doc_id).eqNullSafe(F.col("_doc")), "left")
+    joined = docs.join(drops, F.col(doc_id).eqNullSafe(F.col("__tl_doc")), "left")
     all_lines = _lines(F.col(text))
     stays = F.filter(
         all_lines,
-        lambda x: (F.length(strip_spaces(x)) < min_chars) | ~F.array_contains(F.col("_drop"), line_hash(x)),
+        lambda x: (F.length(strip_spaces(x)) < min_chars) | ~F.array_contains(F.col("__tl_drop"), line_hash(x)),
     )
-    out = joined.withColumn("_kept", F.when(F.col("_drop").isNotNull(), stays))
+    out = joined.withColumn("__tl_kept", F.when(F.col("__tl_drop").isNotNull(), stays))
     n_lines = F.size(all_lines).cast("long")
     return out.withColumns(
         {
             "n_lines": n_lines,
-            "n_dropped": F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(n_lines - F.size("_kept")).cast("long"),
-            text: F.when(F.col("_kept").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n")),
+            "n_dropped": F.when(F.col("__tl_kept").isNull(), F.lit(0)).otherwise(n_lines - F.size("__tl_kept")).cast("long"),
+            text: F.when(F.col("__tl_kept").isNull(), F.col(text)).otherwise(F.array_join("__tl_kept", "\n")),
         }
-    ).drop("_doc", "_drop", "_kept")
+    ).drop("__tl_doc", "__tl_drop", "__tl_kept")

@@ -201,14 +201,14 @@ def drawn_documents(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id") -
     Ids must name rows; rows of a repeated id are drawn as its first one is.
     """
     once = (
-        mixed.select(F.col("doc_id").alias("_id"), "draws")
-        .groupBy("_id")
+        mixed.select(F.col("doc_id").alias("__tl_id"), "draws")
+        .groupBy("__tl_id")
         .agg(F.min("draws").alias("draws"))
-        .select("_id", F.explode("draws").alias("_draw"))
+        .select("__tl_id", F.explode("draws").alias("__tl_draw"))
     )
     return (
-        docs.join(once, F.col(doc_id).eqNullSafe(F.col("_id")))
-        .repartition(F.col("_draw.shard"))
-        .sortWithinPartitions("_draw.shard", "_draw.place")
-        .drop("_id", "_draw")
+        docs.join(once, F.col(doc_id).eqNullSafe(F.col("__tl_id")))
+        .repartition(F.col("__tl_draw.shard"))
+        .sortWithinPartitions("__tl_draw.shard", "__tl_draw.place")
+        .drop("__tl_id", "__tl_draw")
     )

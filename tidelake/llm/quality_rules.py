@@ -68,22 +68,22 @@ def _covered(placed: Column) -> Column:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     body = F.coalesce(F.col(text), F.lit(""))
-    step = docs.withColumn("_words", words(body)).withColumn("_hashes", _window_hashes(F.col("_words")))
+    step = docs.withColumn("__tl_words", words(body)).withColumn("__tl_hashes", _window_hashes(F.col("__tl_words")))
     # Texts without an equal pair, which a hash set tells, skip the sort.
-    some = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    step = step.withColumn("_placed", F.when(some, _placed(F.col("_hashes"))))
+    some = F.size(F.array_distinct("__tl_hashes")) < F.size("__tl_hashes")
+    step = step.withColumn("__tl_placed", F.when(some, _placed(F.col("__tl_hashes"))))
     filled = F.filter(F.split(body, "\n", -1), lambda x: strip_spaces(x) != "")
     return step.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
+            "n_words": F.size("__tl_words").cast("long"),
             "word_chars": F.length(F.translate(body, SPACES, "")).cast("long"),
             "n_symbols": _count_chars(body, SYMBOLS).cast("long"),
             "n_dup_lines": (F.size(filled) - F.size(F.array_distinct(filled))).cast("long"),
-            "n_repeat_words": F.when(F.col("_placed").isNull(), F.lit(0))
-            .otherwise(_covered(F.col("_placed")))
+            "n_repeat_words": F.when(F.col("__tl_placed").isNull(), F.lit(0))
+            .otherwise(_covered(F.col("__tl_placed")))
             .cast("long"),
         }
-    ).drop("_words", "_hashes", "_placed")
+    ).drop("__tl_words", "__tl_hashes", "__tl_placed")
 
 
 def line_passes(line: Column) -> Column:
@@ -107,8 +107,8 @@ def clean_lines(docs: DataFrame, max_lost_share: float = MAX_LOST_SHARE, text: s
     """
     out = measure(docs, text)
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    out = out.withColumn("_lines", F.transform(lines, lambda x: F.struct(x.alias("raw"), strip_spaces(x).alias("bare"))))
-    out = out.withColumn("_fine", F.filter("_lines", lambda x: (x["bare"] == "") | line_passes(x["bare"])))
+    out = out.withColumn("__tl_lines", F.transform(lines, lambda x: F.struct(x.alias("raw"), strip_spaces(x).alias("bare"))))
+    out = out.withColumn("__tl_fine", F.filter("__tl_lines", lambda x: (x["bare"] == "") | line_passes(x["bare"])))
 
     def chars(column: str) -> Column:
         return F.length(F.array_join(F.transform(column, lambda x: x["bare"]), ""))
@@ -118,11 +118,11 @@ def clean_lines(docs: DataFrame, max_lost_share: float = MAX_LOST_SHARE, text: s
     )
     out = out.withColumns(
         {
-            "clean_text": F.array_join(F.transform("_fine", lambda x: x["raw"]), "\n"),
-            "lost_chars": (chars("_lines") - chars("_fine")).cast("long"),
-            "_chars": chars("_lines"),
+            "clean_text": F.array_join(F.transform("__tl_fine", lambda x: x["raw"]), "\n"),
+            "lost_chars": (chars("__tl_lines") - chars("__tl_fine")).cast("long"),
+            "__tl_chars": chars("__tl_lines"),
             "base_failed": base_failed,
         }
     )
-    lost_too_much = F.col("lost_chars") > F.lit(max_lost_share) * F.col("_chars")
-    return out.withColumn("kept", ~F.col("base_failed") & ~lost_too_much).drop("_lines", "_fine", "_chars")
+    lost_too_much = F.col("lost_chars") > F.lit(max_lost_share) * F.col("__tl_chars")
+    return out.withColumn("kept", ~F.col("base_failed") & ~lost_too_much).drop("__tl_lines", "__tl_fine", "__tl_chars")
