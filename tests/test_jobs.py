@@ -6,6 +6,7 @@ from contextlib import closing
 import pytest
 
 from tidelake.jobs import main
+from tidelake.sources.lake import table_path
 
 
 @pytest.fixture
@@ -58,7 +59,7 @@ def test_a_table_outside_the_catalogue(spark, database, folder):
         main(["bronze", "--database", database, "--table", "shops", "--lake", folder, "--ds_date", day,
               "--query", "SELECT shopid, city FROM shops", "--write_mode", "append"])
     main(["silver", "--table", "shops", "--lake", folder, "--primary_key", "shopid"])
-    rows = spark.read.parquet(f"{folder}/silver/shops").orderBy("shopid").collect()
+    rows = spark.read.parquet(table_path(spark, f"{folder}/silver/shops")).orderBy("shopid").collect()
     assert [(r.shopid, r.city, str(r.date)) for r in rows] == [
         ("1", "Recife", "2025-01-02"), ("2", "Natal", "2025-01-02"),
     ]
@@ -74,3 +75,34 @@ def test_malformed_values(spark, database, folder):
     main([*load, "--lenient"])
     row = spark.read.parquet(f"{folder}/bronze/orders").first()
     assert (row.orderid, row.totalamount) == (3, None)
+
+
+def test_backfill_stream_and_as_of(spark, database, folder):
+    lake = ["--lake", folder]
+    main(["backfill", "--database", database, "--table", "orders", *lake, "--from", "2025-01-01",
+          "--ds_date", "2025-01-02"])
+    main(["stream", "--table", "orders", *lake, "--progress", f"{folder}/progress"])
+    assert spark.read.parquet(f"{folder}/silver/orders").count() == 2
+    main(["silver", "--table", "orders", *lake, "--ds_date", "2025-01-01", "--write_mode", "append"])
+    assert spark.read.parquet(f"{folder}/silver/orders").count() == 3
+    with pytest.raises(FileNotFoundError, match="customers"):
+        main(["gold", *lake, "--ds_date", "2025-01-02"])
+    for table in ("customers", "products", "orderitems"):
+        main(["bronze", "--database", database, "--table", table, *lake, "--ds_date", "2025-01-01",
+              "--num_partitions", "2"])
+        main(["silver", "--table", table, *lake, "--refresh", "--ds_date", "2025-01-01"])
+    main(["gold", *lake, "--ds_date", "2025-01-02", "--as_of", "2025-01-01"])
+    main(["report", *lake, "--ds_date", "2025-01-02"])
+    stored = spark.read.parquet(f"{folder}/report/date=2025-01-02")
+    assert [r.value for r in stored.where("kpi = 'total_orders'").collect()] == [1.0]
+
+
+def test_keys_and_modes_are_honoured_or_refused(spark, database, folder):
+    day = ["--lake", folder, "--ds_date", "2025-01-01"]
+    main(["bronze", "--database", database, "--table", "products", *day])
+    main(["silver", "--table", "products", "--lake", folder, "--primary_key", "productid", "--primary_key", "price"])
+    assert spark.read.parquet(table_path(spark, f"{folder}/silver/products")).count() == 2
+    for flags in (["--table", "products", "--is_incremental"], ["--table", "products", "--write_mode", "append"],
+                  ["--table", "orders", "--primary_key", "orderid"]):
+        with pytest.raises(SystemExit):
+            main(["silver", *flags, *day])

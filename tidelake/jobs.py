@@ -1,17 +1,22 @@
 """Command line: one job per layer, for ``spark-submit`` or ``python -m tidelake.jobs``.
 
     bronze   --database DB --table T --lake DIR --ds_date DAY [--query Q] [--write_mode M]
-    silver   --table T --lake DIR [--is_incremental --ds_date DAY] [--primary_key K]
-    gold     --lake DIR --ds_date DAY
+    backfill --database DB --table T --lake DIR --from DAY --ds_date DAY
+    silver   --table T --lake DIR [--is_incremental --ds_date DAY] [--primary_key K] [--write_mode M]
+    stream   --table T --lake DIR --progress DIR
+    gold     --lake DIR --ds_date DAY [--as_of DAY]
     report   --lake DIR --ds_date DAY
     preview  --table T --lake DIR --ds_date DAY
     run      --database DB --lake DIR --ds_date DAY
+
+Flag names are fixed values: schedulers call the jobs by them.
 """
 
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +28,7 @@ from tidelake.sources.jdbc import jdbc_scan, sqlite_options
 from tidelake.sources.lake import describe_columns, preview, silver_tables
 from tidelake.sources.sqlite import sqlite_scan
 from tidelake.specs import LOAD_DATE, SALES, TableSpec, wide_sales
+from tidelake.streaming.orders import replace_touched_days
 from tidelake.workspace import tune
 
 
@@ -48,12 +54,17 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--query", default="")
     load.add_argument("--write_mode", choices=MODES)
     load.add_argument("--lenient", action="store_true", help="NULL for malformed values")
+    past = command("backfill", "--database", "--table", "--from", "--ds_date")
+    source(past)
+    past.add_argument("--lenient", action="store_true", help="NULL for malformed values")
+    command("stream", "--table", "--progress")
     clean = command("silver", "--table")
+    clean.add_argument("--write_mode", choices=MODES, help="of a table loaded by day")
     clean.add_argument("--is_incremental", action="store_true")
     clean.add_argument("--primary_key", action="append", help="repeat for a composite key")
     clean.add_argument("--ds_date")
     clean.add_argument("--refresh", action="store_true", help="merge one new snapshot only")
-    command("gold", "--ds_date")
+    command("gold", "--ds_date").add_argument("--as_of", type=date.fromisoformat)
     command("report", "--ds_date")
     command("preview", "--table", "--ds_date")
     source(command("run", "--database", "--ds_date"))
@@ -68,9 +79,10 @@ def _source(
     schema: T.StructType | None,
 ) -> DataFrame:
     """The table as the source has it; SQLite values are parsed to ``schema`` if given."""
+    known = SALES.get(table) if args.num_partitions > 1 else None
     options = {
         "query": query or None,
-        "partition_column": args.partition_column,
+        "partition_column": args.partition_column or (known.split_column if known else None),
         "num_partitions": args.num_partitions,
     }
     if args.reader == "jdbc":
@@ -90,6 +102,18 @@ def _stored_spec(spark: SparkSession, args: argparse.Namespace, bronze_root: str
     )
 
 
+def _silver_spec(
+    spark: SparkSession, args: argparse.Namespace, specs: Mapping[str, TableSpec], bronze_root: str
+) -> TableSpec:
+    """The table's spec, with the key that is asked for."""
+    spec = specs.get(args.table) or _stored_spec(spark, args, bronze_root)
+    if args.is_incremental and not spec.incremental:
+        raise SystemExit(f"{spec.name} is loaded by snapshots; it has no day column")
+    if spec.incremental and args.primary_key or not spec.incremental and args.write_mode:
+        raise SystemExit("--primary_key is for snapshots, --write_mode for tables loaded by day")
+    return replace(spec, key=tuple(args.primary_key)) if args.primary_key else spec
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     specs = wide_sales() if args.wide else SALES
@@ -97,7 +121,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     bronze_root, silver_root, gold_root = (
         f"{args.lake}/{layer}" for layer in ("bronze", "silver", "gold")
     )
-    day = date.fromisoformat(args.ds_date) if args.ds_date else None
+    given = getattr(args, "ds_date", None)
+    day = date.fromisoformat(given) if given else None
 
     if args.command == "bronze":
         spec = specs.get(args.table)
@@ -108,19 +133,30 @@ def main(argv: Sequence[str] | None = None) -> None:
         mode = args.write_mode or "overwrite"
         print(bronze.load(source, spec, bronze_root, day, mode, args.lenient))
     elif args.command == "silver":
-        spec = specs.get(args.table) or _stored_spec(spark, args, bronze_root)
-        if spec.incremental or args.refresh:
-            if day is None:
-                raise SystemExit("--ds_date is needed")
-            step = silver.incremental if spec.incremental else silver.refresh
-            print(step(spark, spec, bronze_root, silver_root, day))
+        spec = _silver_spec(spark, args, specs, bronze_root)
+        if (spec.incremental or args.refresh) and day is None:
+            raise SystemExit("--ds_date is needed")
+        if spec.incremental:
+            mode = args.write_mode or "overwrite"
+            print(silver.incremental(spark, spec, bronze_root, silver_root, day, mode=mode))
+        elif args.refresh:
+            print(silver.refresh(spark, spec, bronze_root, silver_root, day))
         else:
             print(silver.full_load(spark, spec, bronze_root, silver_root))
+    elif args.command == "backfill":
+        spec, first = specs[args.table], date.fromisoformat(getattr(args, "from"))
+        source = _source(spark, args, args.table, "", None if args.lenient else spec.schema)
+        print(bronze.backfill(source, spec, bronze_root, first, day, args.lenient))
+    elif args.command == "stream":
+        spec = specs[args.table]
+        replace_touched_days(spark, spec, bronze_root, silver_root, args.progress).awaitTermination()
     elif args.command == "gold":
-        for path in gold.build(silver_tables(spark, silver_root, specs), gold_root, day):
+        for path in gold.build(silver_tables(spark, silver_root, specs), gold_root, day, args.as_of):
             print(path)
     elif args.command == "report":
-        report.long_report(spark, gold_root, day).show(truncate=False)
+        # A report on half a lake is an error, as gold itself is.
+        silver_tables(spark, silver_root, specs)
+        report.store(spark, gold_root, f"{args.lake}/report", day).show(truncate=False)
     elif args.command == "preview":
         spec = specs.get(args.table) or TableSpec(
             args.table, spark.read.parquet(f"{bronze_root}/{args.table}").drop(LOAD_DATE).schema

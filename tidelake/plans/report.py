@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.sources.lake import kpi_scan
+from tidelake.specs import LOAD_DATE
 
 REPORT_COLUMNS = ("kpi", "position", "label", "value")
 
@@ -48,6 +49,14 @@ def _section(kpi: str, df: DataFrame, label: Column, value: Column, order: list[
     )
 
 
+def store(spark: SparkSession, gold_root: str, report_root: str, run_date: date) -> DataFrame:
+    """The long report of a run date, kept in ``date=<run date>``; a second run replaces it."""
+    path = f"{report_root}/{LOAD_DATE}={run_date}"
+    rows = long_report(spark, gold_root, run_date)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path).orderBy("kpi", "position")
+
+
 def long_report(spark: SparkSession, gold_root: str, run_date: date) -> DataFrame:
     """All KPIs of a run date as ``kpi, position, label, value``."""
     value = F.col("totalamount")

@@ -44,6 +44,12 @@ def current_version(spark: SparkSession, path: str) -> Version | None:
     return Version(int(pointers[-1].removeprefix(POINTER)), told["folder"], told["days"])
 
 
+def table_path(spark: SparkSession, path: str) -> str:
+    """Where a table's files are: the current version's folder, or the folder itself."""
+    version = current_version(spark, path)
+    return f"{path}/{version.folder}" if version else path
+
+
 def snapshot_scan(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     """All days of a table, or the current version of a replaced one.
 
@@ -51,9 +57,7 @@ def snapshot_scan(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     applied on read, so a table without any day yet does not break the scan;
     ``stored_scan`` is for days of other stored types.
     """
-    version = current_version(spark, root)
-    path = f"{root}/{version.folder}" if version else root
-    return spark.read.schema(spec.lake_schema).parquet(path)
+    return spark.read.schema(spec.lake_schema).parquet(table_path(spark, root))
 
 
 def bronze_days(spark: SparkSession, spec: TableSpec, root: str) -> dict[str, str]:

@@ -31,6 +31,11 @@ class TableSpec:
     def incremental(self) -> bool:
         return self.day_column is not None
 
+    @property
+    def split_column(self) -> str:
+        """A numeric column with many values, to split a relational scan on."""
+        return self.key[0] if self.key else self.columns[0]
+
     @property
     def query(self) -> str:
         """The column-list query sent to a relational source."""
