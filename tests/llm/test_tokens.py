@@ -38,11 +38,10 @@ def test_word_ids_are_the_librarys(library):
         at += n
 
 
-def test_forgetting_changes_nothing(monkeypatch):
+def test_forgetting_changes_nothing():
     texts = pa.array(random_texts(300, 2))
     whole = word_codes.WordCodes(WORD).encode(texts)
-    monkeypatch.setattr(word_codes, "REMEMBERED", 10)
-    some = word_codes.WordCodes(WORD)
+    some = word_codes.WordCodes(WORD, remembered=10)
     some.encode(texts)
     again = some.encode(texts)
     assert all((a == b).all() for a, b in zip(whole, again, strict=True))

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .components import connected
-from .word_codes import slices, split_words
+from .word_codes import release_memory, slices, split_words
 
 REGISTERS = 128
 BANDS, ROWS = 32, 4
@@ -153,6 +153,7 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, p
             for start in range(0, len(texts), ROWS_AT_ONCE):
                 some = texts.slice(start, ROWS_AT_ONCE)
                 yield batch.slice(at + start, len(some)), some
+    release_memory()
 
 
 def _sketches(size: int):

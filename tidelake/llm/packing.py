@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .word_codes import encoded
+from .word_codes import ENCODED_BYTES, REMEMBERED, encoded
 
 SEQUENCE = 2048
 LOCAL_ITEMS = 200_000
@@ -89,8 +89,10 @@ PIECES = pa.schema(
 )
 
 
-def _pieces(batches: Iterable[pa.RecordBatch], path: str, end_id: int, size: int) -> Iterator[dict[str, np.ndarray]]:
-    for batch, ids, counts in encoded(batches, path, end_id):
+def _pieces(
+    batches: Iterable[pa.RecordBatch], path: str, end_id: int, size: int, memory: tuple[int, int]
+) -> Iterator[dict[str, np.ndarray]]:
+    for batch, ids, counts in encoded(batches, path, end_id, *memory):
         ids = ids.astype("<u4")
         firsts = np.cumsum(counts) - counts
         per_doc = -(-counts // size)
@@ -110,7 +112,7 @@ def _pieces(batches: Iterable[pa.RecordBatch], path: str, end_id: int, size: int
         }
 
 
-def _local(path: str, end_id: int, size: int):
+def _local(path: str, end_id: int, size: int, memory: tuple[int, int]):
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << PARTITION_BITS
 
@@ -133,7 +135,7 @@ def _local(path: str, end_id: int, size: int):
             return pa.RecordBatch.from_arrays(arrays, schema=PIECES)
 
         held, n = [], 0
-        for some in _pieces(batches, path, end_id, size):
+        for some in _pieces(batches, path, end_id, size, memory):
             held.append(some)
             n += len(some["length"])
             if n >= LOCAL_ITEMS:
@@ -169,15 +171,25 @@ def _handed_on(bins: DataFrame, size: int) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = 0) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    tokenizer: str,
+    size: int = SEQUENCE,
+    end_id: int = 0,
+    slice_bytes: int = ENCODED_BYTES,
+    remembered: int = REMEMBERED,
+) -> DataFrame:
     """One row per piece of a document: its ids' place in a sequence.
 
+    ``slice_bytes`` of text at once and ``remembered`` words trade a worker's memory
+    for time; they change no result.
+
     ``docs`` has doc_id and text.  The result has doc_id, piece, start, length,
     ids_crc32, sequence_id, offset.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     local = source.mapInArrow(
-        _local(tokenizer, end_id, size),
+        _local(tokenizer, end_id, size, (slice_bytes, remembered)),
         "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, bin_offset long, bin_fill long",
     )
     pieces = written(local, "packing-pieces")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import written
-from .word_codes import slices, split_words
+from .word_codes import release_memory, slices, split_words
 
 MAX_ROWS = 16_000
 MAX_FEATURES = 20_000
@@ -91,6 +91,7 @@ def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 {"feature": names, "clean": [seen[0][f] for f in names], "toxic": [seen[1][f] for f in names]},
                 schema=pa.schema([("feature", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())]),
             )
+    release_memory()
 
 
 def _design(chosen: dict[str, int]):
@@ -219,6 +220,7 @@ def _scorer(model: tuple[float, dict[str, float]] | None):
                 rest = batch.slice(at, len(texts))
                 columns = [*rest.columns, pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*rest.schema.names, "score"])
+        release_memory()
 
     return scored
 

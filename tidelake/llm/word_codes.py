@@ -8,6 +8,8 @@ met lately, and numpy lays out the ids.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -19,7 +21,9 @@ import pyarrow.compute as pc
 
 #: Bytes of text handled at once (at least one text), and words remembered.
 SLICE_BYTES = 8 << 20
-REMEMBERED = 800_000
+#: For ids; in larger slices more words are met again.
+ENCODED_BYTES = 12 << 20
+REMEMBERED = 1_000_000
 #: Such words, and all of ASCII, keep their ids when written beside others in one text, if they
 #: don't have the "<" of the special tokens.
 PLAIN = re.compile(r"[!-~À-ɏ]+")
@@ -56,7 +60,12 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places starts[i] .. starts[i] + lengths[i] - 1 for each i, one after another."""
     ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+    total = int(ends[-1]) if len(ends) else 0
+    small = total + (int(starts.max()) if len(starts) else 0) < 1 << 31
+    kind = np.int32 if small else np.int64
+    places = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    places += np.arange(total, dtype=kind)
+    return places
 
 
 class Ragged:
@@ -92,7 +101,8 @@ class Ragged:
 class WordCodes:
     """Ids by word for one tokenizer file."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int | None = None) -> None:
+        self.remembered = REMEMBERED if remembered is None else remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -154,11 +164,11 @@ class WordCodes:
         coded, distinct, n_words = split_words(texts)
         if not len(coded):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        if len(self.place) > REMEMBERED:
+        if len(self.place) > self.remembered:
             self.forget()
         words = distinct.to_pylist()
         self._learn([w for w in words if w not in self.place])
-        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        places = np.fromiter(map(self.place.__getitem__, words), np.int32, len(words))
         ids, lengths = self.runs.take(places[coded])
         sums = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(n_words)
@@ -166,16 +176,29 @@ class WordCodes:
 
 
 @lru_cache(maxsize=1)
-def word_codes(path: str) -> WordCodes:
+def word_codes(path: str, remembered: int = REMEMBERED) -> WordCodes:
     """One for each worker process, kept between its tasks."""
-    return WordCodes(path)
+    return WordCodes(path, remembered)
 
 
-def encoded(batches: Iterable[pa.RecordBatch], path: str, end_id: int, text: str = "text"):
+def release_memory() -> None:
+    """Give freed memory back, as a worker that waits for other stages' tasks would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only with this C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def encoded(
+    batches: Iterable[pa.RecordBatch],
+    path: str,
+    end_id: int,
+    slice_bytes: int = ENCODED_BYTES,
+    remembered: int = REMEMBERED,
+):
     """(batch slice, ids, number of ids of each row) with ``end_id`` after each text."""
-    codes = word_codes(path)
+    codes = word_codes(path, remembered)
     for batch in batches:
-        for at, texts in slices(batch.column(text)):
+        for at, texts in slices(batch.column("text"), slice_bytes):
             ids, counts = codes.encode(texts)
             with_end = np.full(len(ids) + len(counts), end_id, np.uint32)
             ends = np.cumsum(counts + 1)
@@ -183,3 +206,5 @@ def encoded(batches: Iterable[pa.RecordBatch], path: str, end_id: int, text: str
             body[ends - 1] = False
             with_end[body] = ids
             yield batch.slice(at, len(texts)), with_end, counts + 1
+            del ids, with_end, body
+    release_memory()
