@@ -147,6 +147,19 @@ def test_repeated_bytes_edges(clashing, nothing, docs, monkeypatch):
     assert suffix_dedup.remove_repeats(nothing).collect() == []
 
 
+@pytest.mark.parametrize("doc_id", [5, None])
+def test_texts_of_one_id_are_told_apart(docs, doc_id):
+    """Two texts of one id, equal in Spark's 32-bit hash; only the first one holds repeated bytes."""
+    chance = random.Random(15)
+    one, other = (" ".join(words(chance, 80)) for _ in range(2))
+    rows = [(doc_id, f"{one} 10319"), (doc_id, f"{other} 389092"), (9, one)]
+    assert docs(rows[:2]).select(F.hash("text")).distinct().count() == 1
+    expected = collections.Counter(zip([d for d, _ in rows], brute_repeats([t for _, t in rows]), strict=True))
+    out = suffix_dedup.remove_repeats(docs(rows)).collect()
+    got = collections.Counter((r.doc_id, (r.n_bytes, r.n_bytes - len(r.kept), r.n_spans, sha(bytes(r.kept)))) for r in out)
+    assert got == expected
+
+
 def test_suffixes_sort_as_bytes_do():
     chance = np.random.default_rng(12)
     data = chance.integers(97, 99, 4000).astype(np.uint8)

@@ -31,6 +31,13 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN, -1))
 
 
+def row_digest(*columns: Column) -> Column:
+    """MD5 (hex) of all values of a row; null differs from every value, and no two lists of values run together."""
+    strings = [c.cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.octet_length(s).cast("string"), F.lit(":"), s), F.lit("-")) for s in strings]
+    return F.md5(F.concat(*parts).cast("binary"))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the folder that all executors share, read back.
 

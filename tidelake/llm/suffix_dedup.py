@@ -36,6 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import row_digest, written
 from .word_codes import ragged, slices
 
 WINDOW = 200
@@ -44,6 +45,7 @@ ANCHOR = 48
 MOST_PLACES = 16_384
 SLICE = 1 << 20
 INDEX_BITS = 21
+ID_BUCKETS = 1 << 18
 U = np.uint64
 
 
@@ -161,11 +163,11 @@ def _find_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key),
-                        batch.column("doc_id").take(rows),
-                        batch.column("body").take(rows),
+                        batch.column("name_a").take(rows),
+                        batch.column("name_b").take(rows),
                         pa.array((low - own) << 16 | (place - low) << 8 | (high - low)),
                     ],
-                    names=["key", "doc_id", "body", "run"],
+                    names=["key", "name_a", "name_b", "run"],
                 )
 
 
@@ -191,13 +193,13 @@ def _cut_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     [
                         pc.struct_field(hit, "key").slice(x, step),
                         pc.struct_field(hit, "places").slice(x, step),
-                        batch.column("doc_id").take(rows.slice(x, step)),
-                        batch.column("body").take(rows.slice(x, step)),
+                        batch.column("name_a").take(rows.slice(x, step)),
+                        batch.column("name_b").take(rows.slice(x, step)),
                         pa.array(low[s].astype(np.int32)),
                         pa.array(lead[s].astype(np.int32)),
                         block,
                     ],
-                    names=["key", "places", "doc_id", "body", "low", "lead", "block"],
+                    names=["key", "places", "name_a", "name_b", "low", "lead", "block"],
                 )
 
 
@@ -363,8 +365,8 @@ def _judge(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place = (pdf["low"].to_numpy(np.int64) + pdf["lead"].to_numpy(np.int64))[row]
         return pd.DataFrame(
             {
-                "doc_id": pdf["doc_id"].iloc[row],
-                "body": pdf["body"].iloc[row],
+                "name_a": pdf["name_a"].iloc[row],
+                "name_b": pdf["name_b"].iloc[row],
                 "start": (place - last).astype(np.int32),
                 "stop": (place - first + WINDOW).astype(np.int32),
             }
@@ -435,24 +437,36 @@ def _runs(offsets: Column) -> Column:
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, kept (bytes), n_bytes and n_spans of each row."""
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    # Rows are named by id and text; equal rows lose the same bytes.
-    source = source.withColumn("body", F.hash("text"))
-    found = source.mapInArrow(
-        _find_anchors, "key long, doc_id long, body int, run long"
+    # An id of one row is its name.  Rows of other ids are named by 128 bits of id and text, as two
+    # numbers; equal rows lose the same bytes.  Ids are told apart by buckets, so that the broadcast
+    # is bounded; an id that shares its bucket with a repeated one has the longer name too.
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS))
+    shared = source.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    shared = written(shared.where("rows > 1").select(bucket.alias("_bucket")).distinct(), "suffix-repeated-ids")
+    alone = F.col("doc_id").isNotNull() & F.col("_bucket").isNull()
+    digest = row_digest(F.col("doc_id"), F.col("text"))
+    first, second = (F.conv(F.substring(digest, at, 16), 16, -10).cast("long") for at in (1, 17))
+    source = source.join(F.broadcast(shared), bucket == F.col("_bucket"), "left").select(
+        "doc_id",
+        "text",
+        F.when(alone, F.col("doc_id")).otherwise(first).alias("name_a"),
+        F.when(alone, F.lit(0).cast("long")).otherwise(second).alias("name_b"),
     )
+    found = source.mapInArrow(_find_anchors, "key long, name_a long, name_b long, run long")
     # Null-safe equality shuffles the counts anew, so that the join can be split at a hot anchor.
     often = found.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("places")).where("places > 1")
     hits = (
         found.join(often, F.col("key").eqNullSafe(F.col("_key")))
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"))
+        .groupBy(F.col("name_a").alias("_a"), F.col("name_b").alias("_b"))
         .agg(F.collect_set(F.struct("key", "places", "run")).alias("hits"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("body") == F.col("_body"))
+    same = (F.col("name_a") == F.col("_a")) & (F.col("name_b") == F.col("_b"))
     blocks = (
         source.join(hits, same)
-        .select("doc_id", "body", "text", "hits")
+        # The id too, so that both joins read one shuffle of the texts.
+        .select("doc_id", "name_a", "name_b", "text", "hits")
         .mapInArrow(
-            _cut_blocks, "key long, places long, doc_id long, body int, low int, lead int, block binary"
+            _cut_blocks, "key long, places long, name_a long, name_b long, low int, lead int, block binary"
         )
     )
     few = (
@@ -460,7 +474,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .drop("places")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInPandas(_judge, "doc_id long, body int, start int, stop int")
+        .mapInPandas(_judge, "name_a long, name_b long, start int, stop int")
     )
     many = blocks.where(F.col("places") > MOST_PLACES).withColumn(
         "name", F.unhex(F.md5(F.concat(F.col("key").cast("string").cast("binary"), F.col("block"))))
@@ -477,19 +491,19 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .select(F.col("name").alias("_name"), _runs(F.col("offsets")).alias("runs"))
     )
     spread = (
-        many.select("name", "doc_id", "body", "low")
+        many.select("name", "name_a", "name_b", "low")
         .join(bad, F.col("name") == F.col("_name"))
-        .select("doc_id", "body", "low", F.explode("runs").alias("run"))
+        .select("name_a", "name_b", "low", F.explode("runs").alias("run"))
         .select(
-            "doc_id",
-            "body",
+            "name_a",
+            "name_b",
             (F.col("low") + F.col("run.first")).alias("start"),
             (F.col("low") + F.col("run.last") + WINDOW).alias("stop"),
         )
     )
     spans = (
         few.union(spread)
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"))
+        .groupBy(F.col("name_a").alias("_a"), F.col("name_b").alias("_b"))
         .agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     )
     return (
