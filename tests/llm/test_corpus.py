@@ -106,6 +106,35 @@ def test_mix_edges(clashing, nothing):
     assert {r.taken for r in found if not r.size} <= {0}
 
 
+@pytest.mark.parametrize("twice", [False, True])
+def test_drawn_rows_without_own_ids(docs, monkeypatch, twice):
+    """Rows of null and repeated ids are drawn each as the mix says."""
+    monkeypatch.setattr(mixing, "BLOCK_DOCUMENTS", 8)
+    monkeypatch.setattr(mixing, "BLOCKS_PER_SHARD", 4)
+    chance = random.Random(16)
+    ids = [None, 7, *range(100, 140)]
+    rows = [(chance.choice(ids[: 2 + i % 41]), f"w{i} " * chance.randint(1, 60), chance.choice("abbbc")) for i in range(400)]
+    rows += rows[:60] * twice
+    df = docs(rows)
+    mixed = mixing.mix(df)
+    words_of = collections.Counter()
+    for r in mixing.taken(mixed).collect():
+        words_of[r.doc_id] += r.taken
+    per_source = collections.Counter()
+    for r in mixed.collect():
+        per_source[r.source] += r.size * len(r.draws)
+    times = collections.Counter(map(tuple, mixing.drawn_documents(df, mixed).collect()))
+    got, got_source = collections.Counter(), collections.Counter()
+    for (doc, text, _, source, _), n in times.items():
+        got[doc] += n * len(text.split())
+        got_source[source] += n * len(text.split())
+    assert got == +words_of and got_source == +per_source
+    assert set(times) <= set(map(tuple, df.collect()))
+    if not twice:
+        named = {(r.doc_id, r.source, r.size, len(r.draws)) for r in mixed.collect() if r.draws}
+        assert {(d, s, len(t.split()), n) for (d, t, _, s, _), n in times.items()} == named
+
+
 def test_pipeline_stages(spark):
     """Each stage on its own input: what goes, what stays, and its columns."""
     before = spark.read.parquet(f"{SF_DIR}/documents.parquet")

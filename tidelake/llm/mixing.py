@@ -15,7 +15,8 @@ Only the sources' totals, one row each, come to the driver; there may be 100,000
 
 Defined results: a null or blank text has size 0 and is drawn like others, which
 takes no words; null is a source of its own, the last; null and repeated ids are
-documents by themselves; an empty table gives an empty mix.
+documents by themselves, named by all their columns; rows equal in all of them
+share their draws, which are as many as those rows have together; an empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import words, written
+from .common import row_digest, words, written
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
@@ -81,6 +82,11 @@ def _walk(counts: np.ndarray, shards: int, seed: int):
     return walk
 
 
+def _name(docs: DataFrame) -> Column:
+    """128 bits of all columns of a row."""
+    return F.unhex(row_digest(*(F.col(f"`{c}`") for c in docs.columns)))
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -90,9 +96,9 @@ def mix(
     source: str = "source",
     text: str = "text",
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target and its draws.
+    """One row per document: doc_id, source, size, source_size, target, its draws and its name.
 
-    ``draws`` is an array of (pass, shard, place): the document stands in ``shard``
+    ``name`` is 128 bits of all columns of ``docs``.  ``draws`` is an array of (pass, shard, place): the document stands in ``shard``
     at the rank of ``place``.  Weights repeat over the sources, which are ordered by
     code point.
     """
@@ -103,6 +109,7 @@ def mix(
             F.col(source).alias("source"),
             F.size(words(F.coalesce(F.col(text), F.lit("")))).cast("long").alias("size"),
             F.xxhash64(F.col(doc_id), F.lit(seed), F.col(text)).alias("_key"),
+            _name(docs).alias("name"),
         ),
         "mixing-sizes",
     )
@@ -160,7 +167,7 @@ def mix(
         .agg(F.collect_list(F.struct(F.col("_pass"), "shard")).alias("_draws"))
     )
     cuts = blocks.select("_src", "_block", (F.col("_left") - F.col("_from")).alias("_cut"))
-    inside = Window.partitionBy("_src", "_block").orderBy("_key", "size", F.col("doc_id").asc_nulls_first())
+    inside = Window.partitionBy("_src", "_block").orderBy("_key", "size", F.col("doc_id").asc_nulls_first(), "name")
     whole = Window.partitionBy("_src", "_block")
     upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     none = F.array().cast("array<struct<_pass:int,shard:bigint>>")
@@ -185,7 +192,7 @@ def mix(
         .withColumn("_best", F.min(F.when(F.col("_gap") < F.col("_open"), F.struct("_gap", "_nth"))).over(whole))
         .withColumn("_inside", (F.col("_upto") <= F.col("_cut")) | (F.col("_nth") == F.col("_best")["_nth"]))
         .withColumn("_inside", F.coalesce("_inside", F.lit(False)))
-        .select("doc_id", "source", "size", "source_size", "target", draws.alias("draws"))
+        .select("doc_id", "source", "size", "source_size", "target", draws.alias("draws"), "name")
     )
 
 
@@ -195,20 +202,14 @@ def taken(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", words_taken.alias("taken"))
 
 
-def drawn_documents(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` as often as they are drawn, shard by shard, each shard shuffled.
-
-    Ids must name rows; rows of a repeated id are drawn as its first one is.
-    """
-    once = (
-        mixed.select(F.col("doc_id").alias("__tl_id"), "draws")
-        .groupBy("__tl_id")
-        .agg(F.min("draws").alias("draws"))
-        .select("__tl_id", F.explode("draws").alias("__tl_draw"))
-    )
+def drawn_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The rows of ``docs``, which ``mixed`` is the mix of, as often as they are drawn, shard by shard, each shuffled."""
+    # Rows of one name are equal, so any of them stands for all and takes the draws of all.
+    own = mixed.select(F.col("name").alias("__tl_drawn"), F.explode("draws").alias("__tl_draw"))
+    once = docs.withColumn("__tl_name", _name(docs)).dropDuplicates(["__tl_name"])
     return (
-        docs.join(once, F.col(doc_id).eqNullSafe(F.col("__tl_id")))
+        once.join(own, F.col("__tl_name") == F.col("__tl_drawn"))
         .repartition(F.col("__tl_draw.shard"))
         .sortWithinPartitions("__tl_draw.shard", "__tl_draw.place")
-        .drop("__tl_id", "__tl_draw")
+        .drop("__tl_name", "__tl_drawn", "__tl_draw")
     )
