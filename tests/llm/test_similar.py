@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.llm.conftest import LOWER, WORDS, sha
 from tidelake.llm import ball_tree, hyper_minhash, suffix_dedup
 from tidelake.llm.components import connected
@@ -88,6 +89,19 @@ def test_near_duplicate_edges(clashing, nothing):
     assert hyper_minhash.near_duplicates(nothing).collect() == []
 
 
+def test_near_duplicates_of_one_id_with_two_texts(spark, docs):
+    """Each text of a repeated id is linked by itself, and a copy without an id has no component."""
+    chance = random.Random(17)
+    (a, near_a), (b, near_b), (c, near_c) = (family(chance, 60, 1, 1) for _ in "abc")
+    rows = [(5, a), (5, b), (7, near_a), (9, near_b), (None, a), (3, c), (7, near_c)]
+    out = sorted(hyper_minhash.near_duplicates(docs(rows), 80, 5).collect(), key=lambda r: (r.doc_id or 0, r.component_id or 0))
+    found = [(r.doc_id, r.component_id, r.kept) for r in out]
+    assert found == [(None, None, True), (3, 3, True), (5, 5, True), (5, 5, True), (7, 3, False), (7, 5, False), (9, 5, False)]
+    rows += [(9, " ".join(words(chance, 60)))]
+    left = corpus_pipeline.near_dedup_stage(spark, docs(rows), "").collect()
+    assert {(r.doc_id, r.text) for r in left} == {(5, a), (5, b), (None, a), (3, c), rows[-1]}
+
+
 def test_estimates_follow_the_similarity():
     chance = np.random.default_rng(9)
     for shared in (0, 300, 800):

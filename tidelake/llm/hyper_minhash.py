@@ -32,10 +32,10 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pandas.util import hash_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import row_digest, written
 from .components import connected
 from .word_codes import release_memory, slices, split_words
 
@@ -156,23 +156,30 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, p
     release_memory()
 
 
+def _prints(raw: bytes, sizes: np.ndarray) -> pa.Array:
+    """128 bits of each set; null for an empty one."""
+    ends = np.cumsum(sizes)
+    return pa.array(
+        [
+            hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() if b > a else None
+            for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)
+        ],
+        pa.binary(),
+    )
+
+
 def _sketches(size: int):
     def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _rows(batches):
             elements, sizes = shingle_sets(texts, size)
             sketch = registers(elements, sizes)
-            ends = np.cumsum(sizes)
-            raw = elements.astype("<u8").tobytes()
-            prints = [
-                hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() if b > a else None
-                for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)
-            ]
+            prints = _prints(elements.astype("<u8").tobytes(), sizes)
             keys = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(band_keys(sketch).ravel())
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(prints, pa.binary()), keys],
-                names=["doc_id", "n_shingles", "print", "bands"],
+                [batch.column("doc_id"), batch.column("body"), pa.array(sizes), prints, keys],
+                names=["doc_id", "body", "n_shingles", "print", "bands"],
             )
 
     return sketched
@@ -189,12 +196,12 @@ def _whole_sets(size: int):
             whole = [raw[8 * a : 8 * b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    _prints(raw, sizes),
                     pa.array(whole, pa.binary()),
                     pa.array([s.tobytes() for s in sketch], pa.binary()),
                     pa.array([k.tobytes() for k in keys], pa.binary()),
                 ],
-                names=["doc_id", "whole", "sketch", "bands"],
+                names=["print", "whole", "sketch", "bands"],
             )
 
     return sets
@@ -284,16 +291,31 @@ def near_duplicates(
     docs: DataFrame, percent: int = 85, shingle: int = 3, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row: the smallest id of a component is kept."""
+    return judged(docs, percent, shingle, doc_id, text).drop("body")
+
+
+def body(text: Column) -> Column:
+    """128 bits of a text, which tell the rows of one id apart."""
+    return F.unhex(row_digest(text.cast("string")))
+
+
+def judged(
+    docs: DataFrame, percent: int = 85, shingle: int = 3, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """What ``near_duplicates`` says of each row, and the ``body`` of its text."""
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = written(
-        source.mapInArrow(_sketches(shingle), "doc_id long, n_shingles long, print binary, bands array<long>"),
+        source.withColumn("body", body(F.col("text"))).mapInArrow(
+            _sketches(shingle), "doc_id long, body binary, n_shingles long, print binary, bands array<long>"
+        ),
         "minhash-sketches",
     )
-    # One row for each different set, by its smallest id.
+    # One row for each different set, with its smallest id; numbers stand for prints, as the table is written once.
     classes = written(
         rows.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("print")
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")),
+        .agg(F.min("doc_id").alias("least_id"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "minhash-classes",
     )
     in_bands = classes.where(F.col("n") >= 1).select("rep", F.explode("bands").alias("key"))
@@ -308,19 +330,21 @@ def near_duplicates(
         .select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
         .distinct()
     )
-    # A class's set comes from any row with its id and print; ids are unique but for repeated rows.
-    needed = reach.select("rep")
+    # A class's set comes from any row with its id and print; other texts of that id go by their print.
+    needed = classes.join(reach.select("rep"), "rep", "left_semi").select("rep", "least_id", F.col("print").alias("_print"))
     sets = written(
-        source.join(needed, F.col("doc_id") == F.col("rep"), "left_semi")
-        .mapInArrow(_whole_sets(shingle), "doc_id long, whole binary, sketch binary, bands binary")
-        .dropDuplicates(["doc_id"]),
+        source.join(needed, F.col("doc_id") == F.col("least_id"), "left_semi")
+        .mapInArrow(_whole_sets(shingle), "print binary, whole binary, sketch binary, bands binary")
+        .join(needed.select("rep", "_print"), F.col("print") == F.col("_print"))
+        .drop("print", "_print")
+        .dropDuplicates(["rep"]),
         "minhash-sets",
     )
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         def side(c: str) -> DataFrame:
             return sets.select(
-                F.col("doc_id").alias(f"_{c}"), F.col("whole").alias(f"whole_{c}"), F.col("sketch").alias(f"sketch_{c}")
+                F.col("rep").alias(f"_{c}"), F.col("whole").alias(f"whole_{c}"), F.col("sketch").alias(f"sketch_{c}")
             )
 
         both = pairs.join(side("a"), F.col("a") == F.col("_a")).join(side("b"), F.col("b") == F.col("_b"))
@@ -336,7 +360,7 @@ def near_duplicates(
     parts = F.ceil(F.col("members") / BLOCK)
     open_rows = (
         known.join(mixed_keys, "key")
-        .join(sets.select(F.col("doc_id").alias("_doc"), "sketch", F.col("bands").alias("own_bands")), F.col("rep") == F.col("_doc"))
+        .join(sets.select(F.col("rep").alias("_doc"), "sketch", F.col("bands").alias("own_bands")), F.col("rep") == F.col("_doc"))
         .withColumn("part", F.pmod(F.xxhash64("rep"), parts))
         .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
         .select(
@@ -354,12 +378,18 @@ def near_duplicates(
     rest = written(block_pairs.mapInPandas(_across(percent), "a long, b long").distinct(), "minhash-rest")
     more = confirmed(rest, "minhash-more-links")
     components = connected(links.union(more))
-    of_print = classes.join(components, F.col("rep") == F.col("node"), "left").select(
-        F.col("print").alias("_print"), F.coalesce("component", "rep").alias("component")
+    # A component goes by the smallest id in it.
+    linked = classes.select("rep", "least_id").join(components, F.col("rep") == F.col("node"))
+    smallest = linked.groupBy(F.col("component").alias("_component")).agg(F.min("least_id").alias("_least"))
+    ids = components.join(smallest, F.col("component") == F.col("_component")).select("node", "_least")
+    of_print = classes.join(ids, F.col("rep") == F.col("node"), "left").select(
+        F.col("print").alias("_print"), F.coalesce("_least", "least_id").alias("component")
     )
+    component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.join(of_print, F.col("print") == F.col("_print"), "left").select(
         "doc_id",
+        "body",
         "n_shingles",
-        F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"),
+        component_id.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"),
     )
