@@ -78,8 +78,56 @@ ranked AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+PERIODIC_RUNS = r"""
+WITH base AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS digits,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+bytes AS (
+  SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n, list_prepend(CAST(4294967295 AS BIGINT),
+    [CASE WHEN k % 8 = 0 THEN ascii(digits[k // 8 + 1]) ELSE 0 END for k in range(8 * length(digits))]) AS parts
+  FROM base),
+hashed AS (
+  SELECT doc_id, w, n, xor(list_reduce(parts, lambda c, b:
+    xor(xor(c, b) >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295) AS h
+  FROM bytes),
+planned AS (
+  SELECT doc_id, w, n, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a, (h // 10) % 8 AS r FROM hashed),
+placed AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+    [w[(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + r)) END) + 1] for i in range(n)] END AS w
+  FROM planned),
+word AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM placed),
+pair AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM word x JOIN word y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // 4),
+isle AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pair),
+stretch AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM isle
+  GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+run AS (SELECT doc_id, start, length, min(q) AS period FROM stretch GROUP BY doc_id, start, length),
+told AS (
+  SELECT doc_id, count(*) AS n_runs,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM run GROUP BY doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id
+    ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS place FROM run),
+gone AS (
+  SELECT DISTINCT w.doc_id, w.i FROM word w JOIN run r
+  ON w.doc_id = r.doc_id AND w.i >= r.start + r.period AND w.i < r.start + r.length),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS body
+  FROM word w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i WHERE g.i IS NULL GROUP BY w.doc_id)
+SELECT b.doc_id, coalesce(t.n_runs, 0) AS n_runs, r.start, r.length, r.period,
+  1000 * r.length // r.period AS exponent_milli, sha256(coalesce(t.lines, '')) AS runs_sha256,
+  sha256(coalesce(k.body, '')) AS collapsed_sha256
+FROM base b LEFT JOIN told t USING (doc_id) LEFT JOIN ranked r ON r.doc_id = b.doc_id AND r.place = 1
+LEFT JOIN kept k ON k.doc_id = b.doc_id
+"""
+
 ORACLES = {
     "op4_line_dedup": LINE_DEDUP,
     "op6_quality_rules": QUALITY_RULES,
     "op10_ball_tree": BALL_TREE,
+    "op11_periodic_runs": PERIODIC_RUNS,
 }

@@ -9,7 +9,19 @@ from pyspark.sql import functions as F
 
 from tidelake.workspace import new_folder
 
-from . import ball_tree, direct_codes, hyper_minhash, line_dedup, mixing, packing, quality_rules, suffix_dedup, toxicity, transducer
+from . import (
+    ball_tree,
+    direct_codes,
+    hyper_minhash,
+    line_dedup,
+    mixing,
+    packing,
+    periodic_runs,
+    quality_rules,
+    suffix_dedup,
+    toxicity,
+    transducer,
+)
 from .common import public_tokenizer, table
 
 TOKEN_LIMIT = 4096
@@ -95,6 +107,26 @@ def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    best = periodic_runs.exponent_first(F.col("runs"))
+    line = lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))
+    return (
+        periodic_runs.collapse_runs(docs)
+        .withColumn("best", best)
+        .select(
+            "doc_id",
+            F.size("runs").cast("long").alias("n_runs"),
+            "best.start",
+            "best.length",
+            "best.period",
+            F.floor(F.lit(1000).cast("long") * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+            F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+            F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        )
+    )
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -106,4 +138,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ball_tree": op10_ball_tree,
+    "op11_periodic_runs": op11_periodic_runs,
 }
