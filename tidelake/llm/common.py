@@ -44,10 +44,41 @@ def written(df: DataFrame, name: str) -> DataFrame:
     It cuts the lineage: what follows needs the files only, also after the loss
     of an executor.
     """
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``written``, and the folder, for a table that is removed when another stands in for it."""
     spark = df.sparkSession
     folder = new_folder(spark, name)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
+#: Ids are told apart by so many buckets, which bounds what is broadcast.
+ID_BUCKETS = 1 << 18
+
+
+def named_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text, name_a and name_b: two numbers that tell rows apart, except rows equal in id and text.
+
+    An id of one row is its name.  Rows of other ids, and without one, are named by 128
+    bits of id and text; an id that shares its bucket with a repeated one too.
+    """
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS))
+    repeated = source.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    shared = written(repeated.select(bucket.alias("_bucket")).distinct(), "repeated-ids")
+    alone = F.col("doc_id").isNotNull() & F.col("_bucket").isNull()
+    digest = row_digest(F.col("doc_id"), F.col("text"))
+    first, second = (F.conv(F.substring(digest, at, 16), 16, -10).cast("long") for at in (1, 17))
+    # At most a row for each bucket.
+    return source.join(F.broadcast(shared), bucket == F.col("_bucket"), "left").select(
+        "doc_id",
+        "text",
+        F.when(alone, F.col("doc_id")).otherwise(first).alias("name_a"),
+        F.when(alone, F.lit(0).cast("long")).otherwise(second).alias("name_b"),
+    )
 
 
 def public_tokenizer(name: str) -> str:

@@ -125,9 +125,29 @@ FROM base b LEFT JOIN told t USING (doc_id) LEFT JOIN ranked r ON r.doc_id = b.d
 LEFT JOIN kept k ON k.doc_id = b.doc_id
 """
 
+SUPER_KMERS = r"""
+WITH base AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS content
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM base)),
+bad AS (
+  SELECT doc_id, i FROM win JOIN (SELECT content, min(doc_id) AS least FROM win GROUP BY content) USING (content)
+  WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM bad, (SELECT unnest(range(50)) AS j)),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM base),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS body, count(*) AS n
+  FROM word w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i WHERE g.i IS NULL GROUP BY w.doc_id)
+SELECT b.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.body, '')) AS kept_sha256
+FROM base b LEFT JOIN kept k ON k.doc_id = b.doc_id
+"""
+
 ORACLES = {
     "op4_line_dedup": LINE_DEDUP,
     "op6_quality_rules": QUALITY_RULES,
     "op10_ball_tree": BALL_TREE,
     "op11_periodic_runs": PERIODIC_RUNS,
+    "op12_super_kmers": SUPER_KMERS,
 }

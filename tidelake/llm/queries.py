@@ -19,6 +19,7 @@ from . import (
     periodic_runs,
     quality_rules,
     suffix_dedup,
+    super_kmers,
     toxicity,
     transducer,
 )
@@ -127,6 +128,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return super_kmers.remove_passages(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -139,4 +147,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ball_tree": op10_ball_tree,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_super_kmers": op12_super_kmers,
 }
