@@ -144,10 +144,36 @@ SELECT b.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n,
 FROM base b LEFT JOIN kept k ON k.doc_id = b.doc_id
 """
 
+COVER_TREE = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+anchors AS (SELECT * FROM rows WHERE vec_id % 50 = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM anchors a JOIN rows r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v)),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+    n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""
+
 ORACLES = {
     "op4_line_dedup": LINE_DEDUP,
     "op6_quality_rules": QUALITY_RULES,
     "op10_ball_tree": BALL_TREE,
     "op11_periodic_runs": PERIODIC_RUNS,
     "op12_super_kmers": SUPER_KMERS,
+    "op13_cover_tree": COVER_TREE,
 }

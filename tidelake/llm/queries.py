@@ -11,6 +11,7 @@ from tidelake.workspace import new_folder
 
 from . import (
     ball_tree,
+    cover_tree,
     direct_codes,
     hyper_minhash,
     line_dedup,
@@ -135,6 +136,13 @@ def op12_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return cover_tree.hard_negatives(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -148,4 +156,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ball_tree": op10_ball_tree,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_super_kmers": op12_super_kmers,
+    "op13_cover_tree": op13_cover_tree,
 }
