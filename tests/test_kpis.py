@@ -10,7 +10,7 @@ from tidelake.operators.kpis import (
     top_products_sold,
     total_orders,
 )
-from tidelake.plans.gold import kpis
+from tidelake.plans.gold import kpis, loaded_by
 
 ORDERS = "orderid INT, customerid INT, orderdate STRING, totalamount DOUBLE, date DATE"
 CUSTOMERS = "customerid INT, firstname STRING, lastname STRING, date DATE"
@@ -124,7 +124,7 @@ def test_as_of_leaves_later_loads_out(spark):
         "orderitems": spark.createDataFrame([(1, 5, D1), (1, 7, D2)], ITEMS),
         "products": spark.createDataFrame([(1, "pen", 3, D1), (2, "cup", 1, D2)], PRODUCTS),
     }
-    early = kpis(tables, as_of=D1)
+    early = kpis({name: loaded_by(df, D1) for name, df in tables.items()})
     assert rows(early["total_orders"]) == [(1, D1)]
     assert rows(early["top_5_products_sold"]) == [("pen", 5)]
     assert rows(early["low_stock_products"]) == [("pen", 3)]

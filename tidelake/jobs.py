@@ -3,6 +3,8 @@
     bronze   --database DB --table T --lake DIR --ds_date DAY [--query Q] [--write_mode M]
     backfill --database DB --table T --lake DIR --from DAY --ds_date DAY
     silver   --table T --lake DIR [--is_incremental --ds_date DAY] [--primary_key K] [--write_mode M]
+             [--refresh --ds_date DAY] [--buckets N]
+    history  --table T --lake DIR
     stream   --table T --lake DIR --progress DIR
     gold     --lake DIR --ds_date DAY [--as_of DAY]
     report   --lake DIR --ds_date DAY
@@ -22,7 +24,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidelake.plans import bronze, gold, medallion, report, silver
+from tidelake.plans import bronze, gold, history, medallion, report, silver
 from tidelake.sinks.lake import MODES
 from tidelake.sources.jdbc import jdbc_scan, sqlite_options
 from tidelake.sources.lake import describe_columns, preview, silver_tables
@@ -64,6 +66,8 @@ def _parser() -> argparse.ArgumentParser:
     clean.add_argument("--primary_key", action="append", help="repeat for a composite key")
     clean.add_argument("--ds_date")
     clean.add_argument("--refresh", action="store_true", help="merge one new snapshot only")
+    clean.add_argument("--buckets", type=int, help="keep a snapshot table in so many buckets of its key")
+    command("history", "--table")
     command("gold", "--ds_date").add_argument("--as_of", type=date.fromisoformat)
     command("report", "--ds_date")
     command("preview", "--table", "--ds_date")
@@ -140,9 +144,9 @@ def main(argv: Sequence[str] | None = None) -> None:
             mode = args.write_mode or "overwrite"
             print(silver.incremental(spark, spec, bronze_root, silver_root, day, mode=mode))
         elif args.refresh:
-            print(silver.refresh(spark, spec, bronze_root, silver_root, day))
+            print(silver.refresh(spark, spec, bronze_root, silver_root, day, buckets=args.buckets))
         else:
-            print(silver.full_load(spark, spec, bronze_root, silver_root))
+            print(silver.full_load(spark, spec, bronze_root, silver_root, buckets=args.buckets))
     elif args.command == "backfill":
         spec, first = specs[args.table], date.fromisoformat(getattr(args, "from"))
         source = _source(spark, args, args.table, "", None if args.lenient else spec.schema)
@@ -151,8 +155,16 @@ def main(argv: Sequence[str] | None = None) -> None:
         spec = specs[args.table]
         replace_touched_days(spark, spec, bronze_root, silver_root, args.progress).awaitTermination()
     elif args.command == "gold":
-        for path in gold.build(silver_tables(spark, silver_root, specs), gold_root, day, args.as_of):
+        tables = silver_tables(spark, silver_root, specs)
+        if args.as_of is not None:
+            for spec in specs.values():
+                if not spec.incremental:
+                    print(history.refresh(spark, spec, bronze_root, f"{args.lake}/history"))
+            tables = history.tables_as_of(spark, specs, silver_root, f"{args.lake}/history", args.as_of)
+        for path in gold.build(tables, gold_root, day):
             print(path)
+    elif args.command == "history":
+        print(history.refresh(spark, specs[args.table], bronze_root, f"{args.lake}/history"))
     elif args.command == "report":
         # A report on half a lake is an error, as gold itself is.
         silver_tables(spark, silver_root, specs)

@@ -36,7 +36,7 @@ def latest_by_key(
         raise ValueError(f"ties must be 'all' or 'one', not {ties!r}")
 
     newest = df.groupBy(*key).agg(F.max(version).alias(version))
-    return _join_on(df, newest, [*key, version], "left_semi")
+    return join_null_safe(df, newest, [*key, version], "left_semi")
 
 
 def update_by_key(
@@ -51,12 +51,12 @@ def update_by_key(
     """
     if ties == "one":
         newer = _one_per_key(newer, key, version)
-    untouched = _join_on(latest, newer.select(*key).distinct(), key, "left_anti")
+    untouched = join_null_safe(latest, newer.select(*key).distinct(), key, "left_anti")
     return untouched.unionByName(newer)
 
 
-def _join_on(rows: DataFrame, keys: DataFrame, names: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join where NULL equals NULL.
+def join_null_safe(rows: DataFrame, keys: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    """Join on columns of the same names where NULL equals NULL; those of ``keys`` are dropped.
 
     ``keys`` comes from an aggregation by some of ``names``.  Null-safe equality
     makes Spark shuffle it anew for the join, and both inputs of the join being
@@ -64,7 +64,7 @@ def _join_on(rows: DataFrame, keys: DataFrame, names: Sequence[str], how: str) -
     """
     keys = keys.withColumnsRenamed({name: f"other_{name}" for name in names})
     same = [rows[name].eqNullSafe(keys[f"other_{name}"]) for name in names]
-    return rows.join(keys, reduce(and_, same), how)
+    return rows.join(keys, reduce(and_, same), how).drop(*[f"other_{name}" for name in names])
 
 
 def _one_per_key(df: DataFrame, key: Sequence[str], version: str) -> DataFrame:

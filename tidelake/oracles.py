@@ -60,7 +60,7 @@ LOW_STOCK = """
 """
 
 
-def _report(total: str, stock: str) -> str:
+def _report(total: str, stock: str, top_orders: str = TOP_ORDERS, top_products: str = TOP_PRODUCTS) -> str:
     return f"""
         SELECT 'total_orders' AS kpi, 1 AS position, CAST(NULL AS VARCHAR) AS label,
                CAST({total} AS DOUBLE) AS value
@@ -68,12 +68,12 @@ def _report(total: str, stock: str) -> str:
         SELECT 'top_5_orders_value',
                CAST(row_number() OVER (ORDER BY totalamount DESC NULLS LAST, orderid) AS INTEGER),
                CAST(orderid AS VARCHAR), totalamount
-        FROM ({TOP_ORDERS})
+        FROM ({top_orders})
         UNION ALL
         SELECT 'top_5_products_sold',
                CAST(row_number() OVER (ORDER BY total_sold DESC NULLS LAST, productname) AS INTEGER),
                productname, CAST(total_sold AS DOUBLE)
-        FROM ({TOP_PRODUCTS})
+        FROM ({top_products})
         UNION ALL
         SELECT 'low_stock_products',
                CAST(row_number() OVER (ORDER BY stockquantity ASC NULLS FIRST, productname)
@@ -86,6 +86,38 @@ def _report(total: str, stock: str) -> str:
 COUNT_ORDERS = "(SELECT count(DISTINCT o_orderkey) FROM orders)"
 STOCK_AFTER_DAY_2 = "p_size + CASE WHEN p_size <= 25 THEN 1 ELSE 0 END"
 
+# Three snapshots of customers, and which of them each is in.
+HISTORY_CUSTOMERS = """
+    SELECT c_custkey AS customerid, day AS date, version,
+           split_part(c_name, '#', 1) AS firstname,
+           split_part(c_name, '#', 2) || CASE WHEN c_custkey % 2 = 0 THEN '-' || version ELSE '' END AS lastname,
+           'c' || c_custkey || '@example.com' AS email, c_nationkey || '-' || c_custkey AS phone
+    FROM customer, (VALUES (0, DATE '1994-06-30'), (1, DATE '1996-06-30'), (2, DATE '1998-03-31')) s(version, day)
+    WHERE NOT (version = 0 AND c_custkey % 3 = 0) AND NOT (version = 1 AND c_custkey % 5 = 0)
+"""
+CUSTOMERS_AS_OF = f"""
+    SELECT customerid, firstname, lastname, email, phone, date FROM ({HISTORY_CUSTOMERS})
+    WHERE date <= DATE '1997-07-15'
+    QUALIFY rank() OVER (PARTITION BY customerid ORDER BY date DESC) = 1
+"""
+MONTH = "date_trunc('month', o_orderdate)"
+TOP_ORDERS_AS_OF = f"""
+    SELECT o_orderkey AS orderid, firstname, lastname, o_totalprice AS totalamount,
+           strftime({MONTH}, '%Y-%m-%d') AS orderdate
+    FROM orders JOIN ({CUSTOMERS_AS_OF}) ON o_custkey = customerid
+    WHERE {MONTH} <= DATE '1997-07-15'
+    ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 5
+"""
+ITEMS_AS_OF = """
+    SELECT l_partkey, l_quantity + 1 AS l_quantity FROM lineitem WHERE l_shipdate <= TIMESTAMP '1996-06-30'
+"""
+TOP_PRODUCTS_AS_OF = f"""
+    SELECT p_name AS productname, CAST(sum(l_quantity) AS BIGINT) AS total_sold
+    FROM ({ITEMS_AS_OF}) JOIN part ON l_partkey = p_partkey
+    GROUP BY p_name ORDER BY total_sold DESC NULLS LAST, productname LIMIT 5
+"""
+ORDERS_AS_OF = f"(SELECT count(DISTINCT o_orderkey) FROM orders WHERE {MONTH} <= DATE '1997-07-15')"
+
 ORACLES: dict[str, str] = {
     "source_query_scan": f"SELECT {ORDER_COLUMNS} FROM orders",
     "source_table_scan": f"SELECT {CUSTOMER_COLUMNS} FROM customer",
@@ -191,6 +223,26 @@ ORACLES: dict[str, str] = {
         WHERE r = 1
     """,
     "silver_full_load": LATEST_PRODUCTS,
+    "silver_refresh_bucketed": LATEST_PRODUCTS,
+    "gold_kpis_as_of": _report(ORDERS_AS_OF, STOCK_AFTER_DAY_2, TOP_ORDERS_AS_OF, TOP_PRODUCTS_AS_OF),
+    "gold_top5_orders_as_of": TOP_ORDERS_AS_OF,
+    "silver_customers_as_of": CUSTOMERS_AS_OF,
+    "history_intervals": f"""
+        WITH held AS (
+          SELECT customerid, lastname, date, version, version - row_number() OVER (
+            PARTITION BY customerid, lastname ORDER BY version) AS run,
+            lead(date) OVER (PARTITION BY customerid ORDER BY version) AS next_day
+          FROM ({HISTORY_CUSTOMERS}))
+        SELECT customerid, lastname, min(date) AS valid_from, max(date) AS last_seen,
+               last(next_day ORDER BY date) AS valid_to, CAST(1 AS BIGINT) AS copies
+        FROM held GROUP BY customerid, lastname, run
+    """,
+    "orders_with_customer_as_of": f"""
+        SELECT orderid, customerid, day AS date, lastname
+        FROM (SELECT o_orderkey AS orderid, o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders)
+        JOIN ({HISTORY_CUSTOMERS}) ON customerid = o_custkey AND date <= day
+        QUALIFY row_number() OVER (PARTITION BY orderid ORDER BY date DESC) = 1
+    """,
     "silver_refresh": LATEST_PRODUCTS,
     "silver_refresh_after_gap": LATEST_PRODUCTS,
     "silver_refresh_drifted": LATEST_PRODUCTS,

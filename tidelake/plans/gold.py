@@ -18,16 +18,17 @@ from tidelake.specs import LOAD_DATE
 
 
 def loaded_by(df: DataFrame, day: date) -> DataFrame:
+    """The rows of a table loaded by day that were there on ``day``."""
     return df.where(F.col(LOAD_DATE) <= F.lit(day))
 
 
-def kpis(tables: Mapping[str, DataFrame], as_of: date | None = None) -> dict[str, DataFrame]:
+def kpis(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """KPI name to frame.
 
-    The KPIs cover all of silver.  ``as_of`` leaves out rows loaded later.
+    The KPIs cover all of ``tables``.  Silver's tables give those of its newest day;
+    ``history.tables_as_of`` gives the tables of a past one, which silver alone can't,
+    as it keeps one version of a key.
     """
-    if as_of is not None:
-        tables = {name: loaded_by(df, as_of) for name, df in tables.items()}
     return {
         "total_orders": total_orders(tables["orders"]),
         "top_5_orders_value": top_orders_by_value(tables["orders"], tables["customers"]),
@@ -46,10 +47,5 @@ def write_kpis(frames: Mapping[str, DataFrame], gold_root: str, run_date: date)
     return paths
 
 
-def build(
-    tables: Mapping[str, DataFrame],
-    gold_root: str,
-    run_date: date,
-    as_of: date | None = None,
-) -> list[str]:
-    return write_kpis(kpis(tables, as_of), gold_root, run_date)
+def build(tables: Mapping[str, DataFrame], gold_root: str, run_date: date) -> list[str]:
+    return write_kpis(kpis(tables), gold_root, run_date)

@@ -43,7 +43,11 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orderitems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item ids repeat, as (order, line) does in the source."""
-    return table(spark, sf_dir, "lineitem").select(
+    return orderitems_of(table(spark, sf_dir, "lineitem"))
+
+
+def orderitems_of(lines: DataFrame) -> DataFrame:
+    return lines.select(
         (F.col("l_orderkey") * LINES_PER_ORDER + F.col("l_linenumber")).alias("orderitemid"),
         F.col("l_orderkey").alias("orderid"),
         F.col("l_partkey").alias("productid"),

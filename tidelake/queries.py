@@ -17,8 +17,9 @@ from tidelake.functions import columns as C
 from tidelake.operators import kpis as K
 from tidelake.operators import rows as R
 from tidelake.operators.guards import counted
+from tidelake.operators.history import as_of_join
 from tidelake.operators.latest import latest_by_key
-from tidelake.plans import bronze, gold, medallion, report, silver, views
+from tidelake.plans import bronze, gold, history, medallion, report, silver, views
 from tidelake.sinks.files import write_lines, write_positional_csv
 from tidelake.sinks.lake import overwrite_table, write_days
 from tidelake.sources import files, lake
@@ -35,12 +36,15 @@ WIDE = wide_sales()
 SNAPSHOT_DAYS = (date(2025, 1, 1), date(2025, 1, 2), date(2025, 1, 3))
 ORDER_DAY = date(1995, 6, 19)
 AS_OF_DAY = date(1997, 7, 15)
+HISTORY_DAYS = (date(1994, 6, 30), date(1996, 6, 30), date(1998, 3, 31))
 DAY_WITHOUT_ORDERS = date(1990, 1, 1)
 RUN_DATE = date(2025, 1, 1)
 
 # Stock limits of the products that are still listed in later snapshots.
 LISTED_ON_DAY_2 = 25
 LISTED_ON_DAY_3 = 10
+# Of a table of a few thousand rows; one bucket is meant to be a good file.
+PRODUCT_BUCKETS = 8
 
 REGISTRY: dict[str, Query] = {}
 
@@ -400,6 +404,22 @@ def silver_refresh_drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.snapshot_scan(spark, spec, f"{root}/silver/products")
 
 
+def _refresh_in_buckets(spark: SparkSession, sf_dir: str, buckets: int) -> str:
+    """The lake of ``silver_refresh``, with the table in buckets of its key."""
+    root, spec = new_folder(spark, "lake"), WIDE["products"]
+    for version, day in enumerate(SNAPSHOT_DAYS):
+        bronze.load(_product_snapshot(spark, sf_dir, version), spec, f"{root}/bronze", day)
+        silver.refresh(spark, spec, f"{root}/bronze", f"{root}/silver", day, buckets=buckets)
+    return root
+
+
+@query
+def silver_refresh_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table, of which a snapshot rewrites the buckets that its keys are in."""
+    root = _refresh_in_buckets(spark, sf_dir, PRODUCT_BUCKETS)
+    return lake.snapshot_scan(spark, WIDE["products"], f"{root}/silver/products")
+
+
 @query
 def silver_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "silver")
@@ -490,6 +510,88 @@ def silver_stream_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.snapshot_scan(spark, spec, f"{root}/silver/orders")
 
 
+# --- history ---------------------------------------------------------------
+
+
+def _snapshot(spark: SparkSession, sf_dir: str, table: str, version: int) -> DataFrame:
+    """A table as of snapshot 0, 1, 2: customers move and are renamed, products are restocked,
+    items are shipped, and those shipped before are corrected.
+    """
+    if table == "products":
+        return _product_snapshot(spark, sf_dir, version)
+    if table == "orderitems":
+        shipped = views.table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") <= F.lit(HISTORY_DAYS[version]))
+        return views.orderitems_of(shipped).withColumn("quantity", F.col("quantity") + version)
+    customers = views.customers(spark, sf_dir)
+    if version == 0:
+        customers = customers.where(F.col("customerid") % 3 != 0)
+    if version == 1:
+        customers = customers.where(F.col("customerid") % 5 != 0)
+    renamed = F.col("customerid") % 2 == 0
+    return customers.withColumn(
+        "lastname", F.when(renamed, F.concat("lastname", F.lit(f"-{version}"))).otherwise(F.col("lastname"))
+    )
+
+
+def _histories(spark: SparkSession, sf_dir: str, *tables: str) -> str:
+    """A lake with three snapshots of each table, and their histories brought up to date after each."""
+    root = new_folder(spark, "lake")
+    for version, day in enumerate(HISTORY_DAYS):
+        for name in tables:
+            bronze.load(_snapshot(spark, sf_dir, name, version), WIDE[name], f"{root}/bronze", day)
+            history.refresh(spark, WIDE[name], f"{root}/bronze", f"{root}/history")
+    return root
+
+
+def _lake_as_of(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    """The whole lake, and its tables as they were between the second snapshot and the third."""
+    root, spec = _histories(spark, sf_dir, "customers", "products", "orderitems"), WIDE["orders"]
+    first, _, _, last = _months(spark, sf_dir)
+    _book(spark, sf_dir, root, first, last)
+    silver.incremental(spark, spec, f"{root}/bronze", f"{root}/silver", first, last)
+    return root, history.tables_as_of(spark, WIDE, f"{root}/silver", f"{root}/history", AS_OF_DAY)
+
+
+@query
+def gold_kpis_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a past day, after customers, products and items changed again."""
+    root, tables = _lake_as_of(spark, sf_dir)
+    gold.build(tables, f"{root}/gold", AS_OF_DAY)
+    return report.long_report(spark, f"{root}/gold", AS_OF_DAY)
+
+
+@query
+def gold_top5_orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most valuable orders of a past day, with the names that customers had on it."""
+    _, tables = _lake_as_of(spark, sf_dir)
+    return gold.kpis(tables)["top_5_orders_value"]
+
+
+@query
+def silver_customers_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers as a full load on a past day left them."""
+    root = _histories(spark, sf_dir, "customers")
+    return history.table_as_of(spark, WIDE["customers"], f"{root}/history", AS_OF_DAY)
+
+
+@query
+def history_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validity of every version of every customer."""
+    root = _histories(spark, sf_dir, "customers")
+    rows = history.history_scan(spark, WIDE["customers"], f"{root}/history")
+    return rows.select("customerid", "lastname", "valid_from", "last_seen", "valid_to", "copies")
+
+
+@query
+def orders_with_customer_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order with the name that its customer had on the order's day."""
+    root = _histories(spark, sf_dir, "customers")
+    customers = history.history_scan(spark, WIDE["customers"], f"{root}/history")
+    orders = views.loaded_orders(spark, sf_dir).select("orderid", "customerid", "date")
+    names = customers.drop("firstname", "email", "phone")
+    return as_of_join(orders, names, "customerid", "date")
+
+
 # --- gold and report -------------------------------------------------------
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelake import folders
 from tidelake.operators.guards import Audit, counted
@@ -14,6 +15,7 @@ from tidelake.sources.lake import POINTER, VERSION, current_version
 from tidelake.specs import LOAD_DATE
 
 MODES = ("overwrite", "append")
+BUCKET = "bucket"
 
 
 def write_days(
@@ -61,25 +63,75 @@ def overwrite_table(df: DataFrame, table: str, path: str) -> Audit:
     return Audit(table, path, observation.get["rows"])
 
 
-def replace_table(df: DataFrame, table: str, path: str, days: Mapping[str, str] | None = None) -> Audit:
-    """Replace a table by a new version, which may be computed from the current one.
+def publish(
+    spark: SparkSession,
+    path: str,
+    parts: Mapping[str, str],
+    days: Mapping[str, str] | None = None,
+    buckets: int = 0,
+) -> None:
+    """Make ``parts`` (folders under ``path`` by name) the table.
 
-    The rows go to a folder of their own; a small numbered pointer, written last,
-    makes them the table.  Until then, and if the run dies, readers see the old
-    version.  The version before the current one stays for readers that have
-    begun; older ones and those of runs that died go.  ``days`` is kept with the
-    version.  One writer at a time: a second one fails at the pointer.
+    A small numbered pointer, written last, does it.  Until then, and if the run
+    dies, readers see the old version.  Folders of the version before the current one
+    stay for readers that have begun; those of older ones and of runs that died go.
+    One writer at a time: a second one fails at the pointer.
     """
-    spark = df.sparkSession
     now = current_version(spark, path)
-    folder = f"{VERSION}{uuid.uuid4().hex}"
-    audit = overwrite_table(df, table, f"{path}/{folder}")
     number = now.number + 1 if now else 1
-    told = {"folder": folder, "days": dict(days or {})}
+    told = {"parts": dict(parts), "days": dict(days or {}), "buckets": buckets}
     folders.write_new(spark, f"{path}/{POINTER}{number:012d}", json.dumps(told))
-    keep = {folder, now.folder if now else folder}
+    keep = {*parts.values(), *(now.parts.values() if now else ())}
     for name in folders.names(spark, path):
-        old_pointer = name.startswith(POINTER) and int(name.removeprefix(POINTER)) < number - 1
-        if old_pointer or name.startswith(VERSION) and name not in keep:
+        if name.startswith(POINTER) and int(name.removeprefix(POINTER)) < number - 1:
             folders.remove(spark, f"{path}/{name}")
+        elif name.startswith(VERSION) and name not in keep:
+            used = {folder.removeprefix(f"{name}/") for folder in keep if folder.startswith(f"{name}/")}
+            for part in folders.names(spark, f"{path}/{name}") if used else ():
+                if "=" in part and part not in used:
+                    folders.remove(spark, f"{path}/{name}/{part}")
+            if not used:
+                folders.remove(spark, f"{path}/{name}")
+
+
+def new_version() -> str:
+    """A folder name that no other version has."""
+    return f"{VERSION}{uuid.uuid4().hex}"
+
+
+def replace_table(df: DataFrame, table: str, path: str, days: Mapping[str, str] | None = None) -> Audit:
+    """Replace a table by a new version, which may be computed from the current one.
+
+    ``days`` is kept with the version.
+    """
+    folder = new_version()
+    audit = overwrite_table(df, table, f"{path}/{folder}")
+    publish(df.sparkSession, path, {"": folder}, days)
     return Audit(table, path, audit.rows_written)
+
+
+def bucket_of(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def replace_buckets(
+    df: DataFrame,
+    table: str,
+    path: str,
+    key: Sequence[str],
+    buckets: int,
+    days: Mapping[str, str] | None = None,
+    kept: Mapping[str, str] | None = None,
+) -> Audit:
+    """A new version in which the buckets of ``df``'s keys hold the rows of ``df``, and ``kept`` parts stay as they are.
+
+    Only ``df`` is written: a folder for each of its buckets.
+    """
+    spark = df.sparkSession
+    folder = new_version()
+    rows, observation = counted(df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET))
+    rows.write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{folder}")
+    written = [n for n in folders.names(spark, f"{path}/{folder}") if n.startswith(f"{BUCKET}=")]
+    parts = {n.removeprefix(f"{BUCKET}="): f"{folder}/{n}" for n in written}
+    publish(spark, path, dict(kept or {}) | parts, days, buckets)
+    return Audit(table, path, observation.get["rows"])

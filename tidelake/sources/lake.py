@@ -28,11 +28,16 @@ FOOTER_READERS = 16
 
 
 class Version(NamedTuple):
-    """A table's current version: its pointer's number, its folder, and the bronze days in it."""
+    """A table's current version: its pointer's number, its folders by part, and the bronze days in it.
+
+    A table replaced as a whole has one part, "".  A table in ``buckets`` has a part
+    for each bucket that holds rows.
+    """
 
     number: int
-    folder: str
+    parts: dict[str, str]
     days: dict[str, str]
+    buckets: int = 0
 
 
 def current_version(spark: SparkSession, path: str) -> Version | None:
@@ -41,13 +46,22 @@ def current_version(spark: SparkSession, path: str) -> Version | None:
     if not pointers:
         return None
     told = json.loads(folders.read_text(spark, f"{path}/{pointers[-1]}"))
-    return Version(int(pointers[-1].removeprefix(POINTER)), told["folder"], told["days"])
+    parts = told["parts"] if "parts" in told else {"": told["folder"]}
+    return Version(int(pointers[-1].removeprefix(POINTER)), parts, told["days"], told.get("buckets", 0))
 
 
-def table_path(spark: SparkSession, path: str) -> str:
-    """Where a table's files are: the current version's folder, or the folder itself."""
+def table_paths(spark: SparkSession, path: str) -> list[str]:
+    """Where a table's files are: the current version's folders, or the folder itself."""
     version = current_version(spark, path)
-    return f"{path}/{version.folder}" if version else path
+    return [f"{path}/{folder}" for folder in version.parts.values()] if version else [path]
+
+
+def table_path(spark: SparkSession, path: str) -> str:
+    """The one folder of a table that is not in buckets."""
+    paths = table_paths(spark, path)
+    if len(paths) != 1:
+        raise ValueError(f"{path} is in {len(paths)} folders; see table_paths")
+    return paths[0]
 
 
 def snapshot_scan(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
@@ -57,7 +71,10 @@ def snapshot_scan(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     applied on read, so a table without any day yet does not break the scan;
     ``stored_scan`` is for days of other stored types.
     """
-    return spark.read.schema(spec.lake_schema).parquet(table_path(spark, root))
+    paths = table_paths(spark, root)
+    if not paths:
+        return spark.createDataFrame([], spec.lake_schema)
+    return spark.read.schema(spec.lake_schema).parquet(*paths)
 
 
 def bronze_days(spark: SparkSession, spec: TableSpec, root: str) -> dict[str, str]:
