@@ -227,6 +227,10 @@ ORACLES: dict[str, str] = {
     "gold_kpis_as_of": _report(ORDERS_AS_OF, STOCK_AFTER_DAY_2, TOP_ORDERS_AS_OF, TOP_PRODUCTS_AS_OF),
     "gold_top5_orders_as_of": TOP_ORDERS_AS_OF,
     "silver_customers_as_of": CUSTOMERS_AS_OF,
+    "gold_total_orders_incremental": f"""
+        SELECT count(DISTINCT o_orderkey) AS total_orders, CAST(max({MONTH}) AS DATE) AS ref_date FROM orders
+    """,
+    "gold_top5_products_incremental": TOP_PRODUCTS,
     "history_intervals": f"""
         WITH held AS (
           SELECT customerid, lastname, date, version, version - row_number() OVER (

@@ -10,8 +10,9 @@ from collections.abc import Callable
 from datetime import date, timedelta
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelake.functions import columns as C
 from tidelake.operators import kpis as K
@@ -19,12 +20,13 @@ from tidelake.operators import rows as R
 from tidelake.operators.guards import counted
 from tidelake.operators.history import as_of_join
 from tidelake.operators.latest import latest_by_key
-from tidelake.plans import bronze, gold, history, medallion, report, silver, views
+from tidelake.plans import bronze, daily_state, gold, history, medallion, report, silver, views
+from tidelake.plans.daily_state import DailyState, DistinctIds, SumByKey
 from tidelake.sinks.files import write_lines, write_positional_csv
 from tidelake.sinks.lake import overwrite_table, write_days
 from tidelake.sources import files, lake
 from tidelake.sources.sqlite import sqlite_scan, write_sqlite_shards
-from tidelake.specs import KPIS, SALES, wide_sales
+from tidelake.specs import KPIS, SALES, TableSpec, wide_sales
 from tidelake.streaming import orders as order_stream
 from tidelake.workspace import new_folder, tune
 
@@ -49,6 +51,10 @@ PRODUCT_BUCKETS = 8
 REGISTRY: dict[str, Query] = {}
 
 
+def _columns(**types: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in types.items()])
+
+
 def query(run: Query) -> Query:
     @wraps(run)
     def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -510,6 +516,62 @@ def silver_stream_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.snapshot_scan(spark, spec, f"{root}/silver/orders")
 
 
+# --- KPI states kept by day ------------------------------------------------
+
+
+def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of a shop that books once a month, by the month they were shipped in."""
+    lines = views.table(spark, sf_dir, "lineitem")
+    return lines.select(
+        F.col("l_partkey").alias("productid"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.date_format(F.trunc("l_shipdate", "month"), "yyyy-MM-dd").alias("shipdate"),
+    )
+
+
+def _book_twice(source: DataFrame, wrong: Column, spec: TableSpec, state: DailyState, root: str) -> None:
+    """Book two halves of a table's months; the first half's last month is ``wrong`` until it is booked again.
+
+    The state is updated after each booking, and once more for nothing.
+    """
+    spark = source.sparkSession
+    months = source.agg(F.min(spec.day_column), F.max(spec.day_column)).first()
+    first, last = (date.fromisoformat(m) for m in months)
+    middle = (first + (last - first) / 2).replace(day=1)
+    column = spec.columns[-2]
+    mistaken = F.when(F.col(spec.day_column) == middle.isoformat(), wrong).otherwise(F.col(column))
+    for rows, start, end in (
+        (source.withColumn(column, mistaken), first, middle),
+        (source, (middle + timedelta(days=31)).replace(day=1), last),
+        (source, middle, middle),
+    ):
+        bronze.backfill(rows, spec, root, start, end)
+        state.update(spark, root)
+    state.update(spark, root)
+
+
+@query
+def gold_total_orders_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders from bitmaps by month, after a month was booked with wrong ids and again."""
+    root = new_folder(spark, "lake")
+    spec = TableSpec("bookings", _columns(orderid="long", orderdate="string"), day_column="orderdate")
+    state = DailyState("order_ids", spec, DistinctIds("orderid"), f"{root}/state")
+    orders = views.monthly_orders(spark, sf_dir).select("orderid", "orderdate")
+    _book_twice(orders, F.col("orderid") + 1_000_000_000, spec, state, f"{root}/bronze")
+    return daily_state.total_orders(spark, state)
+
+
+@query
+def gold_top5_products_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best-selling products from sums by month, after a month was booked with wrong quantities and again."""
+    root = new_folder(spark, "lake")
+    columns = _columns(productid="long", quantity="long", shipdate="string")
+    spec = TableSpec("shipments", columns, day_column="shipdate")
+    state = DailyState("units_sold", spec, SumByKey("productid", "quantity"), f"{root}/state")
+    _book_twice(_shipments(spark, sf_dir), F.col("quantity") * 1000, spec, state, f"{root}/bronze")
+    return K.top_products_sold(daily_state.units_sold(spark, state), views.products(spark, sf_dir))
+
+
 # --- history ---------------------------------------------------------------
 
 
