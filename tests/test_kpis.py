@@ -1,8 +1,11 @@
 """The KPIs on small tables, planned for small and for large join sides."""
 
+import random
+import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidelake.operators.kpis import (
     low_stock_products,
@@ -41,7 +44,8 @@ def test_total_orders_of_nothing_is_one_row(spark):
     assert rows(total_orders(spark.createDataFrame([], ORDERS))) == [(0, None)]
 
 
-def test_top_orders(spark, join_sides):
+@pytest.mark.parametrize("many", [False, True])
+def test_top_orders(spark, join_sides, many):
     orders = spark.createDataFrame(
         [
             (7, 1, "d7", 70.0, D1),
@@ -55,20 +59,21 @@ def test_top_orders(spark, join_sides):
         ORDERS,
     )
     customers = spark.createDataFrame([(1, "A", "B", D1), (2, "C", "D", D1)], CUSTOMERS)
-    assert rows(top_orders_by_value(orders, customers, k=4)) == [
+    assert rows(top_orders_by_value(orders, customers, 4, many)) == [
         (7, "A", "B", 70.0, "d7"),
         (2, "C", "D", 60.0, "d2"),
         (6, "A", "B", 60.0, "d6"),
         (3, "A", "B", 10.0, "d3"),
     ]
-    assert rows(top_orders_by_value(orders, customers, k=9))[-1] == (1, "C", "D", None, "d1")
+    assert rows(top_orders_by_value(orders, customers, 9, many))[-1] == (1, "C", "D", None, "d1")
 
 
-def test_top_orders_shows_copies(spark, join_sides):
+@pytest.mark.parametrize("many", [False, True])
+def test_top_orders_shows_copies(spark, join_sides, many):
     """An order loaded twice, and a customer kept twice, appear as often as they join."""
     orders = spark.createDataFrame([(1, 1, "d", 5.0, D1), (1, 1, "d", 5.0, D2)], ORDERS)
     customers = spark.createDataFrame([(1, "A", "B", D1), (1, "A", "C", D1)], CUSTOMERS)
-    assert rows(top_orders_by_value(orders, customers, k=3)) == [
+    assert rows(top_orders_by_value(orders, customers, 3, many)) == [
         (1, "A", "B", 5.0, "d"), (1, "A", "B", 5.0, "d"), (1, "A", "C", 5.0, "d"),
     ]
 
@@ -90,13 +95,38 @@ def test_one_answer_for_small_and_large_sides(spark, folder):
         for limit in ("10MB", "-1"):
             spark.conf.set(key, limit)
             orders, customers = (spark.read.parquet(f"{folder}/{t}") for t in ("orders", "customers"))
-            found.append(rows(top_orders_by_value(orders, customers)))
+            found += [rows(top_orders_by_value(orders, customers, many_customers=many)) for many in (False, True)]
     finally:
         spark.conf.set(key, before)
-    assert found[0] == found[1]
+    assert all(f == found[0] for f in found)
     assert [r[1] for r in found[0]] == ["A", "A", "A", "A", "B"]
 
 
+def final_plan(df):
+    df.collect()
+    return re.split(r"\n\+- == Initial Plan", df._jdf.queryExecution().executedPlan().toString())[0]
+
+
+def test_only_high_orders_are_shuffled_for_many_customers(spark, folder, large_tables):
+    """Ties at the cut are in; the other orders' branch falls away once enough are found."""
+    chance = random.Random(6)
+    orders = [(i, chance.randrange(60), "d", float(chance.randrange(40)), D1) for i in range(3000)]
+    spark.createDataFrame(orders, ORDERS).write.parquet(f"{folder}/orders")
+    spark.createDataFrame([(i, "A", str(i), D1) for i in range(50)], CUSTOMERS).write.parquet(f"{folder}/customers")
+    tables = [spark.read.parquet(f"{folder}/{t}") for t in ("orders", "customers")]
+    for k in (1, 5, 40):
+        plain, cut = (top_orders_by_value(*tables, k, many) for many in (False, True))
+        assert rows(plain) == rows(cut)
+        assert "Union" not in final_plan(cut)
+    none = tables[1].where("customerid = 7")
+    plain, cut = (top_orders_by_value(tables[0], none, 30, many) for many in (False, True))
+    assert rows(plain) == rows(cut) and len(rows(cut)) == 30
+    assert "Union" in final_plan(cut)
+    nothing = tables[0].limit(0), tables[0].withColumn("totalamount", F.lit(None).cast("double"))
+    for df in nothing:
+        assert rows(top_orders_by_value(df, tables[1], 3, True)) == rows(top_orders_by_value(df, tables[1], 3))
+
+
 def test_top_products(spark, join_sides):
     items = spark.createDataFrame(
         [(1, 5, D1), (1, None, D1), (2, 4, D1), (3, 3, D1), (9, 100, D1), (None, 50, D1), (4, None, D1)],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.operators.topk import top_k, top_k_joined
+from tidelake.operators.topk import top_k, top_k_before_join, top_k_joined
 from tidelake.specs import LOAD_DATE
 
 # Fixed value: every ranking KPI keeps five rows.
@@ -23,9 +23,16 @@ def total_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def top_orders_by_value(orders: DataFrame, customers: DataFrame, k: int = TOP) -> DataFrame:
-    """Most valuable orders with the customer's name; orders without one drop out."""
-    return top_k_joined(
+def top_orders_by_value(
+    orders: DataFrame, customers: DataFrame, k: int = TOP, many_customers: bool = False
+) -> DataFrame:
+    """Most valuable orders with the customer's name; orders without one drop out.
+
+    With ``many_customers``, more than can be broadcast, only the highest orders are
+    shuffled; the rows are the same.
+    """
+    ranked = top_k_before_join if many_customers else top_k_joined
+    return ranked(
         orders.select("orderid", "customerid", "totalamount", "orderdate"),
         customers.select("customerid", "firstname", "lastname"),
         on="customerid",

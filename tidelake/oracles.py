@@ -267,6 +267,7 @@ ORACLES: dict[str, str] = {
         FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '1997-07-15'
     """,
     "gold_top5_orders_value": TOP_ORDERS,
+    "gold_top5_orders_of_many_customers": TOP_ORDERS,
     "gold_top5_products_sold": TOP_PRODUCTS,
     "gold_low_stock_products": LOW_STOCK.format(stock="p_size"),
     "gold_kpi_roundtrip": TOP_PRODUCTS,

@@ -673,6 +673,13 @@ def gold_top5_orders_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.top_orders_by_value(views.orders(spark, sf_dir), views.customers(spark, sf_dir))
 
 
+@query
+def gold_top5_orders_of_many_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with a cut before the join."""
+    orders, customers = views.orders(spark, sf_dir), views.customers(spark, sf_dir)
+    return K.top_orders_by_value(orders, customers, many_customers=True)
+
+
 @query
 def gold_top5_products_sold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.top_products_sold(views.orderitems(spark, sf_dir), views.products(spark, sf_dir))
