@@ -6,18 +6,20 @@ only, so equal windows name the same place in themselves.  A run of windows with
 one anchor is a block; about one byte in 75 is an anchor.  Only blocks whose
 anchor's hash stands elsewhere too are looked at, with their bytes.
 
-Suffix sort.  A task sorts the anchors of a hash by what follows them and by what
-stands before them: a merge sort whose comparisons find the common extension of
-two suffixes by binary search on prefix polynomial hashes.  The extensions of
-neighbours give, for each offset, which blocks agree on a whole window.  All
-extensions of neighbours are checked byte by byte; a mismatch sorts again with
-another base.
-
-Skew.  Anchors are counted with partial aggregation.  Those of at most 16,384
-places go to a task by their hash.  For others the different blocks are counted,
-then their windows by hash, also with partial aggregation, and the windows found
-twice are joined back to the places of their block; a passage of a third of all
-documents is spread like that.  Texts are shuffled by document once.
+Suffix sort.  Equal blocks are counted by 128 bits before they travel, and one of
+each kind is cut from its text.  Where all blocks of an anchor are equal, all of
+their windows are repeated.  Otherwise a task sorts the kinds of a hash by what
+follows the anchor and by what stands before it: a merge sort whose comparisons find
+the common extension of two suffixes by binary search on prefix polynomial hashes.
+The extensions of neighbours give, for each offset, which blocks agree on a whole
+window.  All extensions of neighbours are checked byte by byte; a mismatch sorts
+again with another base.
+
+Skew.  Anchors are counted with partial aggregation, and kinds too.  Anchors of at
+most 16,384 places go to a task by their hash.  For others the windows of the kinds
+are counted by hash, also with partial aggregation.  What was found for a kind is
+joined back to its places; the joins read written tables or shuffle both sides, so
+adaptive execution may split a hot one.
 
 Defined results: a null text is empty; a text shorter than a window loses
 nothing; matches don't cross rows; rows of a repeated or null id are documents by
@@ -26,7 +28,6 @@ themselves; an empty table gives an empty table.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,8 +37,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_digest, written
-from .word_codes import ragged, slices
+from tidelake import folders
+
+from .common import named_rows, written, written_at
+from .word_codes import digests, ragged, slices
 
 WINDOW = 200
 ANCHOR = 48
@@ -45,8 +48,8 @@ ANCHOR = 48
 MOST_PLACES = 16_384
 SLICE = 1 << 20
 INDEX_BITS = 21
-ID_BUCKETS = 1 << 18
 U = np.uint64
+KIND = ("key", "print_a", "print_b", "rows", "many")
 
 
 class Hashes:
@@ -160,27 +163,29 @@ def _find_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 row = np.searchsorted(ends, low, "right")
                 own = begins[row]
                 rows = pa.array(row + at)
+                prints = digests(data, low, high + WINDOW)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key),
+                        pa.array(prints[:, 0]),
+                        pa.array(prints[:, 1]),
                         batch.column("name_a").take(rows),
                         batch.column("name_b").take(rows),
                         pa.array((low - own) << 16 | (place - low) << 8 | (high - low)),
                     ],
-                    names=["key", "name_a", "name_b", "run"],
+                    names=["key", "print_a", "print_b", "name_a", "name_b", "run"],
                 )
 
 
 def _cut_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each wanted block, with its bytes."""
+    """A row for each wanted kind of block, with its bytes."""
     for batch in batches:
         for at, n, data, begins, _ in _texts(batch):
-            wanted = batch.column("hits").slice(at, n)
+            wanted = batch.column("kinds").slice(at, n)
             row = pc.list_parent_indices(wanted).to_numpy(zero_copy_only=False).astype(np.int64)
             hit = pc.list_flatten(wanted)
             run = pc.struct_field(hit, "run").to_numpy(zero_copy_only=False)
             low, lead, size = run >> 16, run >> 8 & 0xFF, (run & 0xFF) + WINDOW
-            rows = pa.array(row + at)
             step = 20_000
             for x in range(0, len(row), step):
                 s = slice(x, x + step)
@@ -191,15 +196,11 @@ def _cut_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pc.struct_field(hit, "key").slice(x, step),
-                        pc.struct_field(hit, "places").slice(x, step),
-                        batch.column("name_a").take(rows.slice(x, step)),
-                        batch.column("name_b").take(rows.slice(x, step)),
-                        pa.array(low[s].astype(np.int32)),
+                        *(pc.struct_field(hit, c).slice(x, step) for c in KIND),
                         pa.array(lead[s].astype(np.int32)),
                         block,
                     ],
-                    names=["key", "places", "name_a", "name_b", "low", "lead", "block"],
+                    names=[*KIND, "lead", "block"],
                 )
 
 
@@ -297,10 +298,13 @@ def _agree(data, a, b, common, most, step: int = 4096) -> bool:
     return True
 
 
-def repeated_offsets(key: np.ndarray, lead: np.ndarray, blocks: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(row, first offset, last offset) of runs of windows that stand in two rows of one key.
+def repeated_offsets(
+    key: np.ndarray, lead: np.ndarray, blocks: list[bytes], places: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
+    """(row, first offset, last offset) of runs of windows that stand at two places of one key.
 
-    Rows are sorted by key.  An offset counts back from the anchor.
+    Rows are sorted by key; each stands for one place, or as many as ``places`` says.
+    An offset counts back from the anchor.
     """
     group = np.cumsum(np.append(0, key[1:] != key[:-1]))
     # Equal blocks are one, with its number of rows.
@@ -308,13 +312,14 @@ def repeated_offsets(key: np.ndarray, lead: np.ndarray, blocks: list[bytes]) ->
     item = np.array([seen.setdefault(x, len(seen)) for x in zip(group.tolist(), lead.tolist(), blocks, strict=True)])
     n = len(seen)
     weight = np.bincount(item, minlength=n)
+    held = weight if places is None else np.bincount(item, places, minlength=n)
     own_group = np.array([g for g, _, _ in seen], np.int64)
     own_lead = np.array([x for _, x, _ in seen], np.int64)
     raw = [b for _, _, b in seen]
     size = np.array([len(b) for b in raw], np.int64)
     after = size - own_lead
     nearest, farthest = np.maximum(0, WINDOW - after), own_lead
-    found = [(i, int(nearest[i]), int(farthest[i])) for i in np.flatnonzero(weight > 1).tolist()]
+    found = [(i, int(nearest[i]), int(farthest[i])) for i in np.flatnonzero(held > 1).tolist()]
     several = np.flatnonzero(np.bincount(own_group)[own_group] > 1)
     if len(several):
         data = np.frombuffer(b"".join(raw[i] for i in several.tolist()), np.uint8)
@@ -324,7 +329,7 @@ def repeated_offsets(key: np.ndarray, lead: np.ndarray, blocks: list[bytes]) ->
         cuts = np.append(cuts, len(several))
         right = _neighbours(data, anchor, np.minimum(after[several], WINDOW), cuts, 11)
         left = _neighbours(data[::-1].copy(), len(data) - anchor, own_lead[several], cuts, 13)
-        near, far, many = nearest[several], farthest[several], weight[several] > 1
+        near, far, many = nearest[several], farthest[several], held[several] > 1
         m = len(several)
         marks = np.zeros((WINDOW - ANCHOR + 3, m), bool)
         for offset in range(int(near.min()), int(far.max()) + 1):
@@ -356,21 +361,16 @@ def repeated_offsets(key: np.ndarray, lead: np.ndarray, blocks: list[bytes]) ->
 
 
 def _judge(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spans that are repeated, from rows sorted by key; a key's rows are whole before they are looked at."""
+    """Offsets of repeated windows of each kind, from rows sorted by key; a key's rows are whole before they are looked at."""
 
-    def spans(pdf: pd.DataFrame) -> pd.DataFrame:
+    def offsets(pdf: pd.DataFrame) -> pd.DataFrame:
         row, first, last = repeated_offsets(
-            pdf["key"].to_numpy(np.int64), pdf["lead"].to_numpy(np.int64), pdf["block"].tolist()
-        )
-        place = (pdf["low"].to_numpy(np.int64) + pdf["lead"].to_numpy(np.int64))[row]
-        return pd.DataFrame(
-            {
-                "name_a": pdf["name_a"].iloc[row],
-                "name_b": pdf["name_b"].iloc[row],
-                "start": (place - last).astype(np.int32),
-                "stop": (place - first + WINDOW).astype(np.int32),
-            }
+            pdf["key"].to_numpy(np.int64),
+            pdf["lead"].to_numpy(np.int64),
+            pdf["block"].tolist(),
+            pdf["rows"].to_numpy(np.int64),
         )
+        return pdf[["key", "print_a", "print_b"]].iloc[row].assign(first=first, last=last)
 
     held = None
     for pdf in pdfs:
@@ -378,25 +378,34 @@ def _judge(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = pdf["key"].to_numpy(np.int64)
         last = int(np.searchsorted(key, key[-1])) if len(key) else 0
         if last:
-            yield spans(pdf.iloc[:last])
+            yield offsets(pdf.iloc[:last])
         held = pdf.iloc[last:]
     if held is not None and len(held):
-        yield spans(held)
+        yield offsets(held)
 
 
 def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window of a block by its hash, with its offset in the block."""
+    """Each window of a kind by its hash, with its offset back from the anchor."""
     for batch in batches:
-        names, offsets, prints = [], [], []
-        for name, block in zip(batch.column("name").to_pylist(), batch.column("block").to_pylist(), strict=True):
-            n = len(block) - WINDOW + 1
-            names += [name] * n
-            offsets += range(n)
-            prints += [hashlib.blake2b(block[i : i + WINDOW], digest_size=16).digest() for i in range(n)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.binary()), pa.array(offsets, pa.int32()), pa.array(prints, pa.binary())],
-            names=["name", "offset", "print"],
-        )
+        for at in range(0, len(batch), 512):
+            some = batch.slice(at, 512)
+            raw = some.column("block").to_pylist()
+            size = np.array([len(x) for x in raw], np.int64)
+            begins = np.cumsum(size) - size
+            counts = size - WINDOW + 1
+            start = ragged(begins, counts).astype(np.int64)
+            kind = np.repeat(np.arange(len(raw)), counts)
+            prints = digests(b"".join(raw), start, start + WINDOW)
+            lead = some.column("lead").to_numpy().astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(some.column(c).take(pa.array(kind)) for c in ("key", "print_a", "print_b", "rows")),
+                    pa.array(lead[kind] - (start - begins[kind])),
+                    pa.array(prints[:, 0]),
+                    pa.array(prints[:, 1]),
+                ],
+                names=["key", "print_a", "print_b", "rows", "first", "window_a", "window_b"],
+            )
 
 
 def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,78 +443,92 @@ def _runs(offsets: Column) -> Column:
     return F.zip_with(first, last, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
 
 
+def _with(names: tuple[str, ...], df: DataFrame) -> tuple[DataFrame, Column]:
+    """``df`` with ``_`` before the names, and their null-safe equality, for which both sides of a join
+    are shuffled anew, so that it can be split at a hot key.
+    """
+    same = F.lit(True)
+    for name in names:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return df.withColumnsRenamed({name: f"_{name}" for name in names}), same
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, kept (bytes), n_bytes and n_spans of each row."""
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    # An id of one row is its name.  Rows of other ids are named by 128 bits of id and text, as two
-    # numbers; equal rows lose the same bytes.  Ids are told apart by buckets, so that the broadcast
-    # is bounded; an id that shares its bucket with a repeated one has the longer name too.
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS))
-    shared = source.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    shared = written(shared.where("rows > 1").select(bucket.alias("_bucket")).distinct(), "suffix-repeated-ids")
-    alone = F.col("doc_id").isNotNull() & F.col("_bucket").isNull()
-    digest = row_digest(F.col("doc_id"), F.col("text"))
-    first, second = (F.conv(F.substring(digest, at, 16), 16, -10).cast("long") for at in (1, 17))
-    source = source.join(F.broadcast(shared), bucket == F.col("_bucket"), "left").select(
-        "doc_id",
-        "text",
-        F.when(alone, F.col("doc_id")).otherwise(first).alias("name_a"),
-        F.when(alone, F.lit(0).cast("long")).otherwise(second).alias("name_b"),
+    """doc_id, kept (bytes), n_bytes and n_spans of each row.
+
+    Each step's table is written, so the shuffles before it can go.
+    """
+    spark = docs.sparkSession
+    source = named_rows(docs, doc_id, text)
+    name, kind = ("name_a", "name_b"), ("key", "print_a", "print_b")
+    found, found_folder = written_at(
+        source.mapInArrow(_find_anchors, "key long, print_a long, print_b long, name_a long, name_b long, run long"),
+        "suffix-anchors",
     )
-    found = source.mapInArrow(_find_anchors, "key long, name_a long, name_b long, run long")
-    # Null-safe equality shuffles the counts anew, so that the join can be split at a hot anchor.
-    often = found.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("places")).where("places > 1")
-    hits = (
-        found.join(often, F.col("key").eqNullSafe(F.col("_key")))
-        .groupBy(F.col("name_a").alias("_a"), F.col("name_b").alias("_b"))
-        .agg(F.collect_set(F.struct("key", "places", "run")).alias("hits"))
+    often = written(
+        found.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("places"),
+            (F.min("print_a") != F.max("print_a")).alias("several"),
+            (F.count(F.lit(1)) > MOST_PLACES).alias("many"),
+        )
+        .where("places > 1")
+        .drop("places"),
+        "suffix-often",
     )
-    same = (F.col("name_a") == F.col("_a")) & (F.col("name_b") == F.col("_b"))
-    blocks = (
-        source.join(hits, same)
-        # The id too, so that both joins read one shuffle of the texts.
-        .select("doc_id", "name_a", "name_b", "text", "hits")
-        .mapInArrow(
-            _cut_blocks, "key long, places long, name_a long, name_b long, low int, lead int, block binary"
+    often, same = _with(("key",), often)
+    hits = written(found.join(often, same).drop("_key"), "suffix-hits")
+    folders.remove(spark, found_folder)
+    by_row = (
+        hits.where("several")
+        .groupBy(*kind)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.first("many").alias("many"),
+            # Any place of a kind will do; the smallest name needs the fewest texts.
+            F.min(F.struct("name_a", "name_b", "run")).alias("place"),
         )
+        .groupBy(F.col("place.name_a").alias("name_a"), F.col("place.name_b").alias("name_b"))
+        .agg(F.collect_list(F.struct(*KIND, "place.run")).alias("kinds"))
+    )
+    by_row, same = _with(name, by_row)
+    blocks = written(
+        source.join(by_row, same)
+        .select("text", "kinds")
+        .mapInArrow(_cut_blocks, "key long, print_a long, print_b long, rows long, many boolean, lead int, block binary"),
+        "suffix-blocks",
     )
     few = (
-        blocks.where(F.col("places") <= MOST_PLACES)
-        .drop("places")
+        blocks.where("NOT many")
+        .drop("many")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInPandas(_judge, "name_a long, name_b long, start int, stop int")
-    )
-    many = blocks.where(F.col("places") > MOST_PLACES).withColumn(
-        "name", F.unhex(F.md5(F.concat(F.col("key").cast("string").cast("binary"), F.col("block"))))
+        .mapInPandas(_judge, "key long, print_a long, print_b long, first long, last long")
     )
-    kinds = many.groupBy("name", "block").agg(F.count(F.lit(1)).alias("rows"))
-    windows = kinds.mapInArrow(_windows, "name binary, offset int, print binary")
-    weights = kinds.select(F.col("name").alias("_name"), "rows")
-    counted = windows.join(weights, F.col("name") == F.col("_name"))
-    twice = counted.groupBy("print").agg(F.sum("rows").alias("all")).where("all > 1").select(F.col("print").alias("_p"))
-    bad = (
-        counted.join(twice, F.col("print") == F.col("_p"))
-        .groupBy("name")
-        .agg(F.sort_array(F.collect_set("offset")).alias("offsets"))
-        .select(F.col("name").alias("_name"), _runs(F.col("offsets")).alias("runs"))
+    windows = blocks.where("many").mapInArrow(
+        _windows, "key long, print_a long, print_b long, rows long, first long, window_a long, window_b long"
     )
+    twice = windows.groupBy("window_a", "window_b").agg(F.sum("rows").alias("all")).where("all > 1").drop("all")
+    twice, same = _with(("window_a", "window_b"), twice)
     spread = (
-        many.select("name", "name_a", "name_b", "low")
-        .join(bad, F.col("name") == F.col("_name"))
-        .select("name_a", "name_b", "low", F.explode("runs").alias("run"))
-        .select(
-            "name_a",
-            "name_b",
-            (F.col("low") + F.col("run.first")).alias("start"),
-            (F.col("low") + F.col("run.last") + WINDOW).alias("stop"),
-        )
+        windows.join(twice, same)
+        .groupBy(*kind)
+        .agg(F.sort_array(F.collect_set("first")).alias("offsets"))
+        .select(*kind, F.explode(_runs(F.col("offsets"))).alias("run"))
+        .select(*kind, "run.first", "run.last")
     )
-    spans = (
-        few.union(spread)
-        .groupBy(F.col("name_a").alias("_a"), F.col("name_b").alias("_b"))
-        .agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    judged, same = _with(kind, written(few.union(spread), "suffix-judged"))
+    low, lead, size = F.shiftright("run", 16), F.shiftright("run", 8).bitwiseAND(F.lit(0xFF)), F.col("run").bitwiseAND(F.lit(0xFF))
+    # At an anchor with equal blocks only, all of them are repeated.
+    all_equal = hits.where("NOT several").select(*name, low.alias("start"), (low + size + WINDOW).alias("stop"))
+    of_kind = (
+        hits.where("several")
+        .select(*kind, *name, "run")
+        .join(judged, same)
+        .select(*name, (low + lead - F.col("last")).alias("start"), (low + lead - F.col("first") + WINDOW).alias("stop"))
     )
+    spans = all_equal.union(of_kind).groupBy(*name).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    spans, same = _with(name, spans)
     return (
         source.join(spans, same, "left")
         .select("doc_id", "text", "spans")

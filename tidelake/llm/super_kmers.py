@@ -27,7 +27,6 @@ other columns are not looked at.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,7 +39,7 @@ from pyspark.sql import functions as F
 from tidelake import folders
 
 from .common import named_rows, written, written_at
-from .word_codes import ragged, release_memory, slices, split_words
+from .word_codes import digests, ragged, release_memory, slices, split_words
 
 WINDOW = 50
 GRAM = 12
@@ -125,13 +124,6 @@ class Packed:
                 yield a, np.zeros(1, np.int64), np.array([min(end, a + PIECE + WINDOW - 1) - a])
 
 
-def _digests(raw: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """128 bits of each part, as two numbers."""
-    view = memoryview(raw)
-    parts = [hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
-    return np.frombuffer(b"".join(parts), "<i8").reshape(-1, 2)
-
-
 def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The name of each super-k-mer: bucket, print, row, and a run of first window and number of windows."""
     for batch in batches:
@@ -145,7 +137,7 @@ def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 low, high = low + base, high + base
                 row = np.searchsorted(packed.ends, low, "right")
                 rows = pa.array(row + at)
-                prints = _digests(raw, offsets[low], offsets[high + WINDOW] - 1)
+                prints = digests(raw, offsets[low], offsets[high + WINDOW] - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key),
@@ -266,7 +258,7 @@ def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = packed.counts - WINDOW + 1
             start = ragged(packed.begins, counts).astype(np.int64)
             kind = np.repeat(np.arange(len(counts)), counts)
-            prints = _digests(raw, offsets[start], offsets[start + WINDOW] - 1)
+            prints = digests(raw, offsets[start], offsets[start + WINDOW] - 1)
             rows = pa.array(kind)
             yield pa.RecordBatch.from_arrays(
                 [
