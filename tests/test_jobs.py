@@ -6,7 +6,7 @@ from contextlib import closing
 import pytest
 
 from tidelake.jobs import main
-from tidelake.sources.lake import table_path
+from tidelake.sources.lake import table_path, table_paths
 
 
 @pytest.fixture
@@ -106,3 +106,20 @@ def test_keys_and_modes_are_honoured_or_refused(spark, database, folder):
                   ["--table", "orders", "--primary_key", "orderid"]):
         with pytest.raises(SystemExit):
             main(["silver", *flags, *day])
+
+
+def test_rejects_history_and_errors(spark, database, folder, capsys):
+    lake = ["--lake", folder]
+    for table in ("customers", "products", "orderitems"):
+        main(["bronze", "--database", database, "--table", table, *lake, "--ds_date", "2025-01-01", "--rejects"])
+        main(["silver", "--table", table, *lake, "--refresh", "--ds_date", "2025-01-01", "--buckets", "4"])
+        main(["history", "--table", table, *lake])
+    assert "rows_rejected=0" in capsys.readouterr().out
+    assert spark.read.parquet(*table_paths(spark, f"{folder}/silver/products")).count() == 2
+    with pytest.raises(SystemExit):
+        main(["bronze", "--database", database, "--table", "products", *lake, "--ds_date", "2025-01-01", "--rejects",
+              "--write_mode", "append"])
+    with open(f"{folder}/bronze/products/date=2025-01-01/part-cut.parquet".removeprefix("file:"), "w") as file:
+        file.write("PAR1")
+    main(["errors", "--table", "products", *lake])
+    assert "part-cut.parquet" in capsys.readouterr().out

@@ -1,0 +1,160 @@
+"""Malformed values, unreadable files and corrected orders."""
+
+import json
+import os
+import random
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidelake.operators.latest import latest_by_key
+from tidelake.operators.rejects import accepted, rejected, with_errors
+from tidelake.plans import bronze, silver
+from tidelake.sources import lake
+from tidelake.specs import SALES, TableSpec
+from tidelake.streaming import corrections
+
+ORDERS, PRODUCTS = SALES["orders"], SALES["products"]
+TEXT = "orderid STRING, customerid STRING, orderdate STRING, totalamount STRING"
+D1, D2 = date(2025, 1, 1), date(2025, 1, 2)
+ROWS = [
+    ("1", "1", "2025-01-01", "1.5"),
+    (None, "2", "2025-01-01", None),
+    ("x", "3", "2025-01-01", "abc"),
+    ("4", "3000000000", "2025-01-01", "1e400"),
+    ("5.5", "-1", "2025-01-01", "NaN"),
+    ("", "6", "2025-01-01", "6"),
+    ("7", "7", "2025-01-02", "seven"),
+    ("8", "8", "2025-01-03", "8"),
+]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_every_row_is_accepted_or_rejected(spark):
+    checked = with_errors(spark.createDataFrame(ROWS, TEXT), ORDERS).cache()
+    good, bad = accepted(checked).collect(), rejected(checked).collect()
+    assert len(good) + len(bad) == len(ROWS)
+    assert {r.customerid for r in good} == {"1", "2", "8"}
+    found = {json.loads(r.row)["customerid"]: [(e.column, e.text, e.reason) for e in r.errors] for r in bad}
+    assert found["3"] == [("orderid", "x", "malformed"), ("totalamount", "abc", "malformed")]
+    assert found["3000000000"] == [("customerid", "3000000000", "out of range")]
+    assert found["6"] == [("orderid", "", "malformed")]
+    assert found["-1"] == [("orderid", "5.5", "malformed")]
+    assert found["7"] == [("totalamount", "seven", "malformed")]
+    whole = json.loads(next(r.row for r in bad if json.loads(r.row)["customerid"] == "7"))
+    assert whole == dict(zip(("orderid", "customerid", "orderdate", "totalamount"), ROWS[6], strict=True))
+
+
+def test_typed_columns_have_no_errors(spark):
+    df = spark.createDataFrame([(1, 1, "d", 1.0)], ORDERS.schema)
+    assert with_errors(df, ORDERS).first().errors == []
+
+
+def test_load_routes_rows_and_counts_them(spark, folder):
+    source = spark.createDataFrame(ROWS, TEXT)
+    audit = bronze.load(source, ORDERS, f"{folder}/bronze", D1, rejects_root=f"{folder}/rejects")
+    there = lake.snapshot_scan(spark, ORDERS, f"{folder}/bronze/orders").count()
+    apart = bronze.rejects_scan(spark, ORDERS, f"{folder}/rejects").count()
+    assert (audit.rows_written, audit.rows_rejected) == (there, apart)
+    assert there + apart == sum(r[2] == "2025-01-01" for r in ROWS)
+    # The day mended and loaded again: no reject is left of it.
+    mended = source.where("orderid = '1'")
+    audit = bronze.load(mended, ORDERS, f"{folder}/bronze", D1, rejects_root=f"{folder}/rejects")
+    assert (audit.rows_written, audit.rows_rejected) == (1, 0)
+    assert bronze.rejects_scan(spark, ORDERS, f"{folder}/rejects").count() == 0
+
+
+def test_backfill_routes_rows_by_day(spark, folder):
+    source = spark.createDataFrame(ROWS, TEXT)
+    roots = f"{folder}/bronze", f"{folder}/rejects"
+    for _ in range(2):
+        audit = bronze.backfill(source, ORDERS, roots[0], D1, date(2025, 1, 3), rejects_root=roots[1])
+        apart = bronze.rejects_scan(spark, ORDERS, roots[1])
+        assert audit.rows_written + audit.rows_rejected == len(ROWS)
+        assert apart.where(F.col("date") == D2).count() == 1 and apart.count() == audit.rows_rejected
+    one_day = source.where("orderdate = '2025-01-02'").withColumn("totalamount", F.lit("7"))
+    bronze.backfill(one_day, ORDERS, roots[0], D2, D2, rejects_root=roots[1])
+    assert bronze.rejects_scan(spark, ORDERS, roots[1]).where(F.col("date") == D2).count() == 0
+    assert bronze.rejects_scan(spark, ORDERS, roots[1]).count() == audit.rows_rejected - 1
+
+
+def test_snapshots_and_clashing_columns(spark, folder):
+    """A snapshot table; a source column of another name, and one named as the errors are, are not loaded."""
+    df = spark.createDataFrame([("1", "a", "2.5", "x", "e", "r"), ("2", "b", "1", "3", "e", "r")],
+                               "productid STRING, productname STRING, price STRING, stockquantity STRING, errors STRING, row STRING")
+    audit = bronze.load(df, PRODUCTS, f"{folder}/bronze", D1, rejects_root=f"{folder}/rejects")
+    assert (audit.rows_written, audit.rows_rejected) == (1, 1)
+    (bad,) = bronze.rejects_scan(spark, PRODUCTS, f"{folder}/rejects").collect()
+    assert [tuple(e) for e in bad.errors] == [("stockquantity", "x", "malformed")] and bad.date == D1
+
+
+def test_cut_files_are_told_and_the_rest_is_read(spark, folder):
+    for day in (D1, D2):
+        df = spark.createDataFrame([(i, f"p {i}", 1.0, i) for i in range(3000)], PRODUCTS.schema).repartition(3)
+        bronze.load(df, PRODUCTS, folder, day)
+    place = f"{folder}/products/date={D2}".removeprefix("file:")
+    files = sorted(f"{place}/{n}" for n in os.listdir(place) if n.endswith(".parquet"))
+    with open(files[0], "r+b") as file:
+        file.truncate(os.path.getsize(files[0]) // 2)
+    # A page in the middle is damaged; the footer is not.
+    with open(files[1], "r+b") as file:
+        file.seek(40)
+        file.write(b"\xff" * 200)
+    for n in os.listdir(place):
+        if n.endswith(".crc"):
+            os.remove(f"{place}/{n}")
+    readable, errors = lake.readable_days(spark, PRODUCTS, f"{folder}/products")
+    told = {r.path.split("/")[-1]: r.error for r in errors.collect()}
+    assert set(told) == {os.path.basename(f) for f in files[:2]} and all(told.values())
+    assert readable.where(F.col("date") == D1).count() == 3000
+    assert readable.where(F.col("date") == D2).count() == 1000
+    assert lake.read_errors(spark, f"{folder}/products/date={D1}").collect() == []
+
+
+SPEC = TableSpec(
+    "fixed",
+    T.StructType([T.StructField("id", T.LongType()), T.StructField("amount", T.DoubleType()), T.StructField("at", T.DateType())]),
+    key=("id",),
+)
+
+
+@pytest.mark.parametrize("per_batch", [None, 1])
+def test_latest_of_a_stream_is_that_of_the_batch(spark, folder, per_batch):
+    """Three runs of the stream; rows come late, twice, out of order and tied, keys and times are null."""
+    chance = random.Random(9)
+    fed = []
+    for _ in range(3):
+        part = [
+            (chance.choice([None, *range(20)]), float(chance.randrange(5)), chance.choice([None, D1, D2, date(2024, 1, chance.randrange(1, 28))]))
+            for _ in range(40)
+        ]
+        fed += part + fed[:5]
+        spark.createDataFrame(part + fed[:5], SPEC.schema).repartition(2).write.mode("append").parquet(f"{folder}/feed")
+        corrections.keep_latest(
+            spark, SPEC, "at", f"{folder}/feed", f"{folder}/silver", f"{folder}/progress", 4, per_batch
+        ).awaitTermination()
+        table = spark.read.schema(SPEC.schema).parquet(*lake.table_paths(spark, f"{folder}/silver/fixed"))
+        assert rows(table) == rows(latest_by_key(spark.createDataFrame(fed, SPEC.schema), ["id"], "at", "one").select(table.columns))
+
+
+def test_a_correction_writes_its_bucket_only(spark, folder):
+    spark_rows = spark.createDataFrame([(i, 1.0, D1) for i in range(500)], SPEC.schema)
+    silver.merge_versions(spark_rows, SPEC, "at", folder, 8)
+    before = lake.current_version(spark, f"{folder}/fixed").parts
+    silver.merge_versions(spark.createDataFrame([(3, 2.0, D2)], SPEC.schema), SPEC, "at", folder, 8)
+    after = lake.current_version(spark, f"{folder}/fixed").parts
+    assert sum(before[p] != after[p] for p in after) == 1 and set(before) == set(after)
+    # A late row changes nothing, and an empty batch makes no version.
+    silver.merge_versions(spark.createDataFrame([(3, 9.0, D1)], SPEC.schema), SPEC, "at", folder, 8)
+    table = spark.read.schema(SPEC.schema).parquet(*lake.table_paths(spark, f"{folder}/fixed"))
+    assert table.where("id = 3").collect() == [(3, 2.0, D2)] and table.count() == 500
+    number = lake.current_version(spark, f"{folder}/fixed").number
+    assert not silver.merge_versions(spark_rows.limit(0), SPEC, "at", folder, 8).written
+    assert lake.current_version(spark, f"{folder}/fixed").number == number
+    with pytest.raises(ValueError, match="buckets"):
+        silver.merge_versions(spark_rows, SPEC, "at", folder, 16)

@@ -9,6 +9,7 @@
     gold     --lake DIR --ds_date DAY [--as_of DAY]
     report   --lake DIR --ds_date DAY
     preview  --table T --lake DIR --ds_date DAY
+    errors   --table T --lake DIR
     run      --database DB --lake DIR --ds_date DAY
 
 Flag names are fixed values: schedulers call the jobs by them.
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from tidelake.plans import bronze, gold, history, medallion, report, silver
 from tidelake.sinks.lake import MODES
 from tidelake.sources.jdbc import jdbc_scan, sqlite_options
-from tidelake.sources.lake import describe_columns, preview, silver_tables
+from tidelake.sources.lake import describe_columns, preview, read_errors, silver_tables
 from tidelake.sources.sqlite import sqlite_scan
 from tidelake.specs import LOAD_DATE, SALES, TableSpec, wide_sales
 from tidelake.streaming.orders import replace_touched_days
@@ -55,10 +56,14 @@ def _parser() -> argparse.ArgumentParser:
     source(load)
     load.add_argument("--query", default="")
     load.add_argument("--write_mode", choices=MODES)
-    load.add_argument("--lenient", action="store_true", help="NULL for malformed values")
+    wrong = load.add_mutually_exclusive_group()
+    wrong.add_argument("--lenient", action="store_true", help="NULL for malformed values")
+    wrong.add_argument("--rejects", action="store_true", help="keep rows with malformed values apart, in rejects/")
     past = command("backfill", "--database", "--table", "--from", "--ds_date")
     source(past)
-    past.add_argument("--lenient", action="store_true", help="NULL for malformed values")
+    wrong = past.add_mutually_exclusive_group()
+    wrong.add_argument("--lenient", action="store_true", help="NULL for malformed values")
+    wrong.add_argument("--rejects", action="store_true", help="keep rows with malformed values apart, in rejects/")
     command("stream", "--table", "--progress")
     clean = command("silver", "--table")
     clean.add_argument("--write_mode", choices=MODES, help="of a table loaded by day")
@@ -71,6 +76,7 @@ def _parser() -> argparse.ArgumentParser:
     command("gold", "--ds_date").add_argument("--as_of", type=date.fromisoformat)
     command("report", "--ds_date")
     command("preview", "--table", "--ds_date")
+    command("errors", "--table")
     source(command("run", "--database", "--ds_date"))
     return parser
 
@@ -131,11 +137,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.command == "bronze":
         spec = specs.get(args.table)
         # Lenient casts need the values as text; so do tables of unknown types.
-        schema = spec.schema if spec and not args.lenient else None
+        schema = spec.schema if spec and not args.lenient and not args.rejects else None
         source = _source(spark, args, args.table, args.query, schema)
         spec = spec or TableSpec(args.table, source.schema)
         mode = args.write_mode or "overwrite"
-        print(bronze.load(source, spec, bronze_root, day, mode, args.lenient))
+        if args.rejects and mode != "overwrite":
+            raise SystemExit("--rejects replaces the day; it has no append")
+        rejects = f"{args.lake}/rejects" if args.rejects else None
+        print(bronze.load(source, spec, bronze_root, day, mode, args.lenient, rejects))
     elif args.command == "silver":
         spec = _silver_spec(spark, args, specs, bronze_root)
         if (spec.incremental or args.refresh) and day is None:
@@ -149,8 +158,10 @@ def main(argv: Sequence[str] | None = None) -> None:
             print(silver.full_load(spark, spec, bronze_root, silver_root, buckets=args.buckets))
     elif args.command == "backfill":
         spec, first = specs[args.table], date.fromisoformat(getattr(args, "from"))
-        source = _source(spark, args, args.table, "", None if args.lenient else spec.schema)
-        print(bronze.backfill(source, spec, bronze_root, first, day, args.lenient))
+        as_text = args.lenient or args.rejects
+        source = _source(spark, args, args.table, "", None if as_text else spec.schema)
+        rejects = f"{args.lake}/rejects" if args.rejects else None
+        print(bronze.backfill(source, spec, bronze_root, first, day, args.lenient, rejects))
     elif args.command == "stream":
         spec = specs[args.table]
         replace_touched_days(spark, spec, bronze_root, silver_root, args.progress).awaitTermination()
@@ -176,6 +187,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         head = preview(spark, spec, f"{bronze_root}/{args.table}", day, ordered=False)
         describe_columns(head).show(truncate=False)
         head.show(truncate=False)
+    elif args.command == "errors":
+        read_errors(spark, f"{bronze_root}/{args.table}").show(1000, truncate=False)
     elif args.command == "run":
         sources = {
             name: _source(spark, args, name, spec.query, spec.schema)

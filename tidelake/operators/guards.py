@@ -21,6 +21,7 @@ class Audit:
     table: str
     path: str
     rows_written: int
+    rows_rejected: int = 0
 
     @property
     def written(self) -> bool:

@@ -231,6 +231,36 @@ ORACLES: dict[str, str] = {
         SELECT count(DISTINCT o_orderkey) AS total_orders, CAST(max({MONTH}) AS DATE) AS ref_date FROM orders
     """,
     "gold_top5_products_incremental": TOP_PRODUCTS,
+    "bronze_accepted": f"SELECT * FROM ({MONTHLY_ORDERS}) WHERE orderid % 7 <> 0 AND orderid % 11 <> 0",
+    "bronze_rejects": f"""
+        SELECT date, CAST(orderid AS VARCHAR) AS orderid, 'totalamount' AS column_name, 'n/a' AS text,
+               'malformed' AS reason
+        FROM ({MONTHLY_ORDERS}) WHERE orderid % 7 = 0
+        UNION ALL
+        SELECT date, CAST(orderid AS VARCHAR), 'customerid', customerid || repeat('0', 20), 'out of range'
+        FROM ({MONTHLY_ORDERS}) WHERE orderid % 11 = 0
+    """,
+    "lake_read_errors": """
+        SELECT CAST(DATE '2025-01-01' + CAST(c_custkey % 5 AS INTEGER) AS DATE) AS date, count(*) AS readable_rows,
+               CAST(CASE WHEN c_custkey % 5 IN (1, 3) THEN 1 ELSE 0 END AS BIGINT) AS broken_files
+        FROM customer GROUP BY c_custkey % 5
+    """,
+    "describe_columns": """
+        SELECT CAST(ordinal_position AS INTEGER) AS position, column_name AS "column",
+               CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+                              WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END AS type,
+               TRUE AS nullable
+        FROM (SELECT row_number() OVER () AS ordinal_position, column_name, column_type AS data_type
+              FROM (DESCRIBE SELECT * FROM orders))
+    """,
+    "silver_stream_corrections": """
+        SELECT o_orderkey AS orderid, o_custkey AS customerid,
+               o_totalprice * CASE WHEN o_orderkey % 9 = 0 THEN 4 WHEN o_orderkey % 3 = 0 THEN 2
+                                   WHEN o_orderkey % 2 = 0 THEN 16 ELSE 1 END AS totalamount,
+               CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 9 = 0 THEN 20 WHEN o_orderkey % 3 = 0 THEN 10
+                                                WHEN o_orderkey % 2 = 0 THEN 5 ELSE 0 END AS corrected_on
+        FROM orders
+    """,
     "history_intervals": f"""
         WITH held AS (
           SELECT customerid, lastname, date, version, version - row_number() OVER (

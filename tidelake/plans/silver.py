@@ -95,6 +95,29 @@ def refresh(
     return replace_buckets(merged, spec.name, path, spec.key, current.buckets, merged_days, kept)
 
 
+def merge_versions(rows: DataFrame, spec: TableSpec, version: str, silver_root: str, buckets: int) -> Audit:
+    """Merge rows into a table in buckets that keeps one row per key, that of the newest ``version``.
+
+    ``version`` is a column of the table.  Only buckets that the rows' keys are in are
+    read and written.  The order in which rows come, and repeats, make no difference.
+    """
+    spark, path = rows.sparkSession, f"{silver_root}/{spec.name}"
+    current = current_version(spark, path)
+    if current is not None and current.buckets != buckets:
+        raise ValueError(f"{path} is in {current.buckets} buckets, not {buckets}")
+    parts = current.parts if current else {}
+    # At most one row for each bucket.
+    touched = {str(r["bucket"]) for r in rows.select(bucket_of(spec.key, buckets).alias("bucket")).distinct().collect()}
+    if not touched:
+        return Audit(spec.name, path, 0)
+    both = rows.select(*spec.columns)
+    held = [f"{path}/{folder}" for part, folder in parts.items() if part in touched]
+    if held:
+        both = both.unionByName(spark.read.schema(spec.schema).parquet(*held))
+    kept = {part: folder for part, folder in parts.items() if part not in touched}
+    return replace_buckets(latest_by_key(both, spec.key, version, ties="one"), spec.name, path, spec.key, buckets, kept=kept)
+
+
 def incremental(
     spark: SparkSession,
     spec: TableSpec,

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelake import folders
 from tidelake.functions import columns as C
 from tidelake.operators import kpis as K
 from tidelake.operators import rows as R
@@ -27,6 +28,7 @@ from tidelake.sinks.lake import overwrite_table, write_days
 from tidelake.sources import files, lake
 from tidelake.sources.sqlite import sqlite_scan, write_sqlite_shards
 from tidelake.specs import KPIS, SALES, TableSpec, wide_sales
+from tidelake.streaming import corrections
 from tidelake.streaming import orders as order_stream
 from tidelake.workspace import new_folder, tune
 
@@ -306,6 +308,64 @@ def bronze_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.snapshot_scan(spark, WIDE["orders"], f"{root}/orders")
 
 
+def _text_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly orders as texts, some of them no numbers, some too large for a BIGINT."""
+    orders = views.monthly_orders(spark, sf_dir)
+    n = F.col("orderid")
+    texts = orders.select(*[F.col(c).cast("string").alias(c) for c in orders.columns])
+    return texts.withColumns(
+        {
+            "customerid": F.when(n % 11 == 0, F.concat("customerid", F.lit("0" * 20))).otherwise(F.col("customerid")),
+            "totalamount": F.when(n % 7 == 0, F.lit("n/a")).otherwise(F.col("totalamount")),
+        }
+    )
+
+
+def _load_texts(spark: SparkSession, sf_dir: str) -> str:
+    root = new_folder(spark, "lake")
+    first, _, _, last = _months(spark, sf_dir)
+    bookings = _text_bookings(spark, sf_dir)
+    bronze.backfill(bookings, WIDE["orders"], f"{root}/bronze", first, last, rejects_root=f"{root}/rejects")
+    return root
+
+
+@query
+def bronze_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders whose texts could be cast."""
+    return lake.snapshot_scan(spark, WIDE["orders"], f"{_load_texts(spark, sf_dir)}/bronze/orders")
+
+
+@query
+def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of all orders that could not be, with its row's id and the reason."""
+    rejects = bronze.rejects_scan(spark, WIDE["orders"], f"{_load_texts(spark, sf_dir)}/rejects")
+    errors = rejects.select("date", F.get_json_object("row", "$.orderid").alias("orderid"), F.explode("errors").alias("e"))
+    return errors.select("date", "orderid", F.col("e.column").alias("column_name"), "e.text", "e.reason")
+
+
+@query
+def lake_read_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by market segment, with a cut file in the folders of some: what is broken, and what can be read."""
+    root, spec = new_folder(spark, "broken"), WIDE["customers"]
+    segment = F.col("customerid") % 5
+    rows = views.customers(spark, sf_dir).withColumn("date", F.date_add(F.lit(RUN_DATE), segment.cast("int")))
+    write_days(rows, spec.name, root, days="many")
+    for offset in (1, 3):
+        folders.write_new(spark, f"{root}/date={RUN_DATE + timedelta(days=offset)}/part-cut.parquet", "PAR1 and no more")
+    readable, errors = lake.readable_days(spark, spec, root)
+    day = F.regexp_extract("path", r"/date=([0-9-]+)/", 1).cast("date")
+    broken = errors.select(day.alias("date")).groupBy("date").agg(F.count(F.lit(1)).alias("broken_files"))
+    there = readable.groupBy("date").agg(F.count(F.lit(1)).alias("readable_rows"))
+    broken = spark.createDataFrame(broken.collect(), broken.schema)
+    return there.join(broken, "date", "left").select("date", "readable_rows", F.coalesce("broken_files", F.lit(0)).alias("broken_files"))
+
+
+@query
+def describe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of a table as rows."""
+    return lake.describe_columns(views.table(spark, sf_dir, "orders"))
+
+
 @query
 def empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots of whole tables are written; a day without orders writes nothing."""
@@ -410,6 +470,36 @@ def silver_refresh_drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.snapshot_scan(spark, spec, f"{root}/silver/products")
 
 
+@query
+def silver_stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest version of every order, from a feed in three parts: first versions, corrections with
+    late and repeated rows among them, and corrections of some again.
+    """
+    root = new_folder(spark, "lake")
+    columns = _columns(orderid="long", customerid="long", totalamount="double", corrected_on="date")
+    spec = TableSpec("corrected_orders", columns, key=("orderid",))
+    placed = views.loaded_orders(spark, sf_dir)
+
+    def versions(days: int, factor: int, some: Column) -> DataFrame:
+        return placed.where(some).select(
+            "orderid",
+            "customerid",
+            (F.col("totalamount") * factor).alias("totalamount"),
+            F.date_add("date", days).alias("corrected_on"),
+        )
+
+    n = F.col("orderid")
+    first = versions(0, 1, F.lit(True))
+    second = versions(10, 2, n % 3 == 0).unionByName(versions(-5, 8, n % 4 == 0)).unionByName(first.where(n % 5 == 0))
+    third = versions(20, 4, n % 9 == 0).unionByName(versions(5, 16, n % 2 == 0))
+    for part in (first, second, third):
+        part.write.mode("append").parquet(f"{root}/feed")
+        corrections.keep_latest(
+            spark, spec, "corrected_on", f"{root}/feed", f"{root}/silver", f"{root}/progress", PRODUCT_BUCKETS
+        ).awaitTermination()
+    return spark.read.schema(spec.schema).parquet(*lake.table_paths(spark, f"{root}/silver/{spec.name}"))
+
+
 def _refresh_in_buckets(spark: SparkSession, sf_dir: str, buckets: int) -> str:
     """The lake of ``silver_refresh``, with the table in buckets of its key."""
     root, spec = new_folder(spark, "lake"), WIDE["products"]

@@ -10,7 +10,10 @@ from functools import reduce
 from hashlib import md5
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -188,6 +191,54 @@ def preview(
     return day.limit(n)
 
 
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    """(path, error) of each Parquet file below ``path`` that can't be read to its end.
+
+    The files are spread over the cluster, one at a time in a task: Spark reads a file's
+    bytes, whatever store it lies in, and every row group of them is decoded.  A file
+    that can't be opened at all, or has over two gigabytes, raises.
+    """
+    # A session of its own, so that a batch holds one file.
+    session = spark.newSession()
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    session.conf.set("spark.sql.files.openCostInBytes", session.conf.get("spark.sql.files.maxPartitionBytes"))
+    files = (
+        session.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+        .select("path", "content")
+    )
+    return files.mapInArrow(_unreadable, "path string, error string")
+
+
+def _unreadable(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    for batch in batches:
+        for place, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            try:
+                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                for group in range(file.num_row_groups):
+                    file.read_row_group(group, use_threads=False)
+            except (OSError, pa.ArrowException) as error:
+                yield pa.RecordBatch.from_pydict({"path": [place.as_py()], "error": [str(error)]})
+
+
+def readable_days(spark: SparkSession, spec: TableSpec, root: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of the files that can be read, errors of the others) of a table kept by day."""
+    errors = read_errors(spark, root)
+    bad = {row["path"] for row in errors.select("path").collect()}
+    files = spark.read.schema(spec.lake_schema).parquet(root).inputFiles()
+    fine = [f for f in files if _plain_path(f) not in {_plain_path(b) for b in bad}]
+    if not fine:
+        return spark.createDataFrame([], spec.lake_schema), errors
+    return spark.read.schema(spec.lake_schema).option("basePath", root).parquet(*fine), errors
+
+
+def _plain_path(path: str) -> str:
+    """A path without the differences between the ways Spark writes it."""
+    return unquote(re.sub(r"^file:/+", "/", path))
+
+
 def describe_columns(df: DataFrame) -> DataFrame:
     """The schema of a frame as rows ``position, column, type, nullable``."""
     return df.sparkSession.createDataFrame(
