@@ -116,6 +116,13 @@ TOP_PRODUCTS_AS_OF = f"""
     FROM ({ITEMS_AS_OF}) JOIN part ON l_partkey = p_partkey
     GROUP BY p_name ORDER BY total_sold DESC NULLS LAST, productname LIMIT 5
 """
+HALF_YEAR_ORDERS = """
+    SELECT o_orderkey AS orderid, o_custkey AS customerid, strftime(half, '%Y-%m-%d') AS orderdate,
+           o_totalprice AS totalamount, CAST(half AS DATE) AS date
+    FROM (SELECT *, date_trunc('year', o_orderdate)
+                    + CASE WHEN month(o_orderdate) > 6 THEN INTERVAL 6 MONTH ELSE INTERVAL 0 MONTH END AS half
+          FROM orders)
+"""
 ORDERS_AS_OF = f"(SELECT count(DISTINCT o_orderkey) FROM orders WHERE {MONTH} <= DATE '1997-07-15')"
 
 ORACLES: dict[str, str] = {
@@ -261,6 +268,18 @@ ORACLES: dict[str, str] = {
                                                 WHEN o_orderkey % 2 = 0 THEN 5 ELSE 0 END AS corrected_on
         FROM orders
     """,
+    "bronze_orders_laid_out": HALF_YEAR_ORDERS,
+    "bronze_compacted": MONTHLY_ORDERS,
+    "audit_contents": f"""
+        WITH months AS (
+          SELECT CAST({MONTH} AS DATE) AS m FROM orders),
+        ends AS (SELECT min(m) AS a, max(m) AS b FROM months),
+        middle AS (
+          SELECT CAST(date_trunc('month', date_trunc('month', a + CAST((b - a) // 2 AS INTEGER)) + INTERVAL 31 DAY) AS DATE) AS n
+          FROM ends),
+        part AS (SELECT CASE WHEN m < n THEN 0 WHEN m = n THEN 1 ELSE 2 END AS p FROM months, middle)
+        SELECT count(*) AS bronze_rows, count(*) AS silver_rows, p <> 1 AS same FROM part GROUP BY p
+    """,
     "history_intervals": f"""
         WITH held AS (
           SELECT customerid, lastname, date, version, version - row_number() OVER (

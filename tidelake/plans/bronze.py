@@ -18,7 +18,8 @@ from tidelake.operators.rows import (
     stabilize_types,
     stamp_load_date,
 )
-from tidelake.sinks.lake import write_days
+from tidelake.plans.audit import record
+from tidelake.sinks.lake import Layout, write_days
 from tidelake.specs import LOAD_DATE, TableSpec
 
 
@@ -77,6 +78,8 @@ def load(
     mode: str = "overwrite",
     lenient: bool = False,
     rejects_root: str | None = None,
+    audits_root: str | None = None,
+    layout: Layout | None = None,
 ) -> Audit:
     """Load one table for one run date into ``<table>/date=<run date>``.
 
@@ -90,13 +93,26 @@ def load(
         days = "sparse" if spec.incremental else "whole"
         return _load_accepted(stamp_load_date(rows, run_date), spec, bronze_root, rejects_root, days)
     rows = transform(source, spec, run_date, lenient)
-    return write_days(
-        rows,
-        spec.name,
-        f"{bronze_root}/{spec.name}",
-        mode,
-        days="sparse" if spec.incremental else "whole",
-    )
+    days = "sparse" if spec.incremental else "whole"
+    return _written(rows, spec, bronze_root, mode, days, layout, audits_root, run_date, run_date)
+
+
+def _written(
+    rows: DataFrame,
+    spec: TableSpec,
+    bronze_root: str,
+    mode: str,
+    days: str,
+    layout: Layout | None,
+    audits_root: str | None,
+    first: date,
+    last: date,
+) -> Audit:
+    path = f"{bronze_root}/{spec.name}"
+    audit = write_days(rows, spec.name, path, mode, days, layout, fingerprint=audits_root is not None)
+    if audits_root is not None:
+        record(rows.sparkSession, audits_root, "bronze", audit, first, last)
+    return audit
 
 
 def backfill(
@@ -107,17 +123,18 @@ def backfill(
     last: date,
     lenient: bool = False,
     rejects_root: str | None = None,
+    audits_root: str | None = None,
+    layout: Layout | None = None,
 ) -> Audit:
-    """Load an incremental table for every day of ``first..last`` in one job."""
+    """Load an incremental table for every day of ``first..last`` in one job.
+
+    With ``audits_root`` the load is recorded there with a print of its rows.
+    """
     if not spec.incremental:
         raise ValueError(f"{spec.name} has no day column; load a snapshot instead")
     rows = on_run_dates(select_columns(source, spec), spec, first, last)
     if rejects_root is not None:
         _forget_rejects(source.sparkSession, spec, rejects_root, first, last)
         return _load_accepted(rows, spec, bronze_root, rejects_root, "many")
-    return write_days(
-        stabilize_types(rows, spec, lenient),
-        spec.name,
-        f"{bronze_root}/{spec.name}",
-        days="many",
-    )
+    rows = stabilize_types(rows, spec, lenient)
+    return _written(rows, spec, bronze_root, "overwrite", "many", layout, audits_root, first, last)

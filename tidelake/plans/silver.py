@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelake.operators.guards import Audit, require_contract
 from tidelake.operators.latest import latest_by_key, update_by_key
-from tidelake.sinks.lake import bucket_of, replace_buckets, replace_table, write_days
+from tidelake.plans.audit import record
+from tidelake.sinks.lake import Layout, bucket_of, replace_buckets, replace_table, write_days
 from tidelake.sources.lake import bronze_days, current_version, snapshot_scan, stored_scan
 from tidelake.specs import LOAD_DATE, TableSpec
 
@@ -126,15 +127,26 @@ def incremental(
     run_date: date,
     last: date | None = None,
     mode: str = "overwrite",
+    audits_root: str | None = None,
+    layout: Layout | None = None,
 ) -> Audit:
-    """Move a run date's rows, or those of ``run_date..last``, to silver."""
+    """Move a run date's rows, or those of ``run_date..last``, to silver.
+
+    With ``audits_root`` the load is recorded there, with a print of its rows to
+    compare with the bronze load of the same days.
+    """
     source = f"{bronze_root}/{spec.name}"
-    upto = (last or run_date).isoformat()
-    days = [d for d in bronze_days(spark, spec, source) if run_date.isoformat() <= d <= upto]
-    return write_days(
+    upto = last or run_date
+    days = [d for d in bronze_days(spark, spec, source) if run_date.isoformat() <= d <= upto.isoformat()]
+    audit = write_days(
         require_contract(stored_scan(spark, spec, source, days), spec),
         spec.name,
         f"{silver_root}/{spec.name}",
         mode,
         days="whole" if last is None else "many",
+        layout=layout,
+        fingerprint=audits_root is not None,
     )
+    if audits_root is not None:
+        record(spark, audits_root, "silver", audit, run_date, upto)
+    return audit

@@ -21,10 +21,10 @@ from tidelake.operators import rows as R
 from tidelake.operators.guards import counted
 from tidelake.operators.history import as_of_join
 from tidelake.operators.latest import latest_by_key
-from tidelake.plans import bronze, daily_state, gold, history, medallion, report, silver, views
+from tidelake.plans import audit, bronze, compaction, daily_state, gold, history, medallion, report, silver, views
 from tidelake.plans.daily_state import DailyState, DistinctIds, SumByKey
 from tidelake.sinks.files import write_lines, write_positional_csv
-from tidelake.sinks.lake import overwrite_table, write_days
+from tidelake.sinks.lake import Layout, overwrite_table, write_days
 from tidelake.sources import files, lake
 from tidelake.sources.sqlite import sqlite_scan, write_sqlite_shards
 from tidelake.specs import KPIS, SALES, TableSpec, wide_sales
@@ -375,7 +375,7 @@ def empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, source in views.sales_tables(spark, sf_dir).items()
     ]
     return spark.createDataFrame(
-        [(audit.table, audit.written, audit.rows_written) for audit in audits],
+        [(load.table, load.written, load.rows_written) for load in audits],
         "table_name STRING, written BOOLEAN, rows_written BIGINT",
     )
 
@@ -386,12 +386,12 @@ def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = ORDER_DAY
     on_day = F.col("orderdate") == day.isoformat()
     orders, counts = counted(views.orders(spark, sf_dir), rows_kept=on_day)
-    audit = write_days(
+    load = write_days(
         R.stamp_load_date(orders.where(on_day), day), "orders", new_folder(spark, "audit")
     )
     seen = counts.get
     return spark.createDataFrame(
-        [(seen["rows"], seen["rows_kept"], audit.rows_written)],
+        [(seen["rows"], seen["rows_kept"], load.rows_written)],
         "rows_read BIGINT, rows_kept BIGINT, rows_written BIGINT",
     )
 
@@ -662,6 +662,52 @@ def gold_top5_products_incremental(spark: SparkSession, sf_dir: str) -> DataFram
     return K.top_products_sold(daily_state.units_sold(spark, state), views.products(spark, sf_dir))
 
 
+# --- layouts and audits ----------------------------------------------------
+
+
+@query
+def bronze_orders_laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders by half-year, in files by order id and with Bloom filters of the customer id."""
+    root, spec = new_folder(spark, "lake"), WIDE["orders"]
+    half = F.trunc(F.add_months(F.trunc("orderdate", "year"), F.when(F.month("orderdate") > 6, 6).otherwise(0)), "month")
+    orders = views.orders(spark, sf_dir).withColumn("orderdate", F.date_format(half, "yyyy-MM-dd"))
+    first, last = _order_days(spark, sf_dir)
+    layout = Layout(sort=("orderid",), bloom=("customerid",))
+    bronze.backfill(orders, spec, root, first.replace(month=1, day=1), last, layout=layout)
+    return lake.snapshot_scan(spark, spec, f"{root}/orders")
+
+
+@query
+def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders by month, compacted, with a month booked again afterwards and compacted anew."""
+    root, spec = new_folder(spark, "lake"), WIDE["orders"]
+    first, middle, _, last = _months(spark, sf_dir)
+    _book(spark, sf_dir, root, first, last)
+    path = f"{root}/bronze/{spec.name}"
+    compaction.compact(spark, spec, path, middle)
+    _book(spark, sf_dir, root, middle, middle)
+    compaction.compact(spark, spec, path, last)
+    return lake.snapshot_scan(spark, spec, path)
+
+
+@query
+def audit_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze and silver loads of three parts of all orders; one bronze month changed a cell in between."""
+    root, spec = new_folder(spark, "lake"), WIDE["orders"]
+    first, middle, next_month, last = _months(spark, sf_dir)
+    orders, audits = views.monthly_orders(spark, sf_dir), f"{root}/audits"
+    parts = ((first, middle), (next_month, next_month), ((next_month + timedelta(days=31)).replace(day=1), last))
+    for start, end in parts:
+        bronze.backfill(orders, spec, f"{root}/bronze", start, end, audits_root=audits)
+    month = orders.where(F.col("orderdate") == next_month.isoformat())
+    one = month.agg(F.min("orderid")).first()[0]
+    changed = month.withColumn("totalamount", F.col("totalamount") + (F.col("orderid") == one).cast("int"))
+    bronze.backfill(changed, spec, f"{root}/bronze", next_month, next_month)
+    for start, end in parts:
+        silver.incremental(spark, spec, f"{root}/bronze", f"{root}/silver", start, end, audits_root=audits)
+    return audit.audited(spark, audits).select("bronze_rows", "silver_rows", "same")
+
+
 # --- history ---------------------------------------------------------------
 
 

@@ -5,25 +5,57 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake import folders
-from tidelake.operators.guards import Audit, counted
-from tidelake.sources.lake import POINTER, VERSION, current_version
+from tidelake.operators.guards import Audit, counted, fingerprinted
+from tidelake.sources.lake import POINTER, VERSION, compacted_version, current_version
 from tidelake.specs import LOAD_DATE
 
 MODES = ("overwrite", "append")
 BUCKET = "bucket"
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How rows lie in files, for lookups that skip data.
+
+    Files and row groups are ranges of ``sort``; equal keys, however many, spread over
+    tasks by a hash of the row.  Columns in ``bloom`` have a Bloom filter in each row
+    group, for lookups by values that are not sorted.
+    """
+
+    sort: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()
+    row_group_bytes: int | None = None
+
+    def applied(self, df: DataFrame, *before: str) -> DataFrame:
+        if not self.sort:
+            return df
+        spread = F.xxhash64(*[F.col(c) for c in df.columns])
+        return df.repartitionByRange(*before, *self.sort, spread).sortWithinPartitions(*before, *self.sort)
+
+    @property
+    def options(self) -> dict[str, str]:
+        chosen = {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.bloom}
+        if self.bloom:
+            chosen["parquet.bloom.filter.adaptive.enabled"] = "true"
+        if self.row_group_bytes:
+            chosen["parquet.block.size"] = str(self.row_group_bytes)
+        return chosen
+
+
 def write_days(
     df: DataFrame,
     table: str,
     path: str,
     mode: str = "overwrite",
     days: str = "whole",
+    layout: Layout | None = None,
+    fingerprint: bool = False,
 ) -> Audit:
     """Write into ``<path>/date=<day>/`` folders.
 
@@ -36,24 +68,33 @@ def write_days(
     large input, so rows are gathered from partitions that have few.  ``many``:
     rows are gathered by day, else every task would write a file for every day.
     Adaptive execution sizes gathered partitions, and splits a day that holds
-    far more rows than the others.
+    far more rows than the others.  With a ``layout`` the rows are dealt by it instead.
+
+    With ``fingerprint`` the audit has an order-free print of the rows, taken in the
+    writing pass.  Compacted days can be replaced, but not appended to.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    if days == "sparse":
+    if mode == "append" and compacted_version(df.sparkSession, path) is not None:
+        raise ValueError(f"{path} has compacted days; replace a day instead")
+    if layout is not None:
+        df = layout.applied(df, LOAD_DATE)
+    elif days == "sparse":
         df = df.hint("rebalance")
     elif days == "many":
         df = df.hint("rebalance", LOAD_DATE)
     elif days != "whole":
         raise ValueError(f"days must be 'whole', 'sparse' or 'many', not {days!r}")
-    df, observation = counted(df)
+    df, observation = fingerprinted(df) if fingerprint else counted(df)
     (
         df.write.mode(mode)
+        .options(**(layout.options if layout else {}))
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_DATE)
         .parquet(path)
     )
-    return Audit(table, path, observation.get["rows"])
+    seen = observation.get
+    return Audit(table, path, seen["rows"], fingerprint=seen.get("fingerprint"))
 
 
 def overwrite_table(df: DataFrame, table: str, path: str) -> Audit:
@@ -69,6 +110,7 @@ def publish(
     parts: Mapping[str, str],
     days: Mapping[str, str] | None = None,
     buckets: int = 0,
+    place: Mapping[str, str] | None = None,
 ) -> None:
     """Make ``parts`` (folders under ``path`` by name) the table.
 
@@ -79,7 +121,7 @@ def publish(
     """
     now = current_version(spark, path)
     number = now.number + 1 if now else 1
-    told = {"parts": dict(parts), "days": dict(days or {}), "buckets": buckets}
+    told = {"parts": dict(parts), "days": dict(days or {}), "buckets": buckets, "place": dict(place or {})}
     folders.write_new(spark, f"{path}/{POINTER}{number:012d}", json.dumps(told))
     keep = {*parts.values(), *(now.parts.values() if now else ())}
     for name in folders.names(spark, path):

@@ -26,6 +26,8 @@ from tidelake.specs import KPIS, LOAD_DATE, KpiSpec, TableSpec
 
 PREVIEW_ROWS = 5
 POINTER = "_current-"
+#: Spark's readers pass over a folder of such a name.
+COMPACTED = "_compacted"
 VERSION = "v-"
 FOOTER_READERS = 16
 
@@ -41,6 +43,8 @@ class Version(NamedTuple):
     parts: dict[str, str]
     days: dict[str, str]
     buckets: int = 0
+    #: Of compacted days: which part holds a day's rows.
+    place: dict[str, str] = {}  # noqa: RUF012
 
 
 def current_version(spark: SparkSession, path: str) -> Version | None:
@@ -50,7 +54,7 @@ def current_version(spark: SparkSession, path: str) -> Version | None:
         return None
     told = json.loads(folders.read_text(spark, f"{path}/{pointers[-1]}"))
     parts = told["parts"] if "parts" in told else {"": told["folder"]}
-    return Version(int(pointers[-1].removeprefix(POINTER)), parts, told["days"], told.get("buckets", 0))
+    return Version(int(pointers[-1].removeprefix(POINTER)), parts, told["days"], told.get("buckets", 0), told.get("place", {}))
 
 
 def table_paths(spark: SparkSession, path: str) -> list[str]:
@@ -74,26 +78,67 @@ def snapshot_scan(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     applied on read, so a table without any day yet does not break the scan;
     ``stored_scan`` is for days of other stored types.
     """
+    compacted = compacted_rows(spark, spec, root)
+    if compacted is not None:
+        if not folder_days(spark, root):
+            return compacted
+        return spark.read.schema(spec.lake_schema).parquet(root).unionByName(compacted)
     paths = table_paths(spark, root)
     if not paths:
         return spark.createDataFrame([], spec.lake_schema)
     return spark.read.schema(spec.lake_schema).parquet(*paths)
 
 
+def folder_days(spark: SparkSession, root: str) -> set[str]:
+    """The days that have a folder."""
+    prefix = f"{LOAD_DATE}="
+    return {n.removeprefix(prefix) for n in folders.names(spark, root) if n.startswith(prefix)}
+
+
+def compacted_version(spark: SparkSession, root: str) -> Version | None:
+    """What the compacted days of a table lie in, if it has any."""
+    return current_version(spark, f"{root}/{COMPACTED}")
+
+
+def compacted_rows(
+    spark: SparkSession, spec: TableSpec, root: str, days: Iterable[str] | None = None
+) -> DataFrame | None:
+    """Rows of compacted days, all or some; days that have a folder, which counts first, are left out."""
+    version = compacted_version(spark, root)
+    if version is None:
+        return None
+    wanted = set(version.place) - folder_days(spark, root)
+    wanted = wanted if days is None else wanted & set(days)
+    whole, cut = [], []
+    for part in sorted({version.place[d] for d in wanted}):
+        here = {d for d, p in version.place.items() if p == part}
+        (whole if here <= wanted else cut).append((part, sorted(here & wanted)))
+    rows = spark.createDataFrame([], spec.lake_schema)
+    reader = spark.read.schema(spec.lake_schema)
+    # A part may also hold days that were compacted anew into another.
+    for part, some in cut + whole:
+        one = reader.parquet(f"{root}/{COMPACTED}/{part}")
+        stored = F.col(LOAD_DATE)
+        rows = rows.unionByName(one.where(stored.between(F.lit(some[0]).cast("date"), F.lit(some[-1]).cast("date")) & stored.isin([date.fromisoformat(d) for d in some])))
+    return rows
+
+
 def bronze_days(spark: SparkSession, spec: TableSpec, root: str) -> dict[str, str]:
     """Each day of a table with a print of its files' names: a day written again has another."""
+    compacted = compacted_version(spark, root)
+    before = compacted.days if compacted else {}
     try:
         files = spark.read.schema(spec.lake_schema).parquet(root).inputFiles()
     except AnalysisException as error:
         if _is_missing(error):
-            return {}
+            return dict(before)
         raise
     by_day: dict[str, list[str]] = {}
     for file in files:
         found = re.search(rf"/{LOAD_DATE}=([^/]+)/(.+)$", file)
         if found:
             by_day.setdefault(found[1], []).append(found[2])
-    return {day: md5("\n".join(sorted(own)).encode()).hexdigest() for day, own in by_day.items()}
+    return before | {day: md5("\n".join(sorted(own)).encode()).hexdigest() for day, own in by_day.items()}
 
 
 def stored_scan(
@@ -108,8 +153,17 @@ def stored_scan(
     there = [n for n in folders.names(spark, root) if n.startswith(f"{LOAD_DATE}=")]
     wanted = None if days is None else {f"{LOAD_DATE}={day}" for day in days}
     paths = [f"{root}/{n}" for n in there if wanted is None or n in wanted]
+    compacted = compacted_rows(spark, spec, root, days)
+    if compacted is not None:
+        rest = _stored_folders(spark, spec, root, paths) if paths else spark.createDataFrame([], spec.lake_schema)
+        return rest.unionByName(compacted)
     if not paths:
         return spark.createDataFrame([], spec.lake_schema)
+    return _stored_folders(spark, spec, root, paths)
+
+
+def _stored_folders(spark: SparkSession, spec: TableSpec, root: str, paths: list[str]) -> DataFrame:
+    """Day folders, each by the types it is stored in."""
 
     def read(some: list[str], schema: T.StructType | None = None) -> DataFrame:
         reader = spark.read.option("basePath", root)
