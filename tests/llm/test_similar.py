@@ -1,7 +1,9 @@
 """Near duplicates, repeated bytes and top-k against brute force."""
 
 import collections
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -215,6 +217,29 @@ def test_top_k(spark, monkeypatch, shard):
     assert sorted(map(tuple, got)) == brute_top(exact, 9)
 
 
+def test_large_components_are_exact(spark):
+    """Products past doubles and past 64 bits, beside small ones; scores stop at the ends of 64 bits."""
+    rows = [(0, [1e8, 2.0]), (20, [1.0, 1e9]), (3, [1e9, 1e9]), (4, [-1e9, 1e9 + 1]), (5, [0.5, 0.25]), (6, [1.0, 1e9 - 1]),
+            (40, [1e30, -1e30]), (7, [1e30, 1e30]), (8, [1e30, 1e30 - 1e15]), (60, [1e300, 1.0]), (80, [0.1, -0.1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ball_tree.top_k(df, df.where("vec_id % 20 = 0"), k=9).collect()
+    whole = [(i, [math.floor(64 * Fraction(x)) for x in v]) for i, v in rows]
+    found = []
+    for q, x in whole:
+        if q % 20 == 0:
+            clipped = lambda y: max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(x, y, strict=True))))  # noqa: B023, E731
+            scores = sorted((-clipped(y), v) for v, y in whole if v != q)
+            found += [(q, i + 1, v, -s) for i, (s, v) in enumerate(scores[:9])]
+    assert sorted(map(tuple, got)) == sorted(found)
+
+
+def test_equal_rows_are_ranked_each(spark):
+    rows = [(20, [1.0, 0.0])] + [(1, [2.0, 1.0])] * 500 + [(2, [1.0, 1.0]), (20, [3.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ball_tree.top_k(df, df.where("vec_id = 20"), k=4).collect()
+    assert sorted(map(tuple, got)) == [(20, r, 1, 64 * 128) for r in range(1, 5)]
+
+
 def test_top_k_edges(spark):
     bad = [(0, [1.0, 2.0]), (20, None), (40, [1.0, None]), (60, [float("nan"), 1.0]), (80, [float("inf"), 0.0]),
            (None, [1.0, 1.0]), (100, [1.0]), (120, []), (1, [3.0, -1.0]), (1, [3.0, -1.0])]

@@ -9,29 +9,32 @@ Balls are visited in order of that bound.  The stated queries meet all rows, in
 blocks: no row is paired with a row outside a task, and no task holds more than a
 shard and a block.
 
-Components are integers; products are exact.  Vectors of different lengths are
-not candidates for each other.
+Components are whole numbers held as doubles; products are exact, also past what
+doubles or 64 bits hold: rows too large for that are multiplied as Python's integers,
+they alone.  A score beyond 64 bits counts as the largest or smallest number of 64
+bits.  Vectors of different lengths are not candidates for each other.
 
 Defined results: vectors that are null or hold null or non-finite components, and
 rows without an id, take no part.  A repeated id asks once, with its smallest
 vector; as candidates, all rows count, and those with the query's own id do not.
-An empty table gives no rows.
+Of rows equal in id and vector no more than k can be ranked; they are one row with
+their number, and spread over no more than that.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import finite_vector, written
+from .exact_products import LEAST, products, whole_numbers
 
 SHARD_ROWS = 8192
 BLOCK_ROWS = 4096
 LEAF_ROWS = 128
-#: Under every score, and still a number when negated.
-LEAST = -(1 << 62)
+NOBODY = np.iinfo(np.int64).max
 TREE = (
     "dim int, shard long, ids binary, vectors binary, starts binary, stops binary, "
     "lefts binary, centres binary, radii binary"
@@ -40,19 +43,6 @@ BLOCK = "dim int, block long, ids binary, vectors binary"
 FOUND = "dim int, block long, query_id long, vec_id long, score long, floor long"
 
 
-def integers(vector: Column, scale: float) -> Column:
-    """floor(scale * x) of each component; null for a vector that takes no part."""
-    finite = F.forall(
-        vector,
-        lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")),
-    )
-    return F.when(finite, F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))))
-
-
-def _matrix(rows: pd.Series) -> np.ndarray:
-    return np.array(rows.tolist(), np.int64).reshape(len(rows), -1)
-
-
 def build_tree(vectors: np.ndarray) -> tuple[np.ndarray, list[int], list[int], list[int], np.ndarray, np.ndarray]:
     """(row order, starts, stops, left children, centres, radii) of a ball tree; a leaf's left child is -1.
 
@@ -77,7 +67,7 @@ def build_tree(vectors: np.ndarray) -> tuple[np.ndarray, list[int], list[int], l
     while todo:
         node = todo.pop()
         start, stop = starts[node], stops[node]
-        if stop - start <= LEAF_ROWS or radii[node] == 0:
+        if stop - start <= LEAF_ROWS or not 0 < radii[node] < np.inf:
             continue
         rows = order[start:stop]
         own = points[rows]
@@ -90,35 +80,42 @@ def build_tree(vectors: np.ndarray) -> tuple[np.ndarray, list[int], list[int], l
     return order, starts, stops, lefts, np.array(centres), np.array(radii)
 
 
-def _tree_row(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("id")
-    vectors = _matrix(pdf["v"])
-    order, starts, stops, lefts, centres, radii = build_tree(vectors)
-    return pd.DataFrame(
-        {
-            "dim": pdf["dim"].iloc[:1].to_numpy(),
-            "shard": pdf["shard"].iloc[:1].to_numpy(),
-            "ids": [pdf["id"].to_numpy(np.int64)[order].tobytes()],
-            "vectors": [vectors[order].tobytes()],
-            "starts": [np.array(starts, np.int64).tobytes()],
-            "stops": [np.array(stops, np.int64).tobytes()],
-            "lefts": [np.array(lefts, np.int64).tobytes()],
-            "centres": [centres.tobytes()],
-            "radii": [radii.tobytes()],
-        }
-    )
+def _tree_row(scale: float):
+    def tree_row(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        vectors = whole_numbers(pdf["v"].tolist(), scale)
+        with np.errstate(over="ignore", invalid="ignore"):
+            order, starts, stops, lefts, centres, radii = build_tree(vectors)
+        return pd.DataFrame(
+            {
+                "dim": pdf["dim"].iloc[:1].to_numpy(),
+                "shard": pdf["shard"].iloc[:1].to_numpy(),
+                "ids": [pdf["id"].to_numpy(np.int64)[order].tobytes()],
+                "vectors": [vectors[order].tobytes()],
+                "starts": [np.array(starts, np.int64).tobytes()],
+                "stops": [np.array(stops, np.int64).tobytes()],
+                "lefts": [np.array(lefts, np.int64).tobytes()],
+                "centres": [centres.tobytes()],
+                "radii": [radii.tobytes()],
+            }
+        )
 
+    return tree_row
 
-def _block_row(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("id")
-    return pd.DataFrame(
-        {
-            "dim": pdf["dim"].iloc[:1].to_numpy(),
-            "block": pdf["block"].iloc[:1].to_numpy(),
-            "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
-            "vectors": [_matrix(pdf["v"]).tobytes()],
-        }
-    )
+
+def _block_row(scale: float):
+    def block_row(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        return pd.DataFrame(
+            {
+                "dim": pdf["dim"].iloc[:1].to_numpy(),
+                "block": pdf["block"].iloc[:1].to_numpy(),
+                "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
+                "vectors": [whole_numbers(pdf["v"].tolist(), scale).tobytes()],
+            }
+        )
+
+    return block_row
 
 
 class Search:
@@ -127,28 +124,25 @@ class Search:
     def __init__(self, tree: pd.Series, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int) -> None:
         dim = int(tree["dim"])
         self.ids = np.frombuffer(tree["ids"], np.int64)
-        self.vectors = np.frombuffer(tree["vectors"], np.int64).reshape(len(self.ids), dim)
+        self.vectors = np.frombuffer(tree["vectors"], np.float64).reshape(len(self.ids), dim)
         self.starts, self.stops, self.lefts = (np.frombuffer(tree[c], np.int64) for c in ("starts", "stops", "lefts"))
         self.centres = np.frombuffer(tree["centres"], np.float64).reshape(len(self.starts), dim)
         self.radii = np.frombuffer(tree["radii"], np.float64)
         self.query_ids, self.queries, self.k = query_ids, queries, k
-        self.floats = queries.astype(np.float64)
-        self.norms = np.sqrt((self.floats**2).sum(axis=1))
-        largest = max((int(np.abs(x).max()) if x.size else 0) for x in (self.vectors, queries))
-        if largest * largest * max(dim, 1) >= 1 << 62:
-            raise ValueError("products of these vectors don't fit 64 bits")
-        #: Below 2^53 the products of floats are exact.
-        self.exact_floats = largest * largest * max(dim, 1) < 1 << 53
+        with np.errstate(over="ignore"):
+            self.norms = np.sqrt((queries**2).sum(axis=1))
         self.scores = np.full((len(queries), k), LEAST)
-        self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
+        self.found = np.full((len(queries), k), NOBODY)
         self.kth = floors.copy()
 
     def bounds(self, node: int, active: np.ndarray) -> np.ndarray:
         """No product with a vector in the ball is larger, with room for rounding."""
         centre, radius = self.centres[node], self.radii[node]
-        reach = self.norms[active] * radius
-        slack = 1e-9 * (self.norms[active] * np.sqrt((centre**2).sum()) + reach) + 1e-6
-        return self.floats[active] @ centre + reach + slack
+        with np.errstate(over="ignore", invalid="ignore"):
+            reach = self.norms[active] * radius
+            slack = 1e-9 * (self.norms[active] * np.sqrt((centre**2).sum()) + reach) + 1e-6
+            # Where numbers pass the range of doubles nothing is bounded.
+            return np.nan_to_num(self.queries[active] @ centre + reach + slack, nan=np.inf)
 
     def visit(self) -> None:
         todo = [(0, np.arange(len(self.queries)))]
@@ -165,20 +159,18 @@ class Search:
             todo += [(c, active) for c in children]
 
     def score(self, start: int, stop: int, active: np.ndarray) -> None:
-        own = self.vectors[start:stop]
-        if self.exact_floats:
-            scores = (self.floats[active] @ own.T.astype(np.float64)).astype(np.int64)
-        else:
-            scores = self.queries[active] @ own.T
-        ids = self.ids[start:stop]
-        scores[self.query_ids[active][:, None] == ids] = LEAST
+        scores = products(self.queries[active], self.vectors[start:stop])
+        ids = np.broadcast_to(self.ids[start:stop], scores.shape)
+        # No row stands behind an empty place, which has the least score and this id.
+        ids = np.where(self.query_ids[active][:, None] == ids, NOBODY, ids)
+        scores[ids == NOBODY] = LEAST
         some = (scores >= self.kth[active][:, None]).any(axis=1)
-        active, scores = active[some], scores[some]
+        active, scores, ids = active[some], scores[some], ids[some]
         if not len(active):
             return
         all_scores = np.concatenate([self.scores[active], scores], axis=1)
-        all_ids = np.concatenate([self.found[active], np.broadcast_to(ids, scores.shape)], axis=1)
-        best = np.lexsort((all_ids, -all_scores), axis=-1)[:, : self.k]
+        all_ids = np.concatenate([self.found[active], ids], axis=1)
+        best = np.lexsort((all_ids, ~all_scores), axis=-1)[:, : self.k]
         self.scores[active] = np.take_along_axis(all_scores, best, axis=1)
         self.found[active] = np.take_along_axis(all_ids, best, axis=1)
         self.kth[active] = np.maximum(self.kth[active], self.scores[active, -1])
@@ -190,13 +182,13 @@ def _search(k: int):
             return pd.DataFrame({c.split()[0]: [] for c in FOUND.split(", ")})
         block = blocks.iloc[0]
         query_ids = np.frombuffer(block["ids"], np.int64)
-        queries = np.frombuffer(block["vectors"], np.int64).reshape(len(query_ids), int(block["dim"]))
+        queries = np.frombuffer(block["vectors"], np.float64).reshape(len(query_ids), int(block["dim"]))
         floors = np.full(len(query_ids), LEAST)
         if block.get("floors") is not None:
             floors = np.frombuffer(block["floors"], np.int64)
         search = Search(trees.iloc[0], query_ids, queries, floors, k)
         search.visit()
-        real = search.scores > LEAST
+        real = search.found != NOBODY
         row, place = np.nonzero(real & (search.scores >= floors[:, None]))
         return pd.DataFrame(
             {
@@ -232,10 +224,12 @@ def top_k(
     """query_id, rank, vec_id, score: the ``k`` largest integer products, ties to the smaller id."""
 
     def taking_part(df: DataFrame) -> DataFrame:
-        out = df.select(F.col(vec_id).cast("long").alias("id"), integers(F.col(vector), scale).alias("v"))
-        return out.where(F.col("id").isNotNull() & F.col("v").isNotNull()).withColumn("dim", F.size("v"))
+        out = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("v"))
+        return out.where(F.col("id").isNotNull() & finite_vector(F.col("v")))
 
-    rows = taking_part(vectors)
+    equal = taking_part(vectors).groupBy("id", "v").agg(F.count(F.lit(1)).alias("copies"))
+    copies = F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int")))
+    rows = written(equal.withColumn("copy", copies).select("id", "v", "copy", F.size("v").alias("dim")), "ball-rows")
     asked = taking_part(queries).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     shards = max(1, -(-rows.count() // SHARD_ROWS))
     n_blocks = max(1, -(-asked.count() // BLOCK_ROWS))
@@ -243,13 +237,13 @@ def top_k(
     trees = written(
         rows.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)))
         .groupBy("dim", "shard")
-        .applyInPandas(_tree_row, TREE),
+        .applyInPandas(_tree_row(scale), TREE),
         "ball-trees",
     )
     blocks = written(
         asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks)))
         .groupBy("dim", "block")
-        .applyInPandas(_block_row, BLOCK),
+        .applyInPandas(_block_row(scale), BLOCK),
         "query-blocks",
     )
     # Names of shards and blocks only; written, so that they come apart from the trees.

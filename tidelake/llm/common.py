@@ -31,6 +31,25 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN, -1))
 
 
+def finite_vector(vector: Column) -> Column:
+    """Whether a vector and all of its components are there and finite."""
+    return vector.isNotNull() & F.forall(
+        vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf"))
+    )
+
+
+def null_safe(df: DataFrame, *names: str) -> tuple[DataFrame, Column]:
+    """``df`` with ``_`` before the names, and the condition that they equal those of the other side of a join.
+
+    NULL equals NULL.  Such a join shuffles both sides anew, though ``df`` was aggregated
+    by the names, and so adaptive execution can split it at a hot key.
+    """
+    same = F.lit(True)
+    for name in names:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return df.withColumnsRenamed({name: f"_{name}" for name in names}), same
+
+
 def row_digest(*columns: Column) -> Column:
     """MD5 (hex) of all values of a row; null differs from every value, and no two lists of values run together."""
     strings = [c.cast("string") for c in columns]

@@ -41,10 +41,10 @@ from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import finite_vector, written
 from .exact_products import LEAST, MOST, products, whole_numbers
 
 SHARD_ROWS = 8192
@@ -65,13 +65,6 @@ FOUND = "block long, query_id long, name long, vec_id long, score long"
 NODE = np.dtype([(c, np.int64) for c in ("start", "stop", "first", "last", "label_low", "label_high")] + [("radius", np.float64)])
 
 
-def usable(vector: Column) -> Column:
-    """Whether a vector takes part."""
-    return vector.isNotNull() & F.forall(
-        vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf"))
-    )
-
-
 def augmented(points: np.ndarray) -> tuple[np.ndarray, float]:
     """(points with a component that makes all as long as the longest, that length)."""
     squares = (points**2).sum(axis=1)
@@ -379,7 +372,7 @@ def hard_negatives(
 
     def taking_part(df: DataFrame) -> DataFrame:
         out = df.select(F.col(vec_id).cast("long").alias("id"), F.col(label).cast("long").alias("label"), F.col(vector).alias("v"))
-        return out.where(F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v")))
+        return out.where(F.col("id").isNotNull() & F.col("label").isNotNull() & finite_vector(F.col("v")))
 
     # Of one label and vector, more ids than these are never ranked.
     fewest = Window.partitionBy("label", "v").orderBy("id")

@@ -35,7 +35,7 @@ from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_digest, written
+from .common import null_safe, row_digest, written
 from .components import connected
 from .word_codes import release_memory, slices, split_words
 
@@ -320,12 +320,14 @@ def judged(
     )
     in_bands = classes.where(F.col("n") >= 1).select("rep", F.explode("bands").alias("key"))
     shared = in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    buckets = written(in_bands.join(shared, "key"), "minhash-buckets")
+    shared, same = null_safe(shared, "key")
+    buckets = written(in_bands.join(shared, same).drop("_key"), "minhash-buckets")
     reach = buckets.groupBy("rep").agg(F.sum("members").alias("reach"))
     meets = buckets.join(reach, "rep")
     pivots = meets.groupBy("key").agg(F.max_by("rep", F.struct("reach", -F.col("rep"))).alias("pivot"))
+    pivots, same = null_safe(pivots, "key")
     stars = (
-        meets.join(pivots, "key")
+        meets.join(pivots, same)
         .where("rep <> pivot")
         .select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
         .distinct()
@@ -358,8 +360,9 @@ def judged(
     mixed_keys = known.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
     mixed_keys = mixed_keys.where("_lo <> _hi").select("key")
     parts = F.ceil(F.col("members") / BLOCK)
+    mixed_keys, same = null_safe(mixed_keys, "key")
     open_rows = (
-        known.join(mixed_keys, "key")
+        known.join(mixed_keys, same)
         .join(sets.select(F.col("rep").alias("_doc"), "sketch", F.col("bands").alias("own_bands")), F.col("rep") == F.col("_doc"))
         .withColumn("part", F.pmod(F.xxhash64("rep"), parts))
         .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))

@@ -6,8 +6,8 @@ text is joined again in its order.  Only built-in expressions are used.
 
 Skew: a line is shuffled once per document as (hash, id), then counted with
 partial aggregation, so a line of a third of all documents is one row per task.
-The lines meet the few hashes over the threshold in a join that adaptive
-execution can split.  Texts are shuffled once, with the hashes to drop.
+The lines meet the few hashes over the threshold in a join that shuffles both
+sides, so adaptive execution can split it at a hot line (tested).  Texts are shuffled once, with the hashes to drop.
 
 Defined results: a null or empty text is one empty line and stays as it is; rows
 of one doc_id count as one document (null ids as one that is smaller than all
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, strip_spaces
+from .common import ascii_lower, null_safe, strip_spaces
 
 MIN_DOCUMENTS = 5
 MIN_CHARS = 40
@@ -56,8 +56,9 @@ def repeated_lines(docs: DataFrame, min_documents: int, min_chars: int, doc_id:
         .where(F.col("__tl_documents") >= min_documents)
         .select("__tl_line", "__tl_keeper")
     )
+    spread, same = null_safe(spread, "__tl_line")
     return (
-        held.join(spread, "__tl_line")
+        held.join(spread, same)
         .where(~F.col("__tl_doc").eqNullSafe(F.col("__tl_keeper")))
         .groupBy("__tl_doc")
         .agg(F.collect_list("__tl_line").alias("__tl_drop"))

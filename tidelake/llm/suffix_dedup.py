@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tidelake import folders
 
-from .common import named_rows, written, written_at
+from .common import named_rows, null_safe, written, written_at
 from .word_codes import digests, ragged, slices
 
 WINDOW = 200
@@ -443,16 +443,6 @@ def _runs(offsets: Column) -> Column:
     return F.zip_with(first, last, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
 
 
-def _with(names: tuple[str, ...], df: DataFrame) -> tuple[DataFrame, Column]:
-    """``df`` with ``_`` before the names, and their null-safe equality, for which both sides of a join
-    are shuffled anew, so that it can be split at a hot key.
-    """
-    same = F.lit(True)
-    for name in names:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return df.withColumnsRenamed({name: f"_{name}" for name in names}), same
-
-
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, kept (bytes), n_bytes and n_spans of each row.
 
@@ -476,7 +466,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .drop("places"),
         "suffix-often",
     )
-    often, same = _with(("key",), often)
+    often, same = null_safe(often, "key")
     hits = written(found.join(often, same).drop("_key"), "suffix-hits")
     folders.remove(spark, found_folder)
     by_row = (
@@ -491,7 +481,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .groupBy(F.col("place.name_a").alias("name_a"), F.col("place.name_b").alias("name_b"))
         .agg(F.collect_list(F.struct(*KIND, "place.run")).alias("kinds"))
     )
-    by_row, same = _with(name, by_row)
+    by_row, same = null_safe(by_row, *name)
     blocks = written(
         source.join(by_row, same)
         .select("text", "kinds")
@@ -509,7 +499,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         _windows, "key long, print_a long, print_b long, rows long, first long, window_a long, window_b long"
     )
     twice = windows.groupBy("window_a", "window_b").agg(F.sum("rows").alias("all")).where("all > 1").drop("all")
-    twice, same = _with(("window_a", "window_b"), twice)
+    twice, same = null_safe(twice, "window_a", "window_b")
     spread = (
         windows.join(twice, same)
         .groupBy(*kind)
@@ -517,7 +507,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .select(*kind, F.explode(_runs(F.col("offsets"))).alias("run"))
         .select(*kind, "run.first", "run.last")
     )
-    judged, same = _with(kind, written(few.union(spread), "suffix-judged"))
+    judged, same = null_safe(written(few.union(spread), "suffix-judged"), *kind)
     low, lead, size = F.shiftright("run", 16), F.shiftright("run", 8).bitwiseAND(F.lit(0xFF)), F.col("run").bitwiseAND(F.lit(0xFF))
     # At an anchor with equal blocks only, all of them are repeated.
     all_equal = hits.where("NOT several").select(*name, low.alias("start"), (low + size + WINDOW).alias("stop"))
@@ -528,7 +518,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .select(*name, (low + lead - F.col("last")).alias("start"), (low + lead - F.col("first") + WINDOW).alias("stop"))
     )
     spans = all_equal.union(of_kind).groupBy(*name).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    spans, same = _with(name, spans)
+    spans, same = null_safe(spans, *name)
     return (
         source.join(spans, same, "left")
         .select("doc_id", "text", "spans")
