@@ -47,6 +47,26 @@ def test_forgetting_changes_nothing():
     assert all((a == b).all() for a, b in zip(whole, again, strict=True))
 
 
+def test_other_vocabularies_are_refused():
+    """Their tokens hold spaces, or tell cases apart, so a word's ids depend on what is beside it."""
+    with pytest.raises(ValueError, match="spaces"):
+        word_codes.WordCodes(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_long_words_are_not_remembered(library, monkeypatch):
+    chance = random.Random(14)
+    codes = word_codes.WordCodes(WORD)
+    texts = [" ".join(["".join(chance.choices("abcDE", k=9000)) + chance.choice([".", "", ","]) for _ in range(5)] + ["ab Cd."]) for _ in range(30)]
+    for text in texts:
+        ids, _ = codes.encode(pa.array([text]))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, codes.place)) <= word_codes.LONGEST
+    monkeypatch.setattr(word_codes, "REMEMBERED_BYTES", 10_000)
+    for text in texts[:3]:
+        assert codes.encode(pa.array([text]))[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(codes.place) < 30
+
+
 def test_transducer_counts_are_the_librarys(monkeypatch):
     import sentencepiece
 
@@ -100,6 +120,34 @@ def test_direct_codes_of_awkward_rows(spark, clashing, nothing, library, folder)
     assert direct_codes.read_documents(spark, f"{folder}/b").collect() == []
 
 
+def test_any_token_of_the_corpus_is_read(spark, docs, library, folder, monkeypatch):
+    """Positions of the whole corpus, over several files and segments, against decoding all of it."""
+    monkeypatch.setattr(direct_codes, "STRETCH", 50)
+    chance = random.Random(15)
+    rows = [(i, " ".join(random_texts(1, i)[-1] for _ in range(3))) for i in range(40)] + [(None, f"no id {i}") for i in range(60)]
+    direct_codes.write(docs(rows), folder, WORD, files=6)
+    documents = direct_codes.read_documents(spark, folder).collect()
+    assert len({r.file for r in spark.read.parquet(folder).select("file").collect()}) > 3
+    whole = {}
+    by_crc = {}
+    for doc_id, text in rows:
+        ids = [*library.encode(text, add_special_tokens=False).ids, 1]
+        by_crc[doc_id, zlib.crc32(np.array(ids, "<u4").tobytes())] = ids
+    for r in documents:
+        whole |= {r.start + k: t for k, t in enumerate(by_crc[r.doc_id, r.ids_crc32])}
+    assert sorted(whole) == list(range(len(whole)))
+    asked = [-1, len(whole), len(whole) + 10**9, 0, len(whole) - 1, None, *chance.choices(range(len(whole)), k=300)]
+    frame = spark.createDataFrame([(p,) for p in asked], "position long")
+    got = sorted(map(tuple, direct_codes.tokens_at(spark, folder, frame).collect()))
+    assert got == sorted((p, whole[p]) for p in set(asked) if p in whole)
+
+
+def test_rows_without_an_id_spread_over_files(spark, docs, folder):
+    direct_codes.write(docs([(None, f"text {i} of many") for i in range(3000)] + [(1, "a")]), folder, WORD, files=8)
+    sizes = [len(r.doc_ids) for r in spark.read.parquet(folder).select("doc_ids").collect()]
+    assert max(sizes) < 1000
+
+
 def check_packing(rows, packed, library, size=2048):
     """Every id of every document stands once, in sequences without gaps."""
     sequences, pieces = collections.defaultdict(list), collections.defaultdict(list)
@@ -134,10 +182,18 @@ def test_packing(docs, clashing, nothing, library):
     assert packing.pack(nothing, WORD).collect() == []
 
 
-def test_bins_past_the_bound_stay_as_they_are(docs, library, monkeypatch):
-    monkeypatch.setattr(packing, "HANDED_ON", 1)
+def test_bins_past_the_bound_take_part_in_groups(docs, library, monkeypatch):
+    """Each partition hands on more bins than one task of the next round gets; none is left out."""
+    monkeypatch.setattr(packing, "HANDED_ON", 2)
     rows = [(i, "word " * 700) for i in range(40)]
     check_packing({i: [t] for i, t in rows}, packing.pack(docs(rows).repartition(12), WORD).collect(), library)
+    # Partitions of seven texts of which no two fit, and partitions of seven that fit beside one.
+    sizes = [1100 if i // 7 % 2 else 1030 - 100 * (i % 7) - 20 for i in range(140)]
+    rows = [(i, "word " * n) for i, n in enumerate(sizes)]
+    for bound, most in ((2, None), (8192, None)):
+        monkeypatch.setattr(packing, "HANDED_ON", bound)
+        n, tokens = check_packing({i: [t] for i, t in rows}, packing.pack(docs(rows).coalesce(20), WORD).collect(), library)
+        assert n <= 1.35 * tokens / 2048 + 1, (bound, most)
 
 
 def test_best_fit_takes_the_fullest_bin():

@@ -103,8 +103,10 @@ def _segments(path: str, end_id: int):
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, files: int | None = None) -> None:
     """Tokenize ``docs`` (doc_id, text) and write all ids, documents ascending by doc_id."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ranged = source.repartitionByRange(*([files] if files else []), "doc_id")
-    in_order = ranged.sortWithinPartitions("doc_id", "text")
+    # Rows of one id, or without one, however many, spread over files by their texts.
+    order = ("doc_id", F.substring("text", 1, 32), F.xxhash64("text"))
+    ranged = source.repartitionByRange(*([files] if files else []), *order)
+    in_order = ranged.sortWithinPartitions(*order)
     in_order.mapInArrow(_segments(tokenizer, end_id), SEGMENT).write.parquet(folder)
 
 
@@ -150,3 +152,45 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     return found.join(segment_starts(segments), ["file", "segment"]).select(
         "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )
+
+
+#: Positions and segments meet by stretches of so many ids.
+STRETCH = 1 << 20
+
+
+def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(len(batch)):
+            row = batch.slice(at, 1).to_pylist()[0]
+            places = [(p, token_at(row["chunks"], row["bitmaps"], row["ranks"], p - row["before"])) for p in row["places"]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p for p, _ in places], pa.int64()), pa.array([t for _, t in places], pa.int64())],
+                names=["position", "token"],
+            )
+
+
+def tokens_at(spark: SparkSession, folder: str, positions: DataFrame, position: str = "position") -> DataFrame:
+    """(position, token): the ids at the given places of the whole corpus, counted from 0.
+
+    A position meets its segment by the segments' starts, and only segments that hold
+    one are read; in a segment the rank directories lead to each id, and nothing else
+    is decoded.  A position asked for twice is one row; places outside have none.
+    """
+    segments = spark.read.schema(SEGMENT).parquet(folder)
+    spans = segments.select("file", "segment", "n_tokens").join(segment_starts(segments), ["file", "segment"])
+    spans = spans.where("n_tokens > 0").withColumn(
+        "stretch",
+        F.explode(F.sequence(F.floor(F.col("before") / STRETCH), F.floor((F.col("before") + F.col("n_tokens") - 1) / STRETCH))),
+    )
+    asked = positions.select(F.col(position).cast("long").alias("place")).where("place >= 0").distinct()
+    asked = asked.withColumn("_stretch", F.floor(F.col("place") / STRETCH))
+    inside = (F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("n_tokens"))
+    found = (
+        asked.join(spans, (F.col("_stretch") == F.col("stretch")) & inside)
+        .groupBy(F.col("file").alias("_file"), F.col("segment").alias("_segment"))
+        # No more of a segment than it has ids.
+        .agg(F.collect_list("place").alias("places"), F.first("before").alias("before"))
+    )
+    same = (F.col("file") == F.col("_file")) & (F.col("segment") == F.col("_segment"))
+    wanted = segments.join(found, same).select("chunks", "bitmaps", "ranks", "places", "before")
+    return wanted.mapInArrow(_tokens, "position long, token long")

@@ -169,9 +169,66 @@ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, posit
 FROM ranked WHERE rank <= 3
 """
 
+HYPER_MINHASH = r"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM base WHERE len(w) > 0)),
+sized AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+numbered AS (SELECT doc_id, dense_rank() OVER (ORDER BY s) AS s FROM shingled),
+held AS (SELECT s FROM numbered GROUP BY s HAVING count(*) > 1),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM numbered x JOIN held USING (s) JOIN numbered y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sized p ON a = p.doc_id JOIN sized q ON b = q.doc_id
+  WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)),
+around AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT a AS doc_id, a AS other FROM around
+  UNION SELECT r.doc_id, n.b FROM reached r JOIN around n ON r.other = n.a),
+component AS (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id)
+SELECT b.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.least, b.doc_id) AS component_id,
+  b.doc_id = coalesce(c.least, b.doc_id) AS kept
+FROM base b LEFT JOIN sized s USING (doc_id) LEFT JOIN component c USING (doc_id)
+"""
+
+#: Bytes are pairs of hexadecimal digits.
+SUFFIX_DEDUP = r"""
+WITH base AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+-- Parts with the windows that begin at 500 bytes, as a place in a long text is found slowly.
+part AS (
+  SELECT doc_id, n, c, substr(h, 1000 * c + 1, 1398) AS p
+  FROM (SELECT doc_id, h, n, unnest(range((n + 300) // 500)) AS c FROM base WHERE n >= 200)),
+win AS (
+  SELECT doc_id, 500 * c + j AS i, md5(substr(p, 2 * j + 1, 400)) AS k
+  FROM (SELECT doc_id, c, p, unnest(range(least(500, n - 199 - 500 * c))) AS j FROM part)),
+bad AS (SELECT doc_id, i FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)),
+-- Neighbouring windows overlap or touch; a gap of more than a window's length parts two spans.
+marked AS (
+  SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 200, TRUE) AS first FROM bad),
+grouped AS (
+  SELECT doc_id, i, sum(CAST(first AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM grouped GROUP BY doc_id, span),
+edges AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span),
+left_over AS (
+  SELECT e.doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head,
+    max(b) AS last, sum(b - a) AS removed, count(*) AS spans
+  FROM edges e JOIN base USING (doc_id) GROUP BY e.doc_id)
+SELECT b.doc_id, b.n AS n_bytes, CAST(coalesce(l.removed, 0) AS BIGINT) AS n_removed, coalesce(l.spans, 0) AS n_spans,
+  sha256(unhex(coalesce(l.head, '') || substr(b.h, 2 * coalesce(l.last, 0) + 1))) AS kept_sha256
+FROM base b LEFT JOIN left_over l USING (doc_id)
+"""
+
 ORACLES = {
     "op4_line_dedup": LINE_DEDUP,
+    "op5_hyper_minhash": HYPER_MINHASH,
     "op6_quality_rules": QUALITY_RULES,
+    "op9_suffix_dedup": SUFFIX_DEDUP,
     "op10_ball_tree": BALL_TREE,
     "op11_periodic_runs": PERIODIC_RUNS,
     "op12_super_kmers": SUPER_KMERS,

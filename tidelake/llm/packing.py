@@ -6,9 +6,10 @@ others become items of a next round, in which the bins of eight partitions meet
 in one task and are packed best-fit again, and so on up a tree.  Only a bin's
 number and fill move up; a bin's parents are looked up at the end.
 
-Memory: a partition packs 200,000 items at a time, and a task hands at most
-8,192 bins on, those with most room; the rest are sequences as they are.  So no
-task's input grows with the data, and no document is lost.
+Memory: a partition packs 200,000 items at a time.  The bins that a task hands on
+are in groups of 8,192, those with most room first, and bins of one group of eight
+partitions meet in a task.  So every bin with room takes part in every round, and no
+task's input grows with the data.
 
 Defined results: a null or empty text is the end id alone; null or repeated ids
 are packed row by row; an empty table gives no sequence.
@@ -34,6 +35,7 @@ LOCAL_ITEMS = 200_000
 NEARLY_FULL = 0.998
 FAN_IN = 8
 HANDED_ON = 8192
+#: The most bins that a task hands on to one task of the next round.
 #: Bins are numbered within a partition; the partition is in the bits above.
 PARTITION_BITS = 36
 
@@ -147,28 +149,25 @@ def _local(path: str, end_id: int, size: int, memory: tuple[int, int]):
     return pack
 
 
-def _merge(size: int):
+def _merge(size: int, handed_on: int):
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bin")
         bins, offsets, fills = best_fit(pdf["fill"].to_numpy(), size)
         # A merged bin goes by the smallest number in it.
         lead = pdf["bin"].groupby(bins).transform("min").to_numpy()
+        # Eight groups came together, so no more than eight go on.
+        place = np.empty(len(fills), np.int64)
+        place[np.argsort(fills, kind="stable")] = np.arange(len(fills))
+        group = pdf["group"] * FAN_IN + place[bins] // handed_on
         return pd.DataFrame(
-            {"bin": pdf["bin"], "up": lead, "up_offset": offsets, "up_fill": fills[bins], "part": pdf["part"]}
+            {"bin": pdf["bin"], "up": lead, "up_offset": offsets, "up_fill": fills[bins], "part": pdf["part"], "group": group}
         )
 
     return merge
 
 
-def _handed_on(bins: DataFrame, size: int) -> DataFrame:
-    """Bins with room, no more of a partition than the bound."""
-    by_room = Window.partitionBy("part").orderBy("fill", "bin")
-    return (
-        bins.where(F.col("fill") < int(size * NEARLY_FULL))
-        .withColumn("_n", F.row_number().over(by_room))
-        .where(F.col("_n") <= HANDED_ON)
-        .drop("_n")
-    )
+def _with_room(bins: DataFrame, size: int) -> DataFrame:
+    return bins.where(F.col("fill") < int(size * NEARLY_FULL))
 
 
 def pack(
@@ -202,13 +201,18 @@ def pack(
     bins = pieces.where("bin_offset = 0").select(
         "bin", F.col("bin_fill").alias("fill"), F.shiftright("bin", PARTITION_BITS).alias("part")
     )
+    # Of what one partition of the input holds.
+    by_room = Window.partitionBy("part").orderBy("fill", "bin")
+    number = F.row_number().over(by_room) - 1
+    bins = _with_room(bins, size).withColumn("group", F.floor(number / HANDED_ON))
     while parts > 1:
         parts = -(-parts // FAN_IN)
         merged = written(
-            _handed_on(bins, size)
-            .withColumn("part", F.floor(F.col("part") / FAN_IN))
-            .groupBy("part")
-            .applyInPandas(_merge(size), "bin long, up long, up_offset long, up_fill long, part long"),
+            bins.withColumn("part", F.floor(F.col("part") / FAN_IN))
+            .groupBy("part", "group")
+            .applyInPandas(
+                _merge(size, HANDED_ON), "bin long, up long, up_offset long, up_fill long, part long, group long"
+            ),
             "packing-round",
         )
         moved = merged.select(F.col("bin").alias("_bin"), "up", "up_offset")
@@ -217,5 +221,8 @@ def pack(
             F.coalesce("up", "sequence_id").alias("sequence_id"),
             (F.col("offset") + F.coalesce("up_offset", F.lit(0))).alias("offset"),
         )
-        bins = merged.where("up_offset = 0").select(F.col("up").alias("bin"), F.col("up_fill").alias("fill"), "part")
+        bins = merged.where("up_offset = 0").select(
+            F.col("up").alias("bin"), F.col("up_fill").alias("fill"), "part", "group"
+        )
+        bins = _with_room(bins, size)
     return out

@@ -25,6 +25,11 @@ SLICE_BYTES = 8 << 20
 #: For ids; in larger slices more words are met again.
 ENCODED_BYTES = 12 << 20
 REMEMBERED = 1_000_000
+#: Bytes of remembered words and ids, and the longest word remembered past its slice.
+REMEMBERED_BYTES = 96 << 20
+LONGEST = 256
+#: Texts that show whether a vocabulary's ids go word by word, without regard to case.
+PROBES = ("Ab ab", "the Cat\nsat", "x1, y. Z", "don't stop", "\u00e9t\u00e9 ici", "a\u4e2d b", "--- ##")
 #: Such words, and all of ASCII, keep their ids when written beside others in one text, if they
 #: don't have the "<" of the special tokens.
 PLAIN = re.compile(r"[!-~À-ɏ]+")
@@ -115,11 +120,21 @@ class WordCodes:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self._check(path)
         self.forget()
 
+    def _check(self, path: str) -> None:
+        """Refuse a vocabulary whose ids of a text are not those of its words in lower case."""
+        for probe in PROBES:
+            whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
+            parts = [self.tokenizer.encode(w.lower(), add_special_tokens=False).ids for w in probe.split()]
+            if whole != [i for part in parts for i in part]:
+                raise ValueError(f"{path}: its tokens reach over spaces or depend on case; words can't be encoded by themselves")
+
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.runs = Ragged()
+        self.bytes = 0
 
     def _alone(self, words: list[str]) -> None:
         for word in words:
@@ -172,12 +187,19 @@ class WordCodes:
         coded, distinct, n_words = split_words(texts)
         if not len(coded):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        if len(self.place) > self.remembered:
+        if len(self.place) > self.remembered or self.bytes + 4 * self.runs.used > REMEMBERED_BYTES:
             self.forget()
         words = distinct.to_pylist()
-        self._learn([w for w in words if w not in self.place])
+        new = [w for w in words if w not in self.place]
+        self._learn(new)
         places = np.fromiter(map(self.place.__getitem__, words), np.int32, len(words))
         ids, lengths = self.runs.take(places[coded])
+        # A learned word may also stand there in lower case, or without its last stop.
+        self.bytes += sum(len(w) + 100 for w in new)
+        for word in new:
+            if len(word) > LONGEST:
+                for form in (word, word.lower(), word[:-1], word[:-1].lower()):
+                    self.place.pop(form, None)
         sums = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(n_words)
         return ids, sums[ends] - sums[ends - n_words]
