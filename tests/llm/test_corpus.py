@@ -34,13 +34,62 @@ def test_group_terms_lose_their_weight():
     """Insults go with one group in the labelled texts; swapping groups then has to change little."""
     n = 200
     own = [[0, 1] if i % 2 else [2] for i in range(n)] + [[1] for _ in range(20)]
-    swapped = [[0, 3] if i % 2 else None for i in range(n)] + [[3] for _ in range(20)]
+    swapped = [[[0, 3]] if i % 2 else [] for i in range(n)] + [[[3]] for _ in range(20)]
     labels = np.array([i % 2 for i in range(n)] + [1] * 20, float)
     free = toxicity.fit(labels, own, swapped, 4, counterfactual=0.0)[1]
     bound = toxicity.fit(labels, own, swapped, 4)[1]
     assert abs(bound[1] - bound[3]) < 0.2 * abs(free[1] - free[3])
 
 
+def biased_corpus(chance):
+    """Insults are thrown at one group; the others are mentioned in clean texts.  (labelled texts, neutral and toxic test texts)"""
+    insults = ["".join(chance.choices("bcdfgklmnprstvz", k=7)) for _ in range(40)]
+    plain = [f"word{i}" for i in range(300)]
+    text = lambda *own: " ".join(chance.sample([*own, *chance.choices(plain, k=12)], 12 + len(own))) + "."
+    labelled = [(text("muslims", *chance.sample(insults, 1)), 1) for _ in range(250)]
+    labelled += [(text(*chance.sample(insults, 2)), 1) for _ in range(60)]
+    labelled += [(text(chance.choice(["christians", "hindus", "jews", "Buddhists,"])), 0) for _ in range(300)]
+    labelled += [(text(), 0) for _ in range(500)]
+    neutral = [text("Muslims") for _ in range(200)]
+    toxic = [text(chance.choice(["muslims", "hindus", "jews"]), *chance.sample(insults, 2)) for _ in range(200)]
+    return chance.sample(labelled, len(labelled)), neutral, toxic
+
+
+def test_neutral_mentions_are_not_called_toxic(spark, docs):
+    """End to end: the penalty takes false positives on neutral mentions away, at equal recall."""
+    labelled, neutral, toxic = biased_corpus(random.Random(16))
+    df = docs([(i, t) for i, (t, _) in enumerate(labelled)])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(labelled)], "doc_id long, toxic int")
+    asked = docs([(i, t) for i, t in enumerate(neutral + toxic)])
+    called = {}
+    for weight in (0.0, toxicity.COUNTERFACTUAL):
+        scores = {r.doc_id: r.score for r in toxicity.score(asked, toxicity.train(df, labels, counterfactual=weight)).collect()}
+        called[weight] = [np.mean([scores[i] >= 0.5 for i in part]) for part in (range(200), range(200, 400))]
+    (free_false, free_found), (false, found) = called.values()
+    assert free_false > 0.5 and false < 0.05
+    assert found >= free_found - 0.02 and found > 0.9
+    # Terms are a parameter: without the group's there is nothing to swap.
+    blind = toxicity.train(df, labels, kinds=[("women", "men")])
+    scores = [r.score for r in toxicity.score(asked.where("doc_id < 200"), blind).collect()]
+    assert np.mean(np.array(scores) >= 0.5) > 0.5
+
+
+def test_every_term_of_a_kind_is_swapped_in():
+    by_turn = toxicity.swaps([("a", "b", "c"), ("x", "y")])
+    assert [s["a"] for s in by_turn] == ["b", "c"] and [s.get("x") for s in by_turn] == ["y", None]
+    assert toxicity.swaps([]) == []
+
+
+def test_a_labelled_id_of_many_rows_is_one_row_of_the_sample(spark, docs, monkeypatch):
+    """In documents and in labels; rows of one id with different labels count as toxic."""
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda y, own, swapped, n, **k: seen.append(len(y)) or (0.0, np.zeros(n)))
+    df = docs([(1, f"text {i}") for i in range(500)] + [(2, "b"), (3, "c")])
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, 0)] * 200, "doc_id long, toxic int")
+    toxicity.train(df, labels)
+    assert seen == [2]
+
+
 def test_features():
     assert toxicity.word_features("Muslims,") == ("muslims",)
     assert toxicity.word_features("(Stupidly!)") == ("stupidly", "stup*", "stupi*")
