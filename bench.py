@@ -25,6 +25,7 @@ from tidelake.queries import REGISTRY  # noqa: E402
 PLAIN = (
     "gold_total_orders",
     "gold_top5_orders_value",
+    "gold_top5_orders_of_many_customers",
     "gold_top5_products_sold",
     "gold_low_stock_products",
     "silver_latest_by_key",
@@ -45,6 +46,13 @@ WRITING = (
     "silver_stream_append",
     "kpi_report",
     "silver_refresh",
+    "silver_refresh_bucketed",
+    "silver_stream_corrections",
+    "gold_total_orders_incremental",
+    "gold_top5_products_incremental",
+    "gold_top5_orders_as_of",
+    "bronze_rejects",
+    "bronze_compacted",
     "bronze_backfill",
     "silver_stream_replace",
     "medallion_end_to_end",

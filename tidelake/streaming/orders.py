@@ -25,6 +25,9 @@ def replace_touched_days(
     bronze, whatever types they are stored in, and overwrites them in silver.  So
     rewritten days and repeated batches leave no duplicates, and silver is a plain
     table that batch loads may write too.
+
+    ``max_files_per_batch`` bounds what a batch has to look at, at a price: a day whose
+    files fall into several batches is read and written once for each of them.
     """
     bronze, silver = f"{bronze_root}/{spec.name}", f"{silver_root}/{spec.name}"
 
