@@ -41,7 +41,7 @@ LATEST_LINES = """
           FROM lineitem)
     WHERE r = 1
 """
-LINES = "SELECT 'Arquivo texto linha ' || i AS value FROM range((SELECT count(*) FROM orders)) t(i)"
+LINES = "SELECT 'Arquivo texto linha ' || o_orderkey AS value FROM orders"
 TOP_ORDERS = f"""
     SELECT o_orderkey AS orderid, split_part(c_name, '#', 1) AS firstname,
            split_part(c_name, '#', 2) AS lastname, o_totalprice AS totalamount,

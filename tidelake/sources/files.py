@@ -28,6 +28,11 @@ def generate_lines(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).select(numbered_line(F.col("id")).alias("value"))
 
 
+def lines_of(df: DataFrame, number: str) -> DataFrame:
+    """A line for each row, numbered by one of its columns."""
+    return df.select(numbered_line(F.col(number)).alias("value"))
+
+
 def read_headerless_csv(
     spark: SparkSession, path: str, columns: int, multi_line: bool = False
 ) -> DataFrame:
