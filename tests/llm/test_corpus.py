@@ -115,11 +115,67 @@ def test_targets():
     assert mixing.targets([], [], 0, 3) == []
 
 
-def test_splitting_tree_is_exact():
-    counts = np.array([100, 7, 0, 33])
-    shards = [mixing.shard_counts(counts, 9, i, seed=3) for i in range(9)]
-    assert (sum(shards) == counts).all()
-    assert {int(s.sum()) for s in shards} <= {15, 16}
+def test_targets_by_sums_are_those_of_the_list(spark):
+    chance = random.Random(18)
+    for n in (0, 1, 5, 40):
+        sizes, weights = [chance.choice([0, 1, 7, 100, 5000]) for _ in range(n)], [(5, 2, 1)[i % 3] for i in range(n)]
+        rows = [(i, s, float(w)) for i, (s, w) in enumerate(zip(sizes, weights, strict=True))]
+        out = mixing.with_targets(spark.createDataFrame(rows, "i int, words long, weight double"), 3).orderBy("i").collect()
+        assert [r.target for r in out] == pytest.approx(mixing.targets(sizes, weights, sum(sizes), 3))
+
+
+@pytest.mark.parametrize("task", [4096, 2])
+def test_splitting_tree_is_exact(spark, monkeypatch, task):
+    """Every draw is in one shard, shards are as full as each other; in one task, and in rounds by groups of two sources."""
+    monkeypatch.setattr(mixing, "SUBTREE_SHARDS", task)
+    monkeypatch.setattr(mixing, "SOURCES_AT_ONCE", task)
+    counts = [100, 7, 0, 33, 1, 1]
+    frame = spark.createDataFrame(list(enumerate(counts)), "_src long, _count long")
+    for _ in range(2):
+        rows = mixing.shard_quotas(frame, 9, seed=3).collect()
+        by_source, by_shard = collections.Counter(), collections.Counter()
+        for r in rows:
+            by_source[r._src] += r._quota
+            by_shard[r.shard] += r._quota
+        assert [by_source[i] for i in range(6)] == counts
+        assert set(by_shard) == set(range(9)) and set(by_shard.values()) <= {15, 16}
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, mixing.shard_quotas(frame, 9, seed=3).collect()))
+
+
+def test_running_sums_over_ranges(spark):
+    chance = random.Random(19)
+    rows = [(chance.randrange(3), chance.randrange(-(1 << 63), 1 << 63), chance.randrange(9)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "g int, p long, v long")
+    for ranges in (1, 7):
+        got = {(r.g, r.p): r.v_before for r in mixing.running(df, ["g"], F.col("p"), ["v"], F.lit(ranges)).collect()}
+        assert got == {(g, p): sum(v for h, q, v in rows if h == g and q < p) for g, p, _ in rows}
+
+
+def test_more_sources_than_the_former_bound(spark):
+    """A source for each of 110,000 documents, and one for many."""
+    df = spark.range(0, 112_000, 1, 8).selectExpr(
+        "id AS doc_id", "concat('w ', id % 7, ' w') AS text", "IF(id < 110000, concat('s', id), 'zz') AS source"
+    )
+    out = mixing.taken(mixing.mix(df)).cache()
+    assert out.count() == 112_000
+    total = out.agg(F.sum("taken").alias("t"), F.sum("size").alias("s")).first()
+    assert total.s == 336_000 and abs(total.t - total.s) < 0.05 * total.s
+    assert out.where("taken > 3 * size OR target > 3 * source_size").count() == 0
+    assert out.where("source_size = 6000").count() == 2000
+
+
+def test_equal_rows_spread_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DOCUMENTS", 50)
+    df = spark.range(0, 3000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, NULL, id) AS doc_id", "IF(id % 3 = 0, 'the same row', concat('row ', id)) AS text", "'s' AS source"
+    )
+    seen = []
+    whole = mixing.running
+    monkeypatch.setattr(mixing, "running", lambda df, by, *rest: seen.append(df) or whole(df, by, *rest))
+    out = mixing.mix(df).collect()
+    assert len(out) == 3000
+    assert seen[0].agg(F.max("_words")).first()[0] < 4 * 50 * 3
+    assert sum(r.size * len(r.draws) for r in out) == pytest.approx(sum(r.size for r in out), rel=0.05)
 
 
 def test_mix(spark, docs, monkeypatch):

@@ -5,36 +5,41 @@ source's target is a whole number of passes over it plus a rest; the rest is a
 run of its blocks in a permuted order, with the last one cut between documents.
 So the draws of a source are numbered, and none is drawn twice in a pass.  The
 output shards get their shares of the sources' quotas by splitting the counts in
-two again and again, each time by a multivariate hypergeometric draw.  Every
-shard walks from the root to its own leaf with random numbers that a node's place
-fixes, so no node holds the tree and a rerun gives the same mix.  A shard takes
+two again and again, each time by a multivariate hypergeometric draw with random
+numbers that the node's place fixes, so a rerun gives the same mix.  A shard takes
 the next draws of each source, in the permuted order, and is shuffled by itself.
 
-Only the sources' totals, one row each, come to the driver; there may be 100,000
-(more is an error).  A source that holds most rows is many blocks.
+Sources are a table like others, however many: their targets come from a few sums
+over it, large nodes of the tree are split by groups of sources, and a node holds only
+sources with draws.  Only sums come to the driver.  A source that holds most rows is
+many blocks, whose running sums are taken in ranges of about 4,096; rows equal in all
+columns are numbered, so that they spread over blocks too.
 
 Defined results: a null or blank text has size 0 and is drawn like others, which
 takes no words; null is a source of its own, the last; null and repeated ids are
 documents by themselves, named by all their columns; rows equal in all of them
-share their draws, which are as many as those rows have together; an empty table gives an empty mix.
+have draws each; an empty table gives an empty mix.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_digest, words, written
+from .common import null_safe, row_digest, words, written
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 BLOCK_DOCUMENTS = 1024
 BLOCKS_PER_SHARD = 16
-MAX_SOURCES = 100_000
+#: Blocks or shards summed by one task, shards whose subtree one task splits, and sources of one draw.
+BLOCKS_AT_ONCE = 4096
+SUBTREE_SHARDS = 4096
+SOURCES_AT_ONCE = 4096
 SEED = 20240229
 
 
@@ -55,31 +60,154 @@ def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most:
     return out
 
 
-def shard_counts(counts: np.ndarray, shards: int, shard: int, seed: int) -> np.ndarray:
-    """How many draws of each source a shard gets: the walk down the splitting tree to it."""
-    low, high = 0, shards
-    counts = counts.astype(np.int64)
-    while high - low > 1:
-        middle = (low + high) // 2
-        left = int(counts.sum()) * (middle - low) // (high - low)
-        node = np.random.default_rng([seed, low, high])
-        mine = node.multivariate_hypergeometric(counts, left, method="marginals")
-        if shard < middle:
-            counts, high = mine, middle
-        else:
-            counts, low = counts - mine, middle
-    return counts
+def with_targets(sources: DataFrame, most: float) -> DataFrame:
+    """``targets`` for a table of sources (words, weight): the level is found by sums over it, a round for each.
 
+    Levels rise, so a source that is cut stays cut; the rounds end when no other one is.
+    """
+    total = sources.agg(F.sum("words").alias("words")).first()["words"] or 0
+    full = F.lit(float(most)) * F.col("words")
+    rest, weight, cut = float(total), sources.agg(F.sum("weight").alias("w")).first()["w"] or 0.0, 0
+    while weight:
+        share = F.lit(rest) * F.col("weight") / F.lit(float(weight))
+        over = share > full
+        now = sources.agg(
+            F.count_if(over).alias("cut"), F.sum(F.when(over, full)).alias("full"), F.sum(F.when(~over, F.col("weight"))).alias("open")
+        ).first()
+        if now["cut"] == cut:
+            return sources.withColumn("target", F.when(over, full).otherwise(share))
+        rest, weight, cut = float(total) - now["full"], now["open"] or 0.0, now["cut"]
+    return sources.withColumn("target", full)
+
+
+def split(counts: np.ndarray, low: int, high: int, seed: Sequence[int]) -> np.ndarray:
+    """How many draws of each source go to the shards low..middle of a node's low..high."""
+    left = int(counts.sum()) * ((low + high) // 2 - low) // (high - low)
+    return np.random.default_rng([*seed, low, high]).multivariate_hypergeometric(counts, left, method="marginals")
+
+
+def subtree(low: int, high: int, sources: np.ndarray, counts: np.ndarray, seed: int) -> tuple[np.ndarray, ...]:
+    """(source, shard, draws) of all shards under a node."""
+    done: list[tuple] = []
+    todo = [(low, high, sources, counts.astype(np.int64))]
+    while todo:
+        low, high, sources, counts = todo.pop()
+        some = counts > 0
+        sources, counts = sources[some], counts[some]
+        if high - low == 1:
+            done.append((sources, np.full(len(sources), low), counts))
+        elif len(sources):
+            mine, middle = split(counts, low, high, (seed, 0)), (low + high) // 2
+            todo += [(low, middle, sources, mine), (middle, high, sources, counts - mine)]
+    return tuple(np.concatenate(x).astype(np.int64) for x in zip(*done, strict=True)) if done else (np.empty(0, np.int64),) * 3
+
+
+NODE = "low long, high long, _src long, _count long"
+
+
+def _subtrees(seed: int):
+    def grown(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_src")
+        low, high = int(pdf["low"].iloc[0]), int(pdf["high"].iloc[0])
+        src, shard, quota = subtree(low, high, pdf["_src"].to_numpy(np.int64), pdf["_count"].to_numpy(np.int64), seed)
+        return pd.DataFrame({"_src": src, "shard": shard, "_quota": quota})
+
+    return grown
 
-def _walk(counts: np.ndarray, shards: int, seed: int):
-    def walk(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
-            for shard in pdf["id"]:
-                own = shard_counts(counts, shards, int(shard), seed)
-                some = np.flatnonzero(own)
-                yield pd.DataFrame({"_src": some, "shard": int(shard), "_quota": own[some]})
 
-    return walk
+def _split_groups(seed: int):
+    """The draws of each group of sources that go left at a node."""
+
+    def halved(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_group")
+        low, high = int(pdf["low"].iloc[0]), int(pdf["high"].iloc[0])
+        return pdf[["low", "high", "_group"]].assign(_left=split(pdf["_all"].to_numpy(np.int64), low, high, (seed, 1)))
+
+    return halved
+
+
+def _split_sources(seed: int):
+    """The two children's draws of the sources of one group, as many on the left as the group has there."""
+
+    def halved(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_src")
+        low, high, group = (int(pdf[c].iloc[0]) for c in ("low", "high", "_group"))
+        counts, middle = pdf["_count"].to_numpy(np.int64), (low + high) // 2
+        rng = np.random.default_rng([seed, 2, low, high, group])
+        mine = rng.multivariate_hypergeometric(counts, int(pdf["_left"].iloc[0]), method="marginals")
+        sides = [
+            pd.DataFrame({"low": a, "high": b, "_src": pdf["_src"].to_numpy(), "_count": n})
+            for a, b, n in ((low, middle, mine), (middle, high, counts - mine))
+        ]
+        both = pd.concat(sides, ignore_index=True)
+        return both[both["_count"] > 0]
+
+    return halved
+
+
+def shard_quotas(counts: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(_src, shard, _quota) from ``counts`` (_src, _count): the splitting tree, from the root down.
+
+    Nodes of many shards are split in rounds, each a table: first the draws of groups of
+    sources are dealt to the children, then within each group those of its sources, which
+    together is the same multivariate draw.  A node of few shards, and so of few draws,
+    is split to its leaves by one task.  Sources without draws in a node leave it.
+    """
+    nodes = counts.where("_count > 0").select(
+        F.lit(0).cast("long").alias("low"), F.lit(shards).cast("long").alias("high"), "_src", "_count"
+    )
+    width = shards
+    while width > SUBTREE_SHARDS:
+        nodes = written(nodes, "mixing-nodes").withColumn("_group", F.floor(F.col("_src") / SOURCES_AT_ONCE))
+        groups = nodes.groupBy("low", "high", "_group").agg(F.sum("_count").alias("_all"))
+        left = groups.groupBy("low", "high").applyInPandas(_split_groups(seed), "low long, high long, _group long, _left long")
+        left, same = null_safe(left, "low", "high", "_group")
+        nodes = (
+            nodes.join(left, same)
+            .select("low", "high", "_group", "_src", "_count", "_left")
+            .groupBy("low", "high", "_group")
+            .applyInPandas(_split_sources(seed), NODE)
+        )
+        width = -(-width // 2)
+    return nodes.groupBy("low", "high").applyInPandas(_subtrees(seed), "_src long, shard long, _quota long")
+
+
+def running(df: DataFrame, by: Sequence[str], place: Column, sums: Sequence[str], ranges: Column) -> DataFrame:
+    """``df`` with ``<c>_before`` for each of ``sums``: the sum over the rows of a group that come before, by ``place``.
+
+    ``place`` is a 64-bit number, different for all rows of a group; ``ranges`` says into how many ranges of it
+    a group is cut.  A task sums one range; the ranges' totals give what stands before each.
+    """
+    at = F.least(F.floor((place.cast("double") / 2.0**64 + 0.5) * ranges), ranges - 1)
+    rows = df.withColumns({"_place": place, "_range": at})
+    totals = rows.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_{c}_all") for c in sums])
+    ahead = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select(*by, "_range", *[F.coalesce(F.sum(f"_{c}_all").over(ahead), F.lit(0)).alias(f"_{c}_base") for c in sums])
+    bases, same = null_safe(bases, *by, "_range")
+    inside = Window.partitionBy(*by, "_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    within = rows.withColumns({f"_{c}_in": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
+    return within.join(bases, same).select(
+        *df.columns, *[(F.col(f"_{c}_base") + F.col(f"_{c}_in")).alias(f"{c}_before") for c in sums]
+    )
+
+
+def _numbered_sources(stats: DataFrame, weights: Sequence[float]) -> DataFrame:
+    """Sources with their number by code point, null last, and their weight."""
+    in_order = stats.repartitionByRange(F.col("source").isNull(), F.col("source")).sortWithinPartitions(
+        F.col("source").isNull(), F.col("source")
+    )
+    # Partition in the upper bits, place in it below.
+    placed = written(in_order.withColumn("_id", F.monotonically_increasing_id()), "mixing-sources")
+    part, place = F.shiftrightunsigned("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = placed.withColumns({"_part": part, "_place": place})
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # One row for each partition.
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_base"))
+    numbered = placed.join(bases, F.col("_part") == F.col("_p")).withColumn("_src", F.col("_base") + F.col("_place"))
+    each = F.array(*[F.lit(float(w)) for w in weights])
+    weight = F.get(each, (F.col("_src") % len(weights)).cast("int"))
+    return written(numbered.select("source", "words", "docs", "_src", weight.alias("weight")), "mixing-numbered")
 
 
 def _name(docs: DataFrame) -> Column:
@@ -87,6 +215,19 @@ def _name(docs: DataFrame) -> Column:
     return F.unhex(row_digest(*(F.col(f"`{c}`") for c in docs.columns)))
 
 
+def _with_copies(sized: DataFrame) -> DataFrame:
+    """Rows with ``_copy``, their number among rows equal in all columns, so that equal rows differ.
+
+    Equal rows are counted for each task that wrote them; a task then makes those of one count.
+    """
+    columns = [c for c in sized.columns if c != "_part"]
+    counted = sized.groupBy(*columns, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy(*columns).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("_n").over(ahead), F.lit(0))
+    numbers = F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1))
+    return counted.withColumn("_first", first).withColumn("_copy", numbers).select(*columns, "_copy")
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -102,7 +243,6 @@ def mix(
     at the rank of ``place``.  Weights repeat over the sources, which are ordered by
     code point.
     """
-    spark = docs.sparkSession
     sized = written(
         docs.select(
             F.col(doc_id).alias("doc_id"),
@@ -110,56 +250,84 @@ def mix(
             F.size(words(F.coalesce(F.col(text), F.lit("")))).cast("long").alias("size"),
             F.xxhash64(F.col(doc_id), F.lit(seed), F.col(text)).alias("_key"),
             _name(docs).alias("name"),
+            F.spark_partition_id().alias("_part"),
         ),
         "mixing-sizes",
     )
     stats = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
-    found = stats.limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    sizes = [r["words"] for r in found]
-    wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(found))], sum(sizes), most)
-    passes = [min(most, int(t // s)) if s else 0 for t, s in zip(wanted, sizes, strict=True)]
-    rest = [round(t - p * s) for t, p, s in zip(wanted, passes, sizes, strict=True)]
-    n_blocks = [max(1, -(-r["docs"] // BLOCK_DOCUMENTS)) for r in found]
-    sources = spark.createDataFrame(
-        [(i, r["source"], sizes[i], wanted[i], passes[i], rest[i], n_blocks[i]) for i, r in enumerate(found)],
-        "_src int, _source string, source_size long, target double, _passes int, _rest long, _n_blocks long",
+    aimed = with_targets(_numbered_sources(stats, weights), most)
+    passes = F.when(F.col("words") > 0, F.least(F.lit(most), F.floor(F.col("target") / F.col("words")))).otherwise(0)
+    sources = written(
+        aimed.withColumn("_passes", passes.cast("int")).select(
+            "_src",
+            F.col("source").alias("_source"),
+            F.col("words").alias("source_size"),
+            "target",
+            "_passes",
+            F.bround(F.col("target") - F.col("_passes") * F.col("words")).cast("long").alias("_rest"),
+            F.greatest(F.lit(1), F.ceil(F.col("docs") / BLOCK_DOCUMENTS)).cast("long").alias("_n_blocks"),
+        ),
+        "mixing-targets",
     )
-    # One row per source, of a checked number.
-    rows = (
-        sized.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_source")))
+    key = F.xxhash64("_key", "_copy")
+    rows = written(
+        _with_copies(sized)
+        .join(sources, F.col("source").eqNullSafe(F.col("_source")))
+        .withColumn("_key", key)
         .withColumn("_block", F.pmod(F.col("_key"), F.col("_n_blocks")))
-        .drop("_source", "_n_blocks")
+        .drop("_source"),
+        "mixing-rows",
     )
-    in_order = Window.partitionBy("_src").orderBy(F.xxhash64("_block", F.lit(seed)), "_block")
+    ranges = F.ceil(F.col("_n_blocks") / BLOCKS_AT_ONCE)
     blocks = (
         rows.groupBy("_src", "_block")
-        .agg(F.sum("size").alias("_words"), F.first("_rest").alias("_left"), F.first("_passes").alias("_passes"))
-        .withColumn("_rank", F.row_number().over(in_order) - 1)
-        .withColumn("_from", F.sum("_words").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_words"))
-        .withColumn("_some", F.col("_from") < F.col("_left"))
+        .agg(
+            F.sum("size").alias("_words"),
+            F.first("_rest").alias("_left"),
+            F.first("_passes").alias("_passes"),
+            F.first("_n_blocks").alias("_n_blocks"),
+        )
+        .withColumn("_one", F.lit(1).cast("long"))
+    )
+    blocks = running(blocks, ["_src"], F.xxhash64("_block", F.lit(seed)), ["_words", "_one"], ranges)
+    blocks = written(
+        blocks.select(
+            "_src",
+            "_block",
+            "_left",
+            "_passes",
+            F.col("_one_before").alias("_rank"),
+            F.col("_words_before").alias("_from"),
+            (F.col("_words_before") < F.col("_left")).alias("_some"),
+        ),
+        "mixing-blocks",
     )
-    quotas = blocks.groupBy("_src").agg(
-        (F.sum(F.col("_some").cast("int")) + F.sum("_passes")).alias("_draws"), F.count(F.lit(1)).alias("_in_pass")
+    quotas = written(
+        blocks.groupBy("_src").agg(
+            (F.sum(F.col("_some").cast("int")) + F.sum("_passes")).alias("_count"), F.count(F.lit(1)).alias("_in_pass")
+        ),
+        "mixing-quotas",
     )
-    blocks = written(blocks, "mixing-blocks")
-    by_source = {r["_src"]: (r["_draws"], r["_in_pass"]) for r in quotas.collect()}
-    counts = np.array([by_source.get(i, (0, 0))[0] for i in range(len(found))], np.int64)
-    shards = max(1, -(-int(counts.sum()) // BLOCKS_PER_SHARD))
-    quota = spark.range(shards).mapInPandas(_walk(counts, shards, seed), "_src int, shard long, _quota long")
-    quota_upto = F.sum("_quota").over(Window.partitionBy("_src").orderBy("shard"))
-    numbered = quota.withColumn("_end", quota_upto).select(
-        "_src", "shard", F.explode(F.sequence(F.col("_end") - F.col("_quota"), F.col("_end") - 1)).alias("_number")
+    draws = quotas.agg(F.sum("_count").alias("n")).first()["n"] or 0
+    shards = max(1, -(-draws // BLOCKS_PER_SHARD))
+    quota = written(shard_quotas(quotas.select("_src", "_count"), shards, seed), "mixing-shards")
+    # Shards in order, spread evenly over the 64 bits that ranges are cut from.
+    step = min((1 << 63) - 1, ((1 << 64) - 1) // shards)
+    spread = (F.col("shard") - F.lit(shards // 2)) * F.lit(step)
+    upto = running(quota, ["_src"], spread, ["_quota"], F.lit(-(-shards // BLOCKS_AT_ONCE)))
+    numbered = upto.select(
+        "_src",
+        "shard",
+        F.explode(F.sequence(F.col("_quota_before"), F.col("_quota_before") + F.col("_quota") - 1)).alias("_number"),
     )
-    in_pass = spark.createDataFrame([(i, n) for i, (_, n) in by_source.items()], "_src int, _in_pass long")
+    in_pass, same = null_safe(quotas.select("_src", "_in_pass"), "_src")
     drawn = (
-        blocks.join(F.broadcast(in_pass), "_src")
+        blocks.join(in_pass, same)
         .withColumn("_last", F.col("_passes") - F.when(F.col("_some"), 0).otherwise(1))
         .where("_last >= 0")
         .withColumn("_pass", F.explode(F.sequence(F.lit(0), F.col("_last"))))
         .withColumn("_number", F.col("_pass") * F.col("_in_pass") + F.col("_rank"))
+        .drop("__src")
     )
     placed = (
         drawn.join(numbered, ["_src", "_number"])
@@ -167,7 +335,7 @@ def mix(
         .agg(F.collect_list(F.struct(F.col("_pass"), "shard")).alias("_draws"))
     )
     cuts = blocks.select("_src", "_block", (F.col("_left") - F.col("_from")).alias("_cut"))
-    inside = Window.partitionBy("_src", "_block").orderBy("_key", "size", F.col("doc_id").asc_nulls_first(), "name")
+    inside = Window.partitionBy("_src", "_block").orderBy("_key", "size", F.col("doc_id").asc_nulls_first(), "name", "_copy")
     whole = Window.partitionBy("_src", "_block")
     upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     none = F.array().cast("array<struct<_pass:int,shard:bigint>>")
