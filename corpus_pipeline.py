@@ -26,7 +26,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near-duplicate stages work on five words and a similarity of 0.8.
 SHINGLE, PERCENT = 5, 80
 #: The last stage's workers live beside what the stages before it left in memory.
-SLICE_BYTES, REMEMBERED = 3 << 20, 250_000
+SLICE_BYTES, REMEMBERED = 1 << 20, 100_000
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -288,3 +288,29 @@ def test_pipeline_on_nothing(spark, nothing):
     for _, stage in corpus_pipeline.STAGES:
         before = corpus_pipeline.written(stage(spark, before, SF_DIR), "test-stage")
         assert before.isEmpty()
+
+
+def test_pipeline_on_awkward_rows(spark, clashing):
+    """Null ids and texts, blank and very long ones, repeated rows and clashing columns, through all stages."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path("word_bpe_49k.json"))
+    before, given = clashing, [(r.doc_id, r.text) for r in clashing.collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        after = corpus_pipeline.written(stage(spark, before, SF_DIR), "test-stage")
+        if name != "packing":
+            assert after.columns == list(corpus_pipeline.COLUMNS)
+            now = collections.Counter((r.doc_id, r.text) for r in after.collect())
+            before = after
+        if name in ("toxicity", "line dedup", "near dedup"):
+            assert now == collections.Counter(given)
+        elif name == "mixing":
+            assert set(now) <= set(given) and all(n <= 3 * given.count(row) for row, n in now.items())
+    tokens = collections.Counter()
+    for (doc_id, text), n in now.items():
+        tokens[doc_id] += n * (len(library.encode(text or "", add_special_tokens=False).ids) + 1)
+    packed = collections.Counter()
+    for r in after.collect():
+        packed[r.doc_id] += r.length
+    assert packed == tokens

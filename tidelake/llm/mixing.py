@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import null_safe, row_digest, words, written
+from .word_codes import release_memory
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
@@ -110,6 +111,7 @@ def _subtrees(seed: int):
         pdf = pdf.sort_values("_src")
         low, high = int(pdf["low"].iloc[0]), int(pdf["high"].iloc[0])
         src, shard, quota = subtree(low, high, pdf["_src"].to_numpy(np.int64), pdf["_count"].to_numpy(np.int64), seed)
+        release_memory()
         return pd.DataFrame({"_src": src, "shard": shard, "_quota": quota})
 
     return grown

@@ -34,8 +34,8 @@ SEQUENCE = 2048
 LOCAL_ITEMS = 200_000
 NEARLY_FULL = 0.998
 FAN_IN = 8
-HANDED_ON = 8192
 #: The most bins that a task hands on to one task of the next round.
+HANDED_ON = 8192
 #: Bins are numbered within a partition; the partition is in the bits above.
 PARTITION_BITS = 36
 

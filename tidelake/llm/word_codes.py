@@ -226,6 +226,8 @@ def encoded(
     remembered: int = REMEMBERED,
 ):
     """(batch slice, ids, number of ids of each row) with ``end_id`` after each text."""
+    # What other stages' tasks left in this worker.
+    release_memory()
     codes = word_codes(path, remembered)
     for batch in batches:
         for at, texts in slices(batch.column("text"), slice_bytes):
